@@ -39,9 +39,13 @@ def _accent_table() -> tuple[str, str]:
 
 
 def strip_accents(c: Column) -> Column:
-    """Latin letters without their diacritics; letters that do not decompose stay (ø, ł, ß)."""
+    """Latin letters without their diacritics; letters that do not decompose stay (ø, ł, ß).
+
+    Text of one byte per character is ASCII and passes untouched, which is most of it.
+    """
     src, dst = _accent_table()
-    return F.regexp_replace(F.translate(c, src, dst), r"\p{M}+", "")
+    bare = F.regexp_replace(F.translate(c, src, dst), r"\p{M}+", "")
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(bare)
 
 
 def normalize_player_name(c: Column) -> Column:

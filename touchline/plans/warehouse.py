@@ -26,7 +26,11 @@ _READERS = {
 
 
 def ingest_season(
-    pages: DataFrame, source: str, season: str, at: datetime | None = None
+    pages: DataFrame,
+    source: str,
+    season: str,
+    at: datetime | None = None,
+    location: str | None = None,
 ) -> tuple[int, DataFrame]:
     """Read one season of one source's pages into its raw table.
 
@@ -40,7 +44,7 @@ def ingest_season(
     )
     valid, rejected = split_records(reader(batch), schema)
     stamped = stamp(valid, season, source_url_list(batch), at)
-    return replace_season(pages.sparkSession, table, stamped, schema, season), rejected
+    return replace_season(pages.sparkSession, table, stamped, schema, season, location), rejected
 
 
 def raw_tables(spark: SparkSession) -> dict[str, DataFrame]:

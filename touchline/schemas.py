@@ -17,7 +17,7 @@ _TYPES = {
 }
 
 
-def _struct(spec: str, required: str = "") -> T.StructType:
+def record_schema(spec: str, required: str = "") -> T.StructType:
     needed = set(required.split())
     fields = []
     for item in spec.split(","):
@@ -26,9 +26,9 @@ def _struct(spec: str, required: str = "") -> T.StructType:
     return T.StructType(fields)
 
 
-METADATA = _struct("_ingested_at timestamp, _source_url string, _season string")
+METADATA = record_schema("_ingested_at timestamp, _source_url string, _season string")
 
-FBREF_STATS = _struct(
+FBREF_STATS = record_schema(
     "player_id string, player_name string, team_id string, team_name string, league string,"
     "season string, nationality string, position string, age string, games int,"
     "games_starts int, minutes int, goals int, assists int, goals_pens int, pens_made int,"
@@ -40,7 +40,7 @@ FBREF_STATS = _struct(
     "player_id player_name team_id team_name league season is_multi_team_row is_multi_team_total",
 )
 
-UNDERSTAT_STATS = _struct(
+UNDERSTAT_STATS = record_schema(
     "player_id string, player_name string, team_name string, league string, season string,"
     "position string, games int, minutes int, goals int, assists int, npg int, xg double,"
     "xg_assist double, npxg double, xg_chain double, xg_buildup double, shots int,"
@@ -48,23 +48,23 @@ UNDERSTAT_STATS = _struct(
     "player_id player_name team_name league season",
 )
 
-TRANSFERMARKT_VALUATIONS = _struct(
+TRANSFERMARKT_VALUATIONS = record_schema(
     "player_id string, player_name string, team_id string, team_name string, league string,"
     "season string, position string, date_of_birth string, nationality string, age int,"
     "market_value_eur bigint",
     "player_id player_name team_id team_name league season",
 )
 
-TEAM_ALIASES = _struct(
+TEAM_ALIASES = record_schema(
     "source string, source_team_name string, canonical_team_name string, league string"
 )
 
-PLAYER_OVERRIDES = _struct(
+PLAYER_OVERRIDES = record_schema(
     "fbref_player_id string, understat_player_id string, transfermarkt_player_id string,"
     "canonical_player_id string, override_reason string"
 )
 
-PAGES = _struct(
+PAGES = record_schema(
     "source string, league string, season string, page_no int, url string, body string"
 )
 

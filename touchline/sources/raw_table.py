@@ -69,6 +69,20 @@ def stamp(df: DataFrame, season: str, source_url: str, at: datetime | None = Non
     )
 
 
+def _insert(
+    spark: SparkSession, table: str, rows: DataFrame, columns: list[str], partition: str
+) -> int:
+    """Overwrite partitions by column name and count the rows on the way, not by a second scan."""
+    written = Observation()
+    counted = rows.select(*columns).observe(written, F.count(F.lit(1)).alias("rows"))
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {qualified_name(table)} PARTITION ({partition}) "
+        f"({', '.join(f'`{c}`' for c in columns)}) SELECT * FROM {{rows}}",
+        rows=counted,
+    )
+    return written.get["rows"]
+
+
 def replace_season(
     spark: SparkSession,
     table: str,
@@ -81,20 +95,31 @@ def replace_season(
 
     The partition is named in the statement: a rerun gives the same table, other seasons are
     not touched, and an empty batch clears the season (a dynamic overwrite would keep it).
-    Columns go by name. Rows are counted while they are written, not by a second scan.
     """
-    create_raw_table(spark, table, schema, location)
+    create_raw_table(spark, table, with_metadata(schema), location)
     columns = [c for c in with_metadata(schema).names if c != SEASON]
-    written = Observation()
-    rows = (
-        batch.filter(F.col(SEASON) == season)
-        .select(*columns)
-        .observe(written, F.count(F.lit(1)).alias("rows"))
-    )
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {qualified_name(table)} "
-        f"PARTITION ({SEASON} = '{season}') ({', '.join(f'`{c}`' for c in columns)}) "
-        "SELECT * FROM {rows}",
-        rows=rows,
-    )
-    return written.get["rows"]
+    rows = batch.filter(F.col(SEASON) == season)
+    return _insert(spark, table, rows, columns, f"{SEASON} = '{season}'")
+
+
+def replace_seasons(
+    spark: SparkSession,
+    table: str,
+    batch: DataFrame,
+    schema: T.StructType,
+    location: str | None = None,
+) -> int:
+    """Replace every season that a stamped batch holds, in one job; for backfills.
+
+    Rows are rebalanced by season, so that a season becomes few files and a large one is split
+    over several tasks.
+    """
+    create_raw_table(spark, table, with_metadata(schema), location)
+    columns = with_metadata(schema).names
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        return _insert(spark, table, batch.hint("rebalance", SEASON), columns, SEASON)
+    finally:
+        spark.conf.set(mode, before)

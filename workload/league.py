@@ -139,7 +139,7 @@ _TRANSFERMARKT_BODY = """'t' || CAST(p AS STRING) AS player_id,
 RAW_TRANSFERMARKT = f"""
 SELECT {_TRANSFERMARKT_BODY},
   CASE WHEN p % 37 = 0 THEN NULL WHEN p % 41 = 0 THEN 3000000000
-    ELSE qty * 1000000 + CAST(price AS BIGINT) END AS market_value_eur, {_STAMP}
+    ELSE qty * 1000000 + CAST(floor(price) AS BIGINT) END AS market_value_eur, {_STAMP}
 FROM {{lines}} JOIN {{clubs}} USING (s) JOIN {{players}} USING (p) WHERE p % 3 <> 0
 UNION ALL
 SELECT {_TRANSFERMARKT_BODY}, qty * 500000 AS market_value_eur,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,8 +25,15 @@ from touchline.operators.skew import PAIRS_PER_CELL, spread_join
 # Everything that a score depends on. Hub players that agree here have the same best match.
 _PROFILE = ["league", "season", "fbref_team_id", "hub_name", "position_mark"]
 _BLOCK = ["last_name", "league", "season", "other_team"]
+_SCORES = ["composite_score", "name_score", "team_score", "position_score"]
 _NO_POSITION = "\x00"
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
 
 @dataclass(frozen=True)
 class _Source:
@@ -131,11 +139,12 @@ def _scored(pairs: DataFrame, source: _Source) -> DataFrame:
 
 
 def _identical(wanted: DataFrame, offered: DataFrame, source: _Source) -> DataFrame:
-    """Pairs of the same name at linked teams with agreeing positions."""
+    """Profile and least id of the players of the same name, at a linked team, in an agreeing
+    position."""
     same_name = offered.withColumn("hub_name", F.col("other_name")).drop("last_name")
     pairs = wanted.join(same_name, ["league", "season", "other_team", "hub_name"])
     agree = source.position_score(_position_or_null(), F.col("other_position")) == 1.0
-    return _scored(pairs.filter(agree).withColumn("name_score", F.lit(1.0)), source)
+    return pairs.filter(agree).groupBy(*_PROFILE).agg(F.min("other_id").alias("other_id"))
 
 
 def _similar(
@@ -167,6 +176,7 @@ def best_matches(
     other: DataFrame,
     xref: DataFrame,
     source: _Source,
+    keep: Keep = as_is,
     pairs_per_cell: int = PAIRS_PER_CELL,
 ) -> DataFrame:
     """Best kept candidate per hub profile, ties to the least id.
@@ -174,21 +184,37 @@ def best_matches(
     A pair of equal names at linked teams with agreeing positions has the highest score there
     is, and no other pair has it. Profiles with such a pair are settled by an equi-join on the
     name; only the rest meets its block and goes through the UDF.
+
+    ``keep(df, name)`` may write a relation that is read more than once.
     """
+    offered = keep(_offered(other), f"{source.prefix}_names")
     wanted = _wanted(hub, _links(xref, source))
-    offered = _offered(other)
-    settled = _identical(wanted, offered, source)
-    rest = wanted.join(settled.select(*_PROFILE).distinct(), _PROFILE, "left_anti")
+    judged = keep(
+        wanted.join(_identical(wanted, offered, source), _PROFILE, "left"),
+        f"{source.prefix}_profiles",
+    )
+    settled = (
+        judged.filter(F.col("other_id").isNotNull())
+        .select(*_PROFILE, "other_id")
+        .distinct()
+        .withColumn("name_score", F.lit(1.0))
+        .withColumn("team_score", F.lit(1.0))
+        .withColumn("position_score", F.lit(1.0))
+        .withColumn(
+            "composite_score", composite_score(F.lit(1.0), F.lit(1.0), F.lit(1.0))
+        )
+    )
+    rest = judged.filter(F.col("other_id").isNull()).drop("other_id")
     kept = _similar(rest, offered, source, pairs_per_cell).filter(
         F.col("composite_score") >= KEEP_SCORE
     )
-    details = ["composite_score", "name_score", "team_score", "position_score", "other_id"]
-    # One pre-aggregated row per profile leaves each map task, whatever the number of pairs.
-    return first_per_group(
-        settled.select(*_PROFILE, *details).unionByName(kept.select(*_PROFILE, *details)),
+    # At most one row per profile leaves a map task, whatever the number of pairs.
+    best = first_per_group(
+        kept.select(*_PROFILE, *_SCORES, "other_id"),
         _PROFILE,
         [F.col("composite_score").desc(), F.col("other_id").asc_nulls_last()],
     )
+    return settled.unionByName(best)
 
 
 def check_overrides(overrides: DataFrame) -> DataFrame:
@@ -197,18 +223,14 @@ def check_overrides(overrides: DataFrame) -> DataFrame:
 
 
 def player_xref(
-    stg_fbref: DataFrame,
-    stg_understat: DataFrame,
-    stg_transfermarkt: DataFrame,
-    xref: DataFrame,
-    overrides: DataFrame,
-    pairs_per_cell: int = PAIRS_PER_CELL,
+    hub: DataFrame, by_name: DataFrame, by_value: DataFrame, overrides: DataFrame
 ) -> DataFrame:
-    """One row per FBref player and season with the matched ids, scores and status."""
-    hub = main_fbref_rows(stg_fbref)
-    by_name = best_matches(
-        hub, main_understat_rows(stg_understat), xref, UNDERSTAT, pairs_per_cell
-    ).select(
+    """One row per FBref player and season with the matched ids, scores and status.
+
+    ``hub`` are the main FBref rows, ``by_name`` and ``by_value`` the best matches with Understat
+    and Transfermarkt.
+    """
+    understat = by_name.select(
         *_PROFILE,
         F.col("other_id").alias("_understat_id"),
         F.col("composite_score").alias("confidence"),
@@ -216,9 +238,7 @@ def player_xref(
         "team_score",
         "position_score",
     )
-    by_value = best_matches(
-        hub, main_transfermarkt_rows(stg_transfermarkt), xref, TRANSFERMARKT, pairs_per_cell
-    ).select(
+    transfermarkt = by_value.select(
         *_PROFILE,
         F.col("other_id").alias("_transfermarkt_id"),
         F.col("composite_score").alias("transfermarkt_confidence"),
@@ -235,11 +255,11 @@ def player_xref(
         .when(F.col("_understat_id").isNotNull(), match_band(F.col("confidence")))
         .otherwise("unmatched")
     )
-    # Both match relations are grouped by the profile, so one exchange of the hub serves both joins.
+    # Both match relations have one row per profile, so one exchange of the hub serves both joins.
     return (
         hub.select("fbref_player_id", *_PROFILE)
-        .join(by_name, _PROFILE, "left")
-        .join(by_value, _PROFILE, "left")
+        .join(understat, _PROFILE, "left")
+        .join(transfermarkt, _PROFILE, "left")
         .join(manual, "fbref_player_id", "left")
         .select(
             F.coalesce("_manual_canonical", "fbref_player_id").alias("canonical_player_id"),
@@ -258,3 +278,31 @@ def player_xref(
             status.alias("match_status"),
         )
     )
+
+
+def resolve_players(
+    stg_fbref: DataFrame,
+    stg_understat: DataFrame,
+    stg_transfermarkt: DataFrame,
+    xref: DataFrame,
+    overrides: DataFrame,
+    keep: Keep = as_is,
+    pairs_per_cell: int = PAIRS_PER_CELL,
+) -> DataFrame:
+    """The whole player cross-reference from staging relations.
+
+    The two sources do not depend on each other; where ``keep`` writes relations, their jobs run
+    side by side.
+    """
+    hub = keep(main_fbref_rows(stg_fbref), "main_fbref_rows")
+    others = {
+        UNDERSTAT: main_understat_rows(stg_understat),
+        TRANSFERMARKT: main_transfermarkt_rows(stg_transfermarkt),
+    }
+
+    def match(source: _Source) -> DataFrame:
+        return best_matches(hub, others[source], xref, source, keep, pairs_per_cell)
+
+    with ThreadPoolExecutor(len(others)) as jobs:
+        by_name, by_value = jobs.map(match, others)
+    return player_xref(hub, by_name, by_value, overrides)

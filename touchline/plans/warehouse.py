@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,59 +52,96 @@ def raw_tables(spark: SparkSession) -> dict[str, DataFrame]:
     return {name: read_raw_table(spark, name, schema) for name, schema in RAW_TABLES.items()}
 
 
-def stage(raw: Mapping[str, DataFrame], strict_parity: bool = False) -> dict[str, DataFrame]:
-    return {
-        "stg_fbref__player_season_stats": staging.stage_fbref(
-            raw["raw_fbref__player_season_stats"]
-        ),
-        "stg_understat__player_season_stats": staging.stage_understat(
-            raw["raw_understat__player_season_stats"]
-        ),
-        "stg_transfermarkt__player_valuations": staging.stage_transfermarkt(
-            raw["raw_transfermarkt__player_valuations"], strict_parity
-        ),
-    }
-
-
-def build(
-    raw: Mapping[str, DataFrame],
-    aliases: DataFrame,
-    overrides: DataFrame,
-    folder: str | None = None,
-    strict_parity: bool = False,
-) -> dict[str, DataFrame]:
-    """All relations of the warehouse by name.
-
-    Every relation that more than one other relation reads is written once to the shared folder
-    and read back, so a fact does not recompute the matching for each of its inputs. The dimensions
-    and facts at the end are left lazy for the caller to query or write.
+class Warehouse(Mapping):
+    """All relations by name, each planned when it is first asked for.
+
+    A relation that more than one other relation reads (staging, cross-references) is
+    written once to the shared folder and read back, so a fact does not repeat the matching for
+    each of its inputs. Facts stay lazy for the caller to query or write.
     """
-    spark = aliases.sparkSession
-    folder = folder or shared_folder(spark)
-    out: dict[str, DataFrame] = {}
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        out[name] = written(df, folder, name)
-        return out[name]
-
-    staged = {name: keep(name, df) for name, df in stage(raw, strict_parity).items()}
-    fbref = staged["stg_fbref__player_season_stats"]
-    understat = staged["stg_understat__player_season_stats"]
-    transfermarkt = staged["stg_transfermarkt__player_valuations"]
-    xref = keep("int_team_xref", teams.team_xref(fbref, understat, transfermarkt, aliases))
-    matched = keep(
+
+    def __init__(
+        self,
+        raw: Mapping[str, DataFrame],
+        aliases: DataFrame,
+        overrides: DataFrame,
+        folder: str | None = None,
+        strict_parity: bool = False,
+    ):
+        self.spark = aliases.sparkSession
+        self.folder = folder or shared_folder(self.spark)
+        self.aliases, self.overrides, self.strict_parity = aliases, overrides, strict_parity
+        self._ready: dict[str, DataFrame] = dict(raw)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._ready:
+            if name.startswith("stg_"):
+                self._stage()
+            elif name in _RELATIONS:
+                self._ready[name] = _RELATIONS[name](self)
+            else:
+                raise KeyError(name)
+        return self._ready[name]
+
+    def __iter__(self):
+        return iter([*RAW_TABLES, *_STAGING, *_RELATIONS])
+
+    def __len__(self) -> int:
+        return len(RAW_TABLES) + len(_STAGING) + len(_RELATIONS)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        return written(df, self.folder, name)
+
+    def _stage(self) -> None:
+        """The staging relations depend on raw tables only; their jobs run side by side."""
+        planned = {name: plan(self) for name, plan in _STAGING.items()}
+        with ThreadPoolExecutor(len(planned)) as jobs:
+            self._ready.update(
+                zip(planned, jobs.map(self.keep, planned.values(), planned.keys()))
+            )
+
+    def staged(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return tuple(self[name] for name in _STAGING)
+
+    def dimensions(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        return tuple(self[d] for d in ("dim_player", "dim_team", "dim_season", "dim_competition"))
+
+
+_STAGING: dict[str, Callable[[Warehouse], DataFrame]] = {
+    "stg_fbref__player_season_stats": lambda w: staging.stage_fbref(
+        w["raw_fbref__player_season_stats"]
+    ),
+    "stg_understat__player_season_stats": lambda w: staging.stage_understat(
+        w["raw_understat__player_season_stats"]
+    ),
+    "stg_transfermarkt__player_valuations": lambda w: staging.stage_transfermarkt(
+        w["raw_transfermarkt__player_valuations"], w.strict_parity
+    ),
+}
+
+_RELATIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
+    "int_team_xref": lambda w: w.keep(
+        teams.team_xref(*w.staged(), w.aliases), "int_team_xref"
+    ),
+    "int_player_xref": lambda w: w.keep(
+        players.resolve_players(*w.staged(), w["int_team_xref"], w.overrides, w.keep),
         "int_player_xref",
-        players.player_xref(fbref, understat, transfermarkt, xref, overrides),
-    )
-    out["dim_season"] = dimensions.dim_season(spark)
-    out["dim_competition"] = dimensions.dim_competition(spark)
-    out["dim_team"] = dimensions.dim_team(fbref, xref)
-    out["dim_player"] = dimensions.dim_player(fbref, matched)
-    dims = (out["dim_player"], out["dim_team"], out["dim_season"], out["dim_competition"])
-    out["fct_player_season_stats"] = facts.fct_player_season_stats(
-        fbref, understat, matched, xref, *dims
-    )
-    out["fct_player_season_valuations"] = facts.fct_player_season_valuations(
-        transfermarkt, matched, xref, *dims
-    )
-    return {**raw, **out}
+    ),
+    "dim_season": lambda w: dimensions.dim_season(w.spark),
+    "dim_competition": lambda w: dimensions.dim_competition(w.spark),
+    "dim_team": lambda w: dimensions.dim_team(w.staged()[0], w["int_team_xref"]),
+    "dim_player": lambda w: dimensions.dim_player(w.staged()[0], w["int_player_xref"]),
+    "fct_player_season_stats": lambda w: facts.fct_player_season_stats(
+        w.staged()[0], w.staged()[1], w["int_player_xref"], w["int_team_xref"], *w.dimensions()
+    ),
+    "fct_player_season_valuations": lambda w: facts.fct_player_season_valuations(
+        w.staged()[2], w["int_player_xref"], w["int_team_xref"], *w.dimensions()
+    ),
+}
+
+
+def save_marts(warehouse: Warehouse, database: str) -> None:
+    """Write dimensions, facts and cross-references as tables of a database."""
+    warehouse.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in _RELATIONS:
+        warehouse[name].write.mode("overwrite").saveAsTable(f"{database}.{name}")

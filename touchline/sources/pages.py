@@ -21,6 +21,7 @@ from touchline.functions import text
 from touchline.schemas import FBREF_STATS, TRANSFERMARKT_VALUATIONS, UNDERSTAT_STATS
 from touchline.sources import markup
 
+_ROWS_PER_PIECE = 5_000
 _PAGE_KEYS = ["league", "season", "page_no", "url"]
 
 # Id of the statistics table and the cells that are typed.
@@ -76,14 +77,15 @@ def _rows_of_pages(pages: DataFrame, read_page, names: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            # One page at a time, so that a batch of large pages is never held as rows at once.
-            for page in batch.itertuples(index=False):
-                rows = list(read_page(page.body)) if isinstance(page.body, str) else []
-                if rows:
-                    out = pd.DataFrame(rows, columns=names, dtype=object)
-                    for position, key in enumerate(keys):
-                        out.insert(position, key, getattr(page, key))
-                    yield out
+            found: list[tuple] = []
+            for *page, body in batch.itertuples(index=False):
+                found.extend((*page, *row) for row in read_page(body or ""))
+                # Rows leave in pieces, so that a batch of large pages is never held whole.
+                if len(found) >= _ROWS_PER_PIECE:
+                    yield pd.DataFrame(found, columns=schema.names)
+                    found = []
+            if found:
+                yield pd.DataFrame(found, columns=schema.names)
 
     return pages.select(*keys, "body").mapInPandas(run, schema)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.plans import warehouse
+from touchline.plans.warehouse import Warehouse
 from touchline.schemas import (
     FBREF_STATS,
     PLAYER_OVERRIDES,
@@ -211,7 +211,6 @@ def inputs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], Data
     return raw, aliases, overrides
 
 
-def built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def built(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The whole warehouse over the derived raw tables."""
-    raw, aliases, overrides = inputs(spark, sf_dir)
-    return warehouse.build(raw, aliases, overrides)
+    return Warehouse(*inputs(spark, sf_dir))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.quality import run_data_tests
-from touchline.plans import checks, players, staging, teams
+from touchline.plans import checks, players, staging
 from touchline.plans.checks import DATA_TESTS
 from touchline.session import shared_folder, written
 from workload import oracle
@@ -74,13 +74,7 @@ def stage_transfermarkt_strict(spark, sf_dir):
 
 @query(over_chain("SELECT * FROM int_team_xref"))
 def team_xref(spark, sf_dir):
-    raw, aliases, _ = inputs(spark, sf_dir)
-    return teams.team_xref(
-        staging.stage_fbref(raw["raw_fbref__player_season_stats"]),
-        staging.stage_understat(raw["raw_understat__player_season_stats"]),
-        staging.stage_transfermarkt(raw["raw_transfermarkt__player_valuations"]),
-        aliases,
-    )
+    return built(spark, sf_dir)["int_team_xref"]
 
 
 @query(
@@ -90,19 +84,12 @@ def team_xref(spark, sf_dir):
     )
 )
 def blocked_candidates(spark, sf_dir):
-    raw, aliases, _ = inputs(spark, sf_dir)
-    folder = shared_folder(spark)
-    fbref = written(
-        staging.stage_fbref(raw["raw_fbref__player_season_stats"]), folder, "fbref"
-    )
-    understat = written(
-        staging.stage_understat(raw["raw_understat__player_season_stats"]), folder, "understat"
-    )
-    valued = staging.stage_transfermarkt(raw["raw_transfermarkt__player_valuations"])
+    w = built(spark, sf_dir)
+    fbref, understat, _ = w.staged()
     pairs = players.candidates(
         players.main_fbref_rows(fbref),
         players.main_understat_rows(understat),
-        teams.team_xref(fbref, understat, valued, aliases),
+        w["int_team_xref"],
         players.UNDERSTAT,
     )
     return pairs.select(

@@ -64,6 +64,9 @@ def dim_player(stg_fbref: DataFrame, xref: DataFrame) -> DataFrame:
             F.col("season").desc_nulls_last(),
             F.col("minutes").desc_nulls_last(),
             F.col("fbref_team_id").asc_nulls_last(),
+            F.col("player_name_raw").asc_nulls_last(),
+            F.col("position").asc_nulls_last(),
+            F.col("age_years").asc_nulls_last(),
         ],
     )
     ids = first_per_group(

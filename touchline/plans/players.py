@@ -46,6 +46,11 @@ UNDERSTAT = _Source("understat", "understat_team_name", group_compatibility)
 TRANSFERMARKT = _Source("transfermarkt", "transfermarkt_team_name", role_compatibility)
 
 
+def _rising(*columns: str) -> list[Column]:
+    """Tie-breaks: with them the chosen row does not depend on the order of the input."""
+    return [F.col(c).asc_nulls_last() for c in columns]
+
+
 def main_fbref_rows(stg_fbref: DataFrame) -> DataFrame:
     """One row per player and season: the club with most minutes."""
     rows = stg_fbref.select(
@@ -55,7 +60,7 @@ def main_fbref_rows(stg_fbref: DataFrame) -> DataFrame:
     return first_per_group(
         rows,
         ["fbref_player_id", "season"],
-        [F.col("minutes").desc_nulls_last(), F.col("fbref_team_id").asc_nulls_last()],
+        [F.col("minutes").desc_nulls_last(), *_rising("fbref_team_id", "league", "hub_name", "position")],
     ).withColumn("position_mark", F.coalesce("position", F.lit(_NO_POSITION)))
 
 
@@ -68,7 +73,10 @@ def main_understat_rows(stg_understat: DataFrame) -> DataFrame:
     return first_per_group(
         rows,
         ["other_id", "season"],
-        [F.col("minutes").desc_nulls_last(), F.col("other_team").asc_nulls_last()],
+        [
+            F.col("minutes").desc_nulls_last(),
+            *_rising("other_team", "league", "other_name", "other_position"),
+        ],
     )
 
 
@@ -83,8 +91,7 @@ def main_transfermarkt_rows(stg_transfermarkt: DataFrame) -> DataFrame:
         ["other_id", "season"],
         [
             F.col("market_value_eur").desc_nulls_last(),
-            F.col("transfermarkt_team_id").asc_nulls_last(),
-            F.col("league").asc_nulls_last(),
+            *_rising("transfermarkt_team_id", "league", "other_name", "other_position"),
         ],
     )
 

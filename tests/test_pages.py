@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 import samples
@@ -145,13 +146,16 @@ def test_ingest_from_pages(spark):
         spark, ("fbref", samples.fbref_page()), ("understat", broken),
         ("transfermarkt", samples.valuation_page()),
     )
-    assert ingest_season(corpus, "fbref", samples.SEASON, samples.AT)[0] == 7
-    n, rejected = ingest_season(corpus, "understat_json", samples.SEASON, samples.AT)
-    assert n == 4 and rows(rejected, "player_id", "reject_reason") == [("7890", "missing player_name")]
-    assert ingest_season(corpus, "transfermarkt", samples.SEASON, samples.AT)[0] == 5
+    assert ingest_season(corpus, "fbref", samples.SEASON, samples.AT).row_count == 7
+    result = ingest_season(corpus, "understat_json", samples.SEASON, samples.AT)
+    assert (result.row_count, result.season, len(result.leagues)) == (4, samples.SEASON, 5)
+    assert rows(result.rejected, "player_id", "reject_reason") == [("7890", "missing player_name")]
+    assert ingest_season(corpus, "transfermarkt", samples.SEASON, samples.AT).row_count == 5
     stored = spark.table(qualified_name("raw_transfermarkt__player_valuations"))
     assert {tuple(r) for r in stored.select("_season", "_source_url").collect()} == {
         (samples.SEASON, "https://corpus.example/transfermarkt")
     }
-    assert ingest_season(corpus, "fbref", "2024-2025")[0] == 0
+    assert ingest_season(corpus, "fbref", "2024-2025").row_count == 0
     assert spark.table(qualified_name("raw_fbref__player_season_stats")).count() == 7
+    with pytest.raises(ValueError, match="1999-2000"):
+        ingest_season(corpus, "fbref", "1999-2000")

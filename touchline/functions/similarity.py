@@ -108,6 +108,10 @@ def _jaro_winkler_udf(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(scores, dtype="object").where(~np.isnan(scores), None)
 
 
+# A filter on the score would otherwise be pushed below the projection and the pairs scored twice.
+_scored_once = _jaro_winkler_udf.asNondeterministic()
+
+
 def jaro_winkler(left: Column, right: Column) -> Column:
     """Similarity in [0, 1]; NULL if a side is NULL."""
-    return _jaro_winkler_udf(left, right)
+    return _scored_once(left, right)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ def spread_join(
     right: DataFrame,
     keys: Sequence[str],
     pairs_per_cell: int = PAIRS_PER_CELL,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Inner equi-join on ``keys``; every pair of a key appears exactly once.
 
@@ -29,6 +30,9 @@ def spread_join(
     of n slices and is repeated for m slices of the right side, and the other way round, so a
     pair meets in exactly one of n*m cells and the cells run on different tasks. All other keys
     keep one cell and are not repeated.
+
+    ``keep`` may write the list of hot keys. It is empty or short as a rule; once it is at rest
+    the planner sees its size, broadcasts it below the session's limit and shuffles otherwise.
     """
     sizes = (
         _weights(left, keys, "_nl")
@@ -40,7 +44,7 @@ def spread_join(
         F.lit(MAX_SIDE_CUTS),
         F.ceil(F.sqrt(F.col("_nl") * F.col("_nr") / F.lit(float(pairs_per_cell)))).cast("int"),
     )
-    hot = sizes.select(*keys, cuts.alias("_cuts"))
+    hot = keep(sizes.select(*keys, cuts.alias("_cuts")))
 
     def cut(df: DataFrame, own: str, other: str) -> DataFrame:
         cuts_here = F.coalesce(F.col("_cuts"), F.lit(1))

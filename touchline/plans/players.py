@@ -155,10 +155,13 @@ def _identical(wanted: DataFrame, offered: DataFrame, source: _Source) -> DataFr
 
 
 def _similar(
-    wanted: DataFrame, offered: DataFrame, source: _Source, pairs_per_cell: int
+    wanted: DataFrame, offered: DataFrame, source: _Source, pairs_per_cell: int, keep: Keep
 ) -> DataFrame:
     """Pairs of names that share block and linked team, scored by the similarity UDF."""
-    pairs = spread_join(wanted, offered, _BLOCK, pairs_per_cell)
+    pairs = spread_join(
+        wanted, offered, _BLOCK, pairs_per_cell,
+        keep=lambda hot: keep(hot, f"{source.prefix}_hot_blocks"),
+    )
     named = pairs.withColumn("name_score", jaro_winkler(F.col("hub_name"), F.col("other_name")))
     return _scored(named, source)
 
@@ -175,7 +178,8 @@ def candidates(
     Without a link between the teams a score is at most 0.6 + 0.1 = 0.7, below the 0.75 that is
     kept, so the linked team belongs into the join key and not into the score alone.
     """
-    return _similar(_wanted(hub, _links(xref, source)), _offered(other), source, pairs_per_cell)
+    wanted = _wanted(hub, _links(xref, source))
+    return _similar(wanted, _offered(other), source, pairs_per_cell, as_is)
 
 
 def best_matches(
@@ -212,7 +216,7 @@ def best_matches(
         )
     )
     rest = judged.filter(F.col("other_id").isNull()).drop("other_id")
-    kept = _similar(rest, offered, source, pairs_per_cell).filter(
+    kept = _similar(rest, offered, source, pairs_per_cell, keep).filter(
         F.col("composite_score") >= KEEP_SCORE
     )
     # At most one row per profile leaves a map task, whatever the number of pairs.
@@ -262,11 +266,13 @@ def player_xref(
         .when(F.col("_understat_id").isNotNull(), match_band(F.col("confidence")))
         .otherwise("unmatched")
     )
-    # Both match relations have one row per profile, so one exchange of the hub serves both joins.
+    # The two match relations have one row per profile. They are put together first, so that the
+    # hub, where many players may share a profile, takes part in a single join that Spark can
+    # split when one profile is hot.
+    matches = understat.join(transfermarkt, _PROFILE, "full")
     return (
         hub.select("fbref_player_id", *_PROFILE)
-        .join(understat, _PROFILE, "left")
-        .join(transfermarkt, _PROFILE, "left")
+        .join(matches, _PROFILE, "left")
         .join(manual, "fbref_player_id", "left")
         .select(
             F.coalesce("_manual_canonical", "fbref_player_id").alias("canonical_player_id"),

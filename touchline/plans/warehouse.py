@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from touchline.session import shared_folder, written
 from touchline.sources import pages as page_readers
 from touchline.sources.raw_table import read_raw_table, replace_season, source_url_list, stamp
 from touchline.sources.records import split_records
+from touchline.sources.seeds import LEAGUES, SEASON_LABELS
 
 _READERS = {
     "fbref": ("raw_fbref__player_season_stats", page_readers.read_fbref_pages),
@@ -26,26 +28,39 @@ _READERS = {
 }
 
 
+class IngestResult(NamedTuple):
+    row_count: int
+    leagues: list[str]
+    season: str
+    rejected: DataFrame
+
+
 def ingest_season(
     pages: DataFrame,
     source: str,
     season: str,
     at: datetime | None = None,
     location: str | None = None,
-) -> tuple[int, DataFrame]:
+) -> IngestResult:
     """Read one season of one source's pages into its raw table.
 
     ``source`` is a key of the readers; pages of the JSON form carry the source name without the
-    suffix. Returns the rows written and the rejected records with their reasons.
+    suffix. Records are written once before they are split, so pages are parsed a single time for
+    the valid and the rejected ones.
     """
+    if season not in SEASON_LABELS:
+        raise ValueError(f"season {season!r} is not one of {', '.join(SEASON_LABELS)}")
+    spark = pages.sparkSession
     table, reader = _READERS[source]
     schema = RAW_TABLES[table]
     batch = pages.filter(
         (F.col("source") == source.removesuffix("_json")) & (F.col("season") == season)
     )
-    valid, rejected = split_records(reader(batch), schema)
+    records = written(reader(batch), shared_folder(spark), f"{source}_records")
+    valid, rejected = split_records(records, schema)
     stamped = stamp(valid, season, source_url_list(batch), at)
-    return replace_season(pages.sparkSession, table, stamped, schema, season, location), rejected
+    rows = replace_season(spark, table, stamped, schema, season, location)
+    return IngestResult(rows, LEAGUES, season, rejected)
 
 
 def raw_tables(spark: SparkSession) -> dict[str, DataFrame]:
@@ -55,7 +70,7 @@ def raw_tables(spark: SparkSession) -> dict[str, DataFrame]:
 class Warehouse(Mapping):
     """All relations by name, each planned when it is first asked for.
 
-    A relation that more than one other relation reads (staging, cross-references) is
+    A relation that more than one other relation reads (staging, cross-references, dimensions) is
     written once to the shared folder and read back, so a fact does not repeat the matching for
     each of its inputs. Facts stay lazy for the caller to query or write.
     """
@@ -129,8 +144,14 @@ _RELATIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "dim_season": lambda w: dimensions.dim_season(w.spark),
     "dim_competition": lambda w: dimensions.dim_competition(w.spark),
-    "dim_team": lambda w: dimensions.dim_team(w.staged()[0], w["int_team_xref"]),
-    "dim_player": lambda w: dimensions.dim_player(w.staged()[0], w["int_player_xref"]),
+    # Written dimensions have a known size: the facts broadcast a small one without first
+    # shuffling their own rows for it.
+    "dim_team": lambda w: w.keep(
+        dimensions.dim_team(w.staged()[0], w["int_team_xref"]), "dim_team"
+    ),
+    "dim_player": lambda w: w.keep(
+        dimensions.dim_player(w.staged()[0], w["int_player_xref"]), "dim_player"
+    ),
     "fct_player_season_stats": lambda w: facts.fct_player_season_stats(
         w.staged()[0], w.staged()[1], w["int_player_xref"], w["int_team_xref"], *w.dimensions()
     ),

@@ -198,7 +198,7 @@ def data_tests(spark, sf_dir):
     w = built(spark, sf_dir)
     folder = shared_folder(spark)
     kept = {
-        name: written(df, folder, name) if name.startswith(("dim_", "fct_")) else df
+        name: written(df, folder, name) if name.startswith("fct_") else df
         for name, df in w.items()
     }
     return run_data_tests(DATA_TESTS, kept)

@@ -14,14 +14,14 @@ from pyspark.sql import types as T
 # Boost per shared leading byte, longest prefix that counts, least Jaro score boosted.
 _PREFIX_WEIGHT, _PREFIX_MAX, _BOOST_ABOVE = 0.1, 4, 0.7
 
-# Cells of one work matrix; pairs are cut into blocks of similar length below this size.
-_BLOCK_CELLS = 4_000_000
+# Cells of one work matrix: small enough to stay in the processor's cache.
+_BLOCK_CELLS = 200_000
 
 
-def _matrix(texts: list[bytes], width: int, filler: int) -> np.ndarray:
-    out = np.full((len(texts), width), filler, dtype=np.int16)
-    for row, text in enumerate(texts):
-        out[row, : len(text)] = np.frombuffer(text, dtype=np.uint8)
+def _matrix(texts: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    """One row per text, padded with zeros on the right."""
+    out = np.zeros((len(texts), int(lengths.max())), dtype=np.uint8)
+    out[np.arange(out.shape[1]) < lengths[:, None]] = np.frombuffer(b"".join(texts), dtype=np.uint8)
     return out
 
 
@@ -29,28 +29,30 @@ def _score_block(left: list[bytes], right: list[bytes]) -> np.ndarray:
     """Scores of non-empty pairs; all pairs advance together, one byte of the left text a step."""
     len_l = np.fromiter(map(len, left), dtype=np.int64, count=len(left))
     len_r = np.fromiter(map(len, right), dtype=np.int64, count=len(right))
-    a = _matrix(left, int(len_l.max()), -1)
-    b = _matrix(right, int(len_r.max()), -2)
-    rows = np.arange(len(left))
+    a, b = _matrix(left, len_l), _matrix(right, len_r)
     reach = np.maximum(np.maximum(len_l, len_r) // 2 - 1, 0)
+    widest = int(reach.max())
     cols = np.arange(b.shape[1])
     free = cols < len_r[:, None]
     hit_l = np.zeros(a.shape, dtype=bool)
     for i in range(a.shape[1]):
-        window = (cols >= (i - reach)[:, None]) & (cols <= (i + reach)[:, None])
-        fits = free & window & (b == a[:, i : i + 1])
+        # Bytes of the right text that some pair of the block may look at from here.
+        lo, hi = max(0, i - widest), min(b.shape[1], i + widest + 1)
+        if lo >= hi:
+            break
+        fits = b[:, lo:hi] == a[:, i : i + 1]
+        fits &= free[:, lo:hi]
+        fits &= np.abs(cols[lo:hi] - i) <= reach[:, None]
         first = fits.argmax(axis=1)
-        found = fits[rows, first]
+        found = np.nonzero(fits[np.arange(len(left)), first] & (i < len_l))[0]
         hit_l[found, i] = True
-        free[rows[found], first[found]] = False
+        free[found, lo + first[found]] = False
     hit_r = (cols < len_r[:, None]) & ~free
     matches = hit_l.sum(axis=1)
 
     # The k-th matched byte of the left text stands against the k-th of the right text.
-    row_l, pos_l = np.nonzero(hit_l)
-    row_r, pos_r = np.nonzero(hit_r)
-    differs = a[row_l, pos_l] != b[row_r, pos_r]
-    swaps = np.bincount(row_l[differs], minlength=len(left)) // 2
+    differs = a[hit_l] != b[hit_r]
+    swaps = np.bincount(np.nonzero(hit_l)[0][differs], minlength=len(left)) // 2
 
     m = matches.astype(np.float64)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -58,7 +60,8 @@ def _score_block(left: list[bytes], right: list[bytes]) -> np.ndarray:
     jaro = np.where(matches == 0, 0.0, jaro)
 
     shared = min(_PREFIX_MAX, a.shape[1], b.shape[1])
-    prefix = np.cumprod(a[:, :shared] == b[:, :shared], axis=1).sum(axis=1)
+    both = np.arange(shared) < np.minimum(len_l, len_r)[:, None]
+    prefix = np.cumprod((a[:, :shared] == b[:, :shared]) & both, axis=1).sum(axis=1)
     # Product and sum are rounded once, as by a fused multiply-add: scores on a limit depend on it.
     wide = np.longdouble
     boosted = jaro + (prefix * _PREFIX_WEIGHT).astype(wide) * (1.0 - jaro).astype(wide)
@@ -70,27 +73,23 @@ def jaro_winkler_arrays(left: list[bytes | None], right: list[bytes | None]) ->
     out = np.full(len(left), np.nan)
     todo = []
     for i, (x, y) in enumerate(zip(left, right)):
-        if x is None or y is None:
-            continue
-        if x == y:
-            out[i] = 1.0 if x else 0.0
-        elif x and y:
+        if x and y and x != y:
             todo.append(i)
-        else:
-            out[i] = 0.0
-    todo.sort(key=lambda i: max(len(left[i]), len(right[i])))
+        elif x is not None and y is not None:
+            out[i] = 1.0 if x and x == y else 0.0
+    if not todo:
+        return out
+    # In order of length, so that short pairs are not padded to the width of long ones.
+    width = np.array([max(len(left[i]), len(right[i])) for i in todo])
+    order = np.argsort(width, kind="stable")
     start = 0
-    while start < len(todo):
-        # Pairs are in order of length, so the last one of a block sets its width.
-        stop = start + 1
-        while stop < len(todo):
-            width = max(len(left[todo[stop]]), len(right[todo[stop]]))
-            if (stop - start + 1) * width > _BLOCK_CELLS:
-                break
-            stop += 1
-        chosen = todo[start:stop]
+    while start < len(order):
+        rows = max(1, _BLOCK_CELLS // int(width[order[start]]))
+        # The block is cut again where its last pair would make it too wide.
+        rows = max(1, min(rows, _BLOCK_CELLS // int(width[order[min(start + rows, len(order)) - 1]])))
+        chosen = [todo[k] for k in order[start : start + rows]]
         out[chosen] = _score_block([left[i] for i in chosen], [right[i] for i in chosen])
-        start = stop
+        start += rows
     return out
 
 

@@ -86,10 +86,14 @@ def club_affixes(spark, sf_dir):
 )
 def typed_cast(spark, sf_dir):
     line = F.col("l_linenumber")
-    price = F.when(line == 7, "n/a").otherwise(F.format_number(F.floor("l_extendedprice"), 0))
+    whole = F.floor("l_extendedprice")
+    thousands = F.concat(
+        F.floor(whole / 1000).cast("string"), F.lit(","), F.lpad((whole % 1000).cast("string"), 3, "0")
+    )
+    price = F.when(line == 7, "n/a").otherwise(thousands)
     quantity = F.when(line == 6, "").otherwise(F.col("l_quantity").cast("string"))
     discount = F.when(line == 5, "-").otherwise(F.col("l_discount").cast("string"))
-    tax = F.concat(F.lit("1,234"), F.substring(F.format_string("%.2f", "l_tax"), 2, 9))
+    tax = F.concat(F.lit("1,234"), F.substring(F.col("l_tax").cast("string"), 2, 9))
     return read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
         text.grouped_int(price).alias("price"),

@@ -39,7 +39,8 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey
 """
 
 PLAYERS = """
-SELECT p_partkey AS p, p_name, p_type || CAST(p_size AS STRING) AS family,
+SELECT p_partkey AS p, p_name, p_type AS kind, p_brand AS brand, p_size AS size,
+  p_type || CAST(p_size AS STRING) AS family,
   CASE WHEN p_partkey % 3 = 0 THEN replace(replace(p_name, 'e', 'é'), 'o', 'ö') ELSE p_name END
     AS spelled,
   p_retailprice AS price
@@ -98,7 +99,7 @@ FROM (
 ) total JOIN {{players}} USING (p)
 """
 
-# Most names agree, some are swapped, cut or stretched; every seventh player is there twice.
+# Most names agree, some are swapped, cut or stretched; one brand is missing, one is there twice.
 _UNDERSTAT_NAME = """CASE p % 6
     WHEN 3 THEN split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1)
     WHEN 4 THEN substr(p_name, 2) WHEN 5 THEN replace(p_name, 'a', 'aa') ELSE p_name END
@@ -118,10 +119,10 @@ _UNDERSTAT_BODY = f"""{_UNDERSTAT_NAME}, understat_team AS team_name, league, se
 
 RAW_UNDERSTAT = f"""
 SELECT 'u' || CAST(p AS STRING) AS player_id, {_UNDERSTAT_BODY}
-FROM {{lines}} JOIN {{clubs}} USING (s) JOIN {{players}} USING (p) WHERE p % 10 <> 0
+FROM {{lines}} JOIN {{clubs}} USING (s) JOIN {{players}} USING (p) WHERE brand <> 'Brand#3'
 UNION ALL
 SELECT 'a' || CAST(p AS STRING) AS player_id, {_UNDERSTAT_BODY}
-FROM {{lines}} JOIN {{clubs}} USING (s) JOIN {{players}} USING (p) WHERE p % 7 = 0
+FROM {{lines}} JOIN {{clubs}} USING (s) JOIN {{players}} USING (p) WHERE brand = 'Brand#7'
 """
 
 _TRANSFERMARKT_BODY = """'t' || CAST(p AS STRING) AS player_id,
@@ -138,28 +139,28 @@ _TRANSFERMARKT_BODY = """'t' || CAST(p AS STRING) AS player_id,
   CASE WHEN p % 11 = 0 THEN NULL ELSE 'Norway' END AS nationality,
   CAST(18 + p % 20 AS INT) AS age"""
 
-# Every fourth player was ingested twice; the later batch has another value.
+# One kind of player is missing; another was ingested twice, the later batch with another value.
 RAW_TRANSFERMARKT = f"""
 SELECT {_TRANSFERMARKT_BODY},
   CASE WHEN p % 37 = 0 THEN NULL WHEN p % 41 = 0 THEN 3000000000
     ELSE qty * 1000000 + CAST(floor(price) AS BIGINT) END AS market_value_eur, {_STAMP}
-FROM {{lines}} JOIN {{clubs}} USING (s) JOIN {{players}} USING (p) WHERE p % 3 <> 0
+FROM {{lines}} JOIN {{clubs}} USING (s) JOIN {{players}} USING (p) WHERE kind <> 'PROMO'
 UNION ALL
 SELECT {_TRANSFERMARKT_BODY}, qty * 500000 AS market_value_eur,
   TIMESTAMP '2025-01-01 00:00:00' AS _ingested_at,
   'https://corpus.example/' || season AS _source_url, season AS _season
-FROM {{lines}} JOIN {{clubs}} USING (s) JOIN {{players}} USING (p) WHERE p % 12 = 1
+FROM {{lines}} JOIN {{clubs}} USING (s) JOIN {{players}} USING (p) WHERE kind = 'SMALL'
 """
 
 ALIASES = """
 SELECT 'fbref' AS source, 'united ' || CAST(s AS STRING) || ' fc' AS source_team_name,
-  'united ' || CAST(s AS STRING) AS canonical_team_name, league FROM {clubs} WHERE s % 4 = 1
+  'united ' || CAST(s AS STRING) AS canonical_team_name, league FROM {clubs} WHERE fbref_team LIKE 'Ünited %'
 UNION ALL
 SELECT 'transfermarkt' AS source, 'fc united ' || CAST(s AS STRING) AS source_team_name,
-  'united ' || CAST(s AS STRING) AS canonical_team_name, league FROM {clubs} WHERE s % 4 = 1
+  'united ' || CAST(s AS STRING) AS canonical_team_name, league FROM {clubs} WHERE fbref_team LIKE 'Ünited %'
 UNION ALL
 SELECT 'understat' AS source, 'athletic ' || CAST(s AS STRING) AS source_team_name,
-  'atletico ' || CAST(s AS STRING) AS canonical_team_name, league FROM {clubs} WHERE s % 12 = 3
+  'atletico ' || CAST(s AS STRING) AS canonical_team_name, league FROM {clubs} WHERE understat_team LIKE 'Athletic %' AND league <> 'Ligue 1'
 """
 
 OVERRIDES = """
@@ -168,7 +169,7 @@ SELECT 'f' || CAST(p AS STRING) AS fbref_player_id,
   CASE WHEN p % 5 = 0 THEN 't' || CAST(p + 1 AS STRING) ELSE NULL END AS transfermarkt_player_id,
   CASE WHEN p % 3 = 0 THEN 'c' ELSE 'f' END || CAST(p AS STRING) AS canonical_player_id,
   'checked by hand' AS override_reason
-FROM {players} WHERE p % 97 = 5
+FROM {players} WHERE size = 4
 """
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()

@@ -46,13 +46,13 @@ FROM (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events)"""
 
 
 @query(
-    _TABLE_SQL.replace("SELECT *,", "SELECT event_id, user_id, ts, CASE WHEN "
+    _TABLE_SQL.replace("SELECT *,", "SELECT event_id, user_id, event_type, ts, CASE WHEN "
                        f"strftime(ts, '%Y-%m-%d') = '{_DAY}' THEN value + 1000 ELSE value END AS value,")
-    + f" WHERE day <> '{_DAY}' OR event_id % 2 = 0 GROUP BY day"
+    + f" WHERE day <> '{_DAY}' OR event_type <> 'error' GROUP BY day"
 )
 def replace_partition(spark, sf_dir):
     def change(batch: DataFrame) -> DataFrame:
-        return batch.filter(F.col("event_id") % 2 == 0).withColumn("value", F.col("value") + 1000)
+        return batch.filter(F.col("event_type") != "error").withColumn("value", F.col("value") + 1000)
 
     return _replaced(spark, sf_dir, change)
 

@@ -159,3 +159,23 @@ def test_ingest_from_pages(spark):
     assert spark.table(qualified_name("raw_fbref__player_season_stats")).count() == 7
     with pytest.raises(ValueError, match="1999-2000"):
         ingest_season(corpus, "fbref", "1999-2000")
+
+
+def test_markup_reads_attributes_and_raw_text():
+    html = """<!DOCTYPE html><script>var t = "<td>no</td>";</script><STYLE>a<b</STYLE>
+    <A HREF=/x/ title='it&apos;s > "q"' checked data-stat = "n">t &amp; u</A><img src="a>b"/>after <b <i>"""
+    root, _ = markup.parse(html)
+    link = root.find("a")
+    assert link.attrs == {"href": "/x/", "title": 'it\'s > "q"', "checked": "", "data-stat": "n"}
+    assert link.text == "t & u" and root.find("td") is None
+    assert root.find("img").attrs == {"src": "a>b"}
+
+
+def test_broken_markup_is_read_in_linear_time():
+    import time
+
+    start = time.monotonic()
+    for piece in ("a<b ", "<a '", '<td class="', "<!-- ", "<", "</", "<p x=", "<table><tr><td>"):
+        markup.parse(piece * 20_000)
+        markup.parse(piece * 20_000 + "<p>")
+    assert time.monotonic() - start < 10

@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
+
+# A start or end tag, or a declaration. Possessive, so that broken markup costs no backtracking.
+_TAG = re.compile(
+    r"""<(?:(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)
+      | [!?][^>]*+)>""",
+    re.X,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_RAW_END = {tag: re.compile(rf"</{tag}\b", re.I) for tag in ("script", "style")}
 
 _VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track",
@@ -23,10 +33,20 @@ _BARRIER = {"table", "ul", "ol", "select", "html"}
 
 
 class Node:
-    __slots__ = ("attrs", "children", "tag")
+    __slots__ = ("_attrs", "children", "tag")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: str = ""):
+        self.tag, self._attrs, self.children = tag, attrs, []
+
+    @property
+    def attrs(self) -> dict[str, str]:
+        """Attributes by lower-case name; the text of a tag is taken apart when first asked for."""
+        if isinstance(self._attrs, str):
+            found: dict[str, str] = {}
+            for name, double, single, bare in _ATTRIBUTE.findall(self._attrs):
+                found.setdefault(name.lower(), unescape(double or single or bare))
+            self._attrs = found
+        return self._attrs
 
     def walk(self):
         """Descendant elements in document order."""
@@ -68,35 +88,30 @@ class Node:
         return "".join(t.strip() for t in self.texts())
 
 
-class _TreeBuilder(HTMLParser):
+class _Tree:
+    """Elements that are open while a page is read from left to right."""
+
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Node("html", {})
+        self.root = Node("html")
         self.open = [self.root]
-        self.comments: list[str] = []
 
-    def handle_starttag(self, tag, attrs):
+    def start(self, tag: str, attrs: str) -> None:
         ends = _ENDS.get(tag)
         if ends:
-            depth = len(self.open) - 1
             last = None
-            while depth > 0 and self.open[depth].tag not in _BARRIER:
+            for depth in range(len(self.open) - 1, 0, -1):
+                if self.open[depth].tag in _BARRIER:
+                    break
                 if self.open[depth].tag in ends:
                     last = depth
-                depth -= 1
             if last is not None:
                 del self.open[last:]
-        node = Node(tag, {k: v or "" for k, v in attrs})
+        node = Node(tag, attrs)
         self.open[-1].children.append(node)
         if tag not in _VOID:
             self.open.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
+    def end(self, tag: str) -> None:
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
                 del self.open[depth:]
@@ -104,16 +119,38 @@ class _TreeBuilder(HTMLParser):
             if self.open[depth].tag == "table":
                 return
 
-    def handle_data(self, data):
-        self.open[-1].children.append(data)
-
-    def handle_comment(self, data):
-        self.comments.append(data)
+    def text(self, data: str) -> None:
+        self.open[-1].children.append(unescape(data) if "&" in data else data)
 
 
 def parse(html: str) -> tuple[Node, list[str]]:
     """Element tree and comments of a page."""
-    builder = _TreeBuilder()
-    builder.feed(html)
-    builder.close()
-    return builder.root, builder.comments
+    tree, comments = _Tree(), []
+    text_from = position = 0
+    last_tag_end = html.rfind(">")
+    while -1 < (position := html.find("<", position)) < last_tag_end:
+        begin, token = position, None
+        if html.startswith("<!--", begin):
+            stop = html.find("-->", begin + 4)
+            comments.append(html[begin + 4 : stop if stop >= 0 else len(html)])
+            position = stop + 3 if stop >= 0 else len(html)
+        elif token := _TAG.match(html, begin):
+            position = token.end()
+        else:
+            position += 1  # a bare '<' belongs to the text
+            continue
+        if begin > text_from:
+            tree.text(html[text_from:begin])
+        if token and token["tag"]:
+            tag = token["tag"].lower()
+            if token["close"]:
+                tree.end(tag)
+            else:
+                tree.start(tag, token["attrs"])
+                if tag in _RAW_END:
+                    raw_end = _RAW_END[tag].search(html, position)
+                    position = raw_end.start() if raw_end else len(html)
+        text_from = position
+    if text_from < len(html):
+        tree.text(html[text_from:])
+    return tree.root, comments

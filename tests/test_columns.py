@@ -86,6 +86,8 @@ def test_ages_and_dates(spark):
         "Jul 21, 2000 (23)": datetime.date(2000, 7, 21), "Sep 5, 2001": datetime.date(2001, 9, 5),
         "born Sep 5, 2001": None, "": None,
     })
+    check(spark, text.iso_date, {"2000-07-21": datetime.date(2000, 7, 21), "2000-7-1": datetime.date(2000, 7, 1),
+                                 "Jul 21, 2000": None, "2000-13-01": None})
     check(spark, text.age_in_parentheses, {"Jul 21, 2000 (23)": 23, "Jul 21, 2000": None})
     check(spark, text.is_club_total, {"2 Clubs": True, "1 Club": True, "Club 2": False, None: False})
 

@@ -5,7 +5,7 @@ import samples
 from touchline.operators import quality
 from touchline.plans.checks import DATA_TESTS
 from touchline.plans.warehouse import Warehouse
-from touchline.schemas import UNDERSTAT_STATS, as_nullable, with_metadata
+from touchline.schemas import UNDERSTAT_STATS, with_metadata
 from touchline.session import shared_folder
 from touchline.sources import raw_table
 from touchline.sources.seeds import player_overrides, team_aliases

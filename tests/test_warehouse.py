@@ -1,6 +1,5 @@
 import random
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 

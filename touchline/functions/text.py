@@ -114,7 +114,7 @@ def written_date(c: Column) -> Column:
 
 
 def iso_date(c: Column) -> Column:
-    return F.try_to_date(c, "yyyy-MM-dd")
+    return F.try_to_date(c, "yyyy-M-d")
 
 
 def is_club_total(team_name: Column) -> Column:

@@ -7,8 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAIRS_PER_CELL = 4_000_000
-MAX_SIDE_CUTS = 256
+PAIRS_PER_CELL = 1_000_000
 
 
 def _weights(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -26,10 +25,14 @@ def spread_join(
 
     Size-based skew handling does not see a key whose rows are few but whose pairs are many.
     The pairs per key are therefore counted first, from one pre-aggregated row per key and side.
-    A key with more pairs than ``pairs_per_cell`` is cut into a grid: each left row goes to one
-    of n slices and is repeated for m slices of the right side, and the other way round, so a
-    pair meets in exactly one of n*m cells and the cells run on different tasks. All other keys
-    keep one cell and are not repeated.
+    A key with more pairs than ``pairs_per_cell`` is cut into slices of the square root of that
+    number of rows: each left row goes to one left slice and is repeated for every right slice,
+    and the other way round, so a pair meets in exactly one cell of the grid and the cells run on
+    different tasks. That shape repeats the fewest rows; a short side is not cut at all. All other
+    keys keep one cell and are not repeated.
+
+    Slices are chosen by a hash of the row, which a lost task repeats in the same way. Rows should
+    therefore be distinct; equal rows stay together.
 
     ``keep`` may write the list of hot keys. It is empty or short as a rule; once it is at rest
     the planner sees its size, broadcasts it below the session's limit and shuffles otherwise.
@@ -37,26 +40,28 @@ def spread_join(
     sizes = (
         _weights(left, keys, "_nl")
         .join(_weights(right, keys, "_nr"), list(keys))
-        .filter(F.col("_nl") * F.col("_nr") > pairs_per_cell)
+        .filter(F.col("_nl").cast("double") * F.col("_nr") > pairs_per_cell)
     )
-    # Side length of the grid: cuts*cuts cells of at most pairs_per_cell pairs each.
-    cuts = F.least(
-        F.lit(MAX_SIDE_CUTS),
-        F.ceil(F.sqrt(F.col("_nl") * F.col("_nr") / F.lit(float(pairs_per_cell)))).cast("int"),
+    slice_rows = float(pairs_per_cell) ** 0.5
+    hot = keep(
+        sizes.select(
+            *keys,
+            F.ceil(F.col("_nl") / slice_rows).cast("int").alias("_cuts_l"),
+            F.ceil(F.col("_nr") / slice_rows).cast("int").alias("_cuts_r"),
+        )
     )
-    hot = keep(sizes.select(*keys, cuts.alias("_cuts")))
 
     def cut(df: DataFrame, own: str, other: str) -> DataFrame:
-        cuts_here = F.coalesce(F.col("_cuts"), F.lit(1))
         row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
         return (
             df.join(hot, list(keys), "left")
-            .withColumn(own, F.pmod(row_hash, cuts_here).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), cuts_here - 1)))
-            .drop("_cuts")
+            .withColumn(f"_cut_{own}", F.pmod(row_hash, F.coalesce(f"_cuts_{own}", F.lit(1))).cast("int"))
+            .withColumn(
+                f"_cut_{other}",
+                F.explode(F.sequence(F.lit(0), F.coalesce(f"_cuts_{other}", F.lit(1)) - 1)),
+            )
+            .drop("_cuts_l", "_cuts_r")
         )
 
-    joined = cut(left, "_cut_l", "_cut_r").join(
-        cut(right, "_cut_r", "_cut_l"), [*keys, "_cut_l", "_cut_r"]
-    )
+    joined = cut(left, "l", "r").join(cut(right, "r", "l"), [*keys, "_cut_l", "_cut_r"])
     return joined.drop("_cut_l", "_cut_r")

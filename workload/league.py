@@ -172,9 +172,6 @@ SELECT 'f' || CAST(p AS STRING) AS fbref_player_id,
 FROM {players} WHERE size = 4
 """
 
-TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.quality import run_data_tests
-from touchline.plans import checks, players, staging
+from touchline.plans import checks, dimensions, players, staging
 from touchline.plans.checks import DATA_TESTS
 from touchline.session import shared_folder, written
 from workload import oracle
@@ -128,13 +128,11 @@ JOIN dim_competition ON league = competition_name GROUP BY ALL"""
     )
 )
 def constant_dimensions(spark, sf_dir):
-    from touchline.plans.dimensions import dim_competition, dim_season
-
     raw, _, _ = inputs(spark, sf_dir)
     staged = staging.stage_fbref(raw["raw_fbref__player_season_stats"])
     counted = staged.groupBy("season", "league").agg(F.count(F.lit(1)).alias("n_rows"))
-    seasons = dim_season(spark).withColumn("season", F.col("season_label"))
-    leagues = dim_competition(spark).withColumn("league", F.col("competition_name"))
+    seasons = dimensions.dim_season(spark).withColumn("season", F.col("season_label"))
+    leagues = dimensions.dim_competition(spark).withColumn("league", F.col("competition_name"))
     return _shown(
         counted.join(F.broadcast(seasons), "season").join(F.broadcast(leagues), "league")
         .drop("season", "league")

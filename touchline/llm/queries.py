@@ -105,7 +105,7 @@ WITH items AS (
 ), found AS (
   SELECT p.doc_id, p.i, p.size, v.item_id FROM places p JOIN item_windows v ON p.size = v.size AND p.win = v.win
 ), hit AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS at FROM found)
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found)
   GROUP BY doc_id
 ), named AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids

@@ -5,9 +5,9 @@ path whose pieces start first, as the library's lattice search does. A character
 score less ten and is written as byte pieces. White space is escaped and a blank is put in front, as the model says.
 
 The search keeps, besides the open ends, only what is not yet settled: as soon as the back pointers of all open
-ends meet in one boundary, the ids before it are committed and forgotten. No piece of the model that can win
-goes over a blank or a line break, so all paths meet there; units between these places are searched once and
-remembered by the worker.
+ends meet in one boundary, the ids before it are committed and forgotten. No piece of the model goes from a
+word to a blank or over a line break, so all paths meet there; units between these places are searched once
+and remembered by the worker.
 
 The public SentencePiece model at hand was trained as a BPE model. The search is over its pieces and scores and gives
 the best segmentation; the merge order of BPE may choose another one. Decoding is the same for both.
@@ -50,12 +50,8 @@ class PieceModel:
         self.longest = max(map(len, pieces), default=1)
         self.prefixes = {p[:n] for p in pieces for n in range(1, len(p) + 1)}
         self.unknown = min((s for _, s in pieces.values()), default=0.0) - UNKNOWN_PENALTY
-        blank = pieces.get(BLANK, (0, self.unknown))[1]
-        # Units end before a blank and before a line break if no piece that can win goes over these places.
-        self.splits = all(
-            (BLANK not in p[1:] or (set(p) == {BLANK} and s < blank * len(p))) and "\n" not in p
-            for p, (_, s) in pieces.items()
-        )
+        # Units begin with a run of blanks or a line break if no piece goes over such a place.
+        self.splits = all(BLANK not in p.lstrip(BLANK) and "\n" not in p for p in pieces)
         size = 1 + max([i for i, _ in pieces.values()] + byte_ids)
         parts: list[bytes] = [b""] * size
         for p, (i, _) in pieces.items():
@@ -122,12 +118,30 @@ class PieceModel:
 
     def unit(self, unit: bytes) -> list[int]:
         text = unit.decode("utf-8", "replace")
-        return self.search(text if text[:1] == "\n" else BLANK + text)
+        return self.search(text if text[:1] == "\n" else BLANK + text.replace(" ", BLANK))
 
     def units(self, text: bytes) -> list[bytes]:
+        """The units of a text, each without its first blank; one that begins with a line break has none."""
         if not text:
             return []
-        return text.replace(b"\n", b" \n").split(b" ")
+        parts = text.replace(BLANK.encode(), b" ").replace(b"\n", b" \n").split(b" ")
+        if b"" not in parts:
+            return parts
+        out, blanks = [], 0
+        for part in parts:
+            if not part:
+                blanks += 1
+            elif part[:1] == b"\n":
+                if blanks:
+                    out.append(b" " * (blanks - 1))
+                out.append(part)
+                blanks = 0
+            else:
+                out.append(b" " * blanks + part)
+                blanks = 0
+        if blanks:
+            out.append(b" " * (blanks - 1))
+        return out
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; the empty text has none."""

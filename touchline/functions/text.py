@@ -20,6 +20,10 @@ _AGE_IN_PARENTHESES = r"\((\d+)\)"
 _CLUB_TOTAL = r"\d+\s+Clubs?"
 
 
+# Text that stands for a number: decimal notation with an exponent, or one of the words for special values.
+_NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|nan|inf|infinity)\s*$"
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
@@ -35,11 +39,12 @@ def whole_number(c: Column) -> Column:
     Every 32-bit integer is exact as a double, so one cast serves both. A failing cast of text to
     int is to be avoided: it is far slower than one that succeeds.
     """
-    return c.try_cast("double").try_cast("int")
+    return decimal_number(c).try_cast("int")
 
 
 def decimal_number(c: Column) -> Column:
-    return c.try_cast("double")
+    """Text to double; a type suffix or hexadecimal digits, which a cast alone would take, give NULL."""
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
 def grouped_int(c: Column) -> Column:
@@ -49,7 +54,7 @@ def grouped_int(c: Column) -> Column:
 
 
 def grouped_double(c: Column) -> Column:
-    return F.replace(c, F.lit(",")).try_cast("double")
+    return decimal_number(F.replace(c, F.lit(",")))
 
 
 def market_value(c: Column) -> Column:
@@ -94,9 +99,10 @@ def embedded_players_json(html: Column) -> Column:
 
 
 def json_objects(c: Column) -> Column:
-    """JSON list of objects as array<map<string,string>>; NULL for anything else."""
-    return F.when(
-        F.ltrim(c).startswith("["), F.from_json(c, "array<map<string,string>>")
+    """JSON list as array<map<string,string>>, NULL elements where it holds no object; NULL for anything else."""
+    elements = F.from_json(F.when(c.rlike(r"^\s*\["), c), "array<string>")
+    return F.transform(
+        elements, lambda e: F.when(e.rlike(r"^\s*\{"), F.from_json(e, "map<string,string>"))
     )
 
 

@@ -111,6 +111,10 @@ def fct_player_season_valuations(
     clubs = team_xref.select(
         F.col("transfermarkt_team_name").alias("team_name"), "league", "canonical_team_id"
     ).dropna(subset=["team_name"])
+    # The keys are resolved on clubs and on matched players, so the valuations move once for each of both.
+    clubs = clubs.join(dim_team.select("team_key", "canonical_team_id"), "canonical_team_id")
+    people = matched.join(dim_player.select("player_key", "canonical_player_id"), "canonical_player_id")
+    clubs, people = clubs.drop("canonical_team_id"), people.drop("canonical_player_id")
     return (
         stg_transfermarkt.select(
             "transfermarkt_player_id", "season", "league", "team_name",
@@ -119,9 +123,7 @@ def fct_player_season_valuations(
         .join(_season_keys(dim_season), "season")
         .join(_competition_keys(dim_competition), "league")
         .join(clubs, ["team_name", "league"])
-        .join(dim_team.select("team_key", "canonical_team_id"), "canonical_team_id")
-        .join(matched, ["transfermarkt_player_id", "season"])
-        .join(dim_player.select("player_key", "canonical_player_id"), "canonical_player_id")
+        .join(people, ["transfermarkt_player_id", "season"])
         .select(
             surrogate_key("player_key", "team_key", "season_key").alias("valuation_key"),
             "player_key", "team_key", "season_key", "competition_key",

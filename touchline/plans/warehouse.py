@@ -14,16 +14,28 @@ from touchline.plans import dimensions, facts, players, staging, teams
 from touchline.schemas import RAW_TABLES
 from touchline.session import shared_folder, written
 from touchline.sources import pages as page_readers
-from touchline.sources.raw_table import read_raw_table, replace_season, source_url_list, stamp
+from touchline.sources.raw_table import (
+    read_raw_table, remove_folder, replace_season, source_url_list, stamp,
+)
 from touchline.sources.records import split_records
 from touchline.sources.seeds import LEAGUES, SEASON_LABELS
 
+# Raw table, rows of pages, and the typed records of these rows.
 _READERS = {
-    "fbref": ("raw_fbref__player_season_stats", page_readers.read_fbref_pages),
-    "understat": ("raw_understat__player_season_stats", page_readers.read_understat_pages),
-    "understat_json": ("raw_understat__player_season_stats", page_readers.read_understat_json),
+    "fbref": (
+        "raw_fbref__player_season_stats", page_readers.fbref_rows, page_readers.fbref_records,
+    ),
+    "understat": (
+        "raw_understat__player_season_stats", page_readers.understat_rows,
+        page_readers.understat_records,
+    ),
+    "understat_json": (
+        "raw_understat__player_season_stats", page_readers.understat_json_rows,
+        page_readers.understat_records,
+    ),
     "transfermarkt": (
-        "raw_transfermarkt__player_valuations", page_readers.read_transfermarkt_pages,
+        "raw_transfermarkt__player_valuations", page_readers.transfermarkt_rows,
+        page_readers.transfermarkt_records,
     ),
 }
 
@@ -33,6 +45,9 @@ class IngestResult(NamedTuple):
     leagues: list[str]
     season: str
     rejected: DataFrame
+    # Pages that gave no rows, with the reason, and rows that are no records.
+    page_problems: DataFrame
+    skipped_rows: DataFrame
 
 
 def ingest_season(
@@ -41,26 +56,34 @@ def ingest_season(
     season: str,
     at: datetime | None = None,
     location: str | None = None,
+    table: str | None = None,
+    allow_unreadable: bool = False,
 ) -> IngestResult:
-    """Read one season of one source's pages into its raw table.
+    """Read one season of one source's pages into its raw table (``table``, if another name is given).
 
     ``source`` is a key of the readers; pages of the JSON form carry the source name without the
-    suffix. Records are written once before they are split, so pages are parsed a single time for
-    the valid and the rejected ones.
+    suffix. The rows of pages are written once before they are split, so pages are parsed a single
+    time for the valid records, the rejected ones and the problems. Pages of which none could be
+    read do not clear the season, unless ``allow_unreadable`` asks for it.
     """
     if season not in SEASON_LABELS:
         raise ValueError(f"season {season!r} is not one of {', '.join(SEASON_LABELS)}")
     spark = pages.sparkSession
-    table, reader = _READERS[source]
-    schema = RAW_TABLES[table]
+    default_table, read_rows, to_records = _READERS[source]
+    schema = RAW_TABLES[default_table]
     batch = pages.filter(
         (F.col("source") == source.removesuffix("_json")) & (F.col("season") == season)
     )
-    records = written(reader(batch), shared_folder(spark), f"{source}_records")
-    valid, rejected = split_records(records, schema)
+    rows = written(read_rows(batch), shared_folder(spark), f"{source}_rows")
+    problems = page_readers.page_problems(rows)
+    if not allow_unreadable and not problems.isEmpty() and rows.filter("page_problem is null").isEmpty():
+        reasons = [r["reason"] for r in problems.select("reason").distinct().limit(5).collect()]
+        raise ValueError(f"no page of {source} {season} could be read: {', '.join(sorted(reasons))}")
+    valid, rejected = split_records(to_records(rows), schema)
     stamped = stamp(valid, season, source_url_list(batch), at)
-    rows = replace_season(spark, table, stamped, schema, season, location)
-    return IngestResult(rows, LEAGUES, season, rejected)
+    count = replace_season(spark, table or default_table, stamped, schema, season, location)
+    skipped = rows.filter("page_problem is null and skip_reason is not null")
+    return IngestResult(count, LEAGUES, season, rejected, problems, skipped)
 
 
 def raw_tables(spark: SparkSession) -> dict[str, DataFrame]:
@@ -90,8 +113,8 @@ class Warehouse(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._ready:
-            if name.startswith("stg_"):
-                self._stage()
+            if name in _STAGING:
+                self._ready[name] = self.keep(_STAGING[name](self), name)
             elif name in _RELATIONS:
                 self._ready[name] = _RELATIONS[name](self)
             else:
@@ -107,16 +130,22 @@ class Warehouse(Mapping):
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         return written(df, self.folder, name)
 
-    def _stage(self) -> None:
-        """The staging relations depend on raw tables only; their jobs run side by side."""
-        planned = {name: plan(self) for name, plan in _STAGING.items()}
-        with ThreadPoolExecutor(len(planned)) as jobs:
-            self._ready.update(
-                zip(planned, jobs.map(self.keep, planned.values(), planned.keys()))
-            )
-
     def staged(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return tuple(self[name] for name in _STAGING)
+        """All staging relations. They depend on raw tables only; their jobs run side by side."""
+        planned = {name: plan(self) for name, plan in _STAGING.items() if name not in self._ready}
+        with ThreadPoolExecutor(max(1, len(planned))) as jobs:
+            self._ready.update(zip(planned, jobs.map(self.keep, planned.values(), planned.keys())))
+        return tuple(self._ready[name] for name in _STAGING)
+
+    def close(self) -> None:
+        """Remove what the warehouse wrote; its relations cannot be read after that."""
+        remove_folder(self.spark, self.folder)
+
+    def __enter__(self) -> Warehouse:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
     def dimensions(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         return tuple(self[d] for d in ("dim_player", "dim_team", "dim_season", "dim_competition"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A join on player and season may use rows that are already partitioned by player.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Page bodies are large: a batch for Python is bounded by bytes and not by rows alone.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
 }
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
@@ -23,7 +29,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **settings: str) -> SparkSession:
-    """A session on one machine, for tests and benchmarks."""
+    """A session on one machine, for tests and benchmarks; its shared folder is a temporary one."""
+    settings.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="touchline-"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("touchline")
@@ -38,17 +45,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **settings: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the checkpoint folder that the cluster names.
+    """A new folder under the checkpoint folder that the cluster names; all executors share it.
 
-    Only a local session may go without one; it gets a temporary folder on this machine.
+    A cluster must name one. A local session that does not gets one temporary folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="touchline-")
+        root = _OWN_FOLDERS.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="touchline-")
+        _OWN_FOLDERS[context.applicationId] = root
     return f"{root.rstrip('/')}/touchline-{uuid.uuid4().hex}"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html import unescape
 
 # A start or end tag, or a declaration. Possessive, so that broken markup costs no backtracking.
@@ -89,35 +90,48 @@ class Node:
 
 
 class _Tree:
-    """Elements that are open while a page is read from left to right."""
+    """Elements that are open while a page is read from left to right.
+
+    Depths of open elements are kept per tag and per row or cell scope, so that a tag without a partner costs a look-up
+    and not a walk over what is open; broken markup is read in linear time.
+    """
 
     def __init__(self):
         self.root = Node("html")
         self.open = [self.root]
+        self.depths: dict[str, list[int]] = {}
+        self.barriers = [0]
+
+    def _cut(self, depth: int) -> None:
+        for node in reversed(self.open[depth:]):
+            self.depths[node.tag].pop()
+            if node.tag in _BARRIER:
+                self.barriers.pop()
+        del self.open[depth:]
 
     def start(self, tag: str, attrs: str) -> None:
-        ends = _ENDS.get(tag)
-        if ends:
-            last = None
-            for depth in range(len(self.open) - 1, 0, -1):
-                if self.open[depth].tag in _BARRIER:
-                    break
-                if self.open[depth].tag in ends:
-                    last = depth
-            if last is not None:
-                del self.open[last:]
+        first = None
+        for other in _ENDS.get(tag, ()):
+            depths = self.depths.get(other)
+            if depths and depths[-1] > self.barriers[-1]:
+                # The outermost one inside the nearest barrier ends, and all in it.
+                place = bisect_right(depths, self.barriers[-1])
+                first = depths[place] if first is None else min(first, depths[place])
+        if first is not None:
+            self._cut(first)
         node = Node(tag, attrs)
         self.open[-1].children.append(node)
         if tag not in _VOID:
+            self.depths.setdefault(tag, []).append(len(self.open))
+            if tag in _BARRIER:
+                self.barriers.append(len(self.open))
             self.open.append(node)
 
     def end(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
-                return
-            if self.open[depth].tag == "table":
-                return
+        depths = self.depths.get(tag)
+        tables = self.depths.get("table")
+        if depths and (not tables or depths[-1] >= tables[-1]):
+            self._cut(depths[-1])
 
     def text(self, data: str) -> None:
         self.open[-1].children.append(unescape(data) if "&" in data else data)

@@ -61,8 +61,9 @@ _UNDERSTAT_FIELDS = {
 }
 
 # Markup of the page list of a paged listing.
-_PAGER = r'(?is)<ul\b[^>]*\bclass\s*=\s*"(?:[^"]*\s)?tm-pagination(?:\s[^"]*)?"[^>]*>(.*?)</ul>'
-_PAGER_LINK = r'(?is)<a\b[^>]*\bclass\s*=\s*"(?:[^"]*\s)?tm-pagination__link(?:\s[^"]*)?"[^>]*>(.*?)</a>'
+_CLASS = r"""\bclass\s*=\s*(?:"(?:[^"]*\s)?{0}(?:\s[^"]*)?"|'(?:[^']*\s)?{0}(?:\s[^']*)?'|{0}(?=[\s>]))"""
+_PAGER = rf"(?is)<ul\b[^>]*{_CLASS.format('tm-pagination')}[^>]*>(.*?)</ul>"
+_PAGER_LINK = rf"(?is)<a\b[^>]*{_CLASS.format('tm-pagination__link')}[^>]*>(.*?)</a>"
 
 
 def _strings(names: list[str]) -> T.StructType:
@@ -96,6 +97,17 @@ def _link(cell: markup.Node | None) -> str | None:
     return next((n.attrs["href"] for n in cell.find_all("a") if "href" in n.attrs), None)
 
 
+def _no_rows(table: markup.Node | None, names: list[str]) -> tuple:
+    """The row of a page that has none: it says what was not found."""
+    return ("table not found" if table is None else "body not found", *[None] * (len(names) - 1))
+
+
+def page_problems(rows: DataFrame) -> DataFrame:
+    """Pages that gave no rows, with the reason, out of the rows of any reader."""
+    found = rows.filter(F.col("page_problem").isNotNull())
+    return found.select(*[c for c in _PAGE_KEYS if c in rows.columns], F.col("page_problem").alias("reason"))
+
+
 # --- statistics tables ---------------------------------------------------------------------
 
 
@@ -112,13 +124,16 @@ def _stats_table(html: str) -> markup.Node | None:
     return None
 
 
-_STATS_ROW = ["row_class", "ranker", "player_href", "team_href", "nationality_td", *_CELLS]
+_STATS_ROW = ["page_problem", "row_class", "ranker", "player_href", "team_href", "nationality_td", *_CELLS]
 
 
 def _read_stats_page(html: str):
     table = _stats_table(html)
     body = table.find("tbody") if table is not None else None
-    for row in body.find_all("tr") if body is not None else []:
+    if body is None:
+        yield _no_rows(table, _STATS_ROW)
+        return
+    for row in body.find_all("tr"):
         cells: dict[str, markup.Node] = {}
         ranker = nationality = None
         for cell in row.find_all("td", "th"):
@@ -129,7 +144,7 @@ def _read_stats_page(html: str):
             if stat == "nationality" and cell.tag == "td" and nationality is None:
                 nationality = cell.text
         yield (
-            " ".join(row.classes), ranker, _link(cells.get("player")), _link(cells.get("team")),
+            None, " ".join(row.classes), ranker, _link(cells.get("player")), _link(cells.get("team")),
             nationality, *[cells[c].text if c in cells else None for c in _CELLS],
         )
 
@@ -139,7 +154,8 @@ def fbref_rows(pages: DataFrame) -> DataFrame:
     rows = _rows_of_pages(pages, _read_stats_page, _STATS_ROW)
     player_id = text.first_group(F.col("player_href"), text.PLAYER_HREF)
     skip = (
-        F.when(F.array_contains(F.split("row_class", " "), "thead"), "header row")
+        F.when(F.col("page_problem").isNotNull(), F.col("page_problem"))
+        .when(F.array_contains(F.split("row_class", " "), "thead"), "header row")
         .when(F.col("ranker").isNull(), "no rank cell")
         .when(player_id.isNull(), "no player id")
         .when(text.blank_to_null(F.col("player")).isNull(), "no player name")
@@ -148,7 +164,11 @@ def fbref_rows(pages: DataFrame) -> DataFrame:
 
 
 def read_fbref_pages(pages: DataFrame) -> DataFrame:
-    rows = fbref_rows(pages).filter(F.col("skip_reason").isNull())
+    return fbref_records(fbref_rows(pages))
+
+
+def fbref_records(rows: DataFrame) -> DataFrame:
+    rows = rows.filter(F.col("skip_reason").isNull())
     typed = {
         "player_id": F.col("player_id"),
         "player_name": text.blank_to_null(F.col("player")),
@@ -172,7 +192,7 @@ def read_fbref_pages(pages: DataFrame) -> DataFrame:
 # --- listings of market values --------------------------------------------------------------
 
 _LISTING_ROW = [
-    "n_cells", "player_href", "player_name", "team_href", "team_name", "position", "birth_cell",
+    "page_problem", "n_cells", "player_href", "player_name", "team_href", "team_name", "position", "birth_cell",
     "nationality", "value_cell",
 ]
 
@@ -207,7 +227,10 @@ def _birth_cell(row: markup.Node) -> str | None:
 def _read_listing_page(html: str):
     table = markup.parse(html)[0].find("table", cls="items")
     body = table.find("tbody") if table is not None else None
-    for row in body.rows() if body is not None else []:
+    if body is None:
+        yield _no_rows(table, _LISTING_ROW)
+        return
+    for row in body.rows():
         profile = _linked(row, "/spieler/", "hauptlink")
         named = _linked(row, "", "hauptlink")
         name = named.text if named is not None else ""
@@ -219,6 +242,7 @@ def _read_listing_page(html: str):
         ]
         value = next((c for c in row.find_all("td", cls="rechts") if "hauptlink" in c.classes), None)
         yield (
+            None,
             str(sum(1 for _ in row.find_all("td"))),
             profile.attrs["href"] if profile is not None else None,
             name,
@@ -236,7 +260,8 @@ def transfermarkt_rows(pages: DataFrame) -> DataFrame:
     player_id = text.first_group(F.col("player_href"), text.PROFILE_HREF)
     team_id = text.first_group(F.col("team_href"), text.CLUB_HREF)
     skip = (
-        F.when(F.col("n_cells").cast("int") < 4, "too few cells")
+        F.when(F.col("page_problem").isNotNull(), F.col("page_problem"))
+        .when(F.col("n_cells").cast("int") < 4, "too few cells")
         .when(player_id.isNull(), "no player id")
         .when(text.blank_to_null(F.col("player_name")).isNull(), "no player name")
         .when(team_id.isNull() | (F.coalesce("team_name", F.lit("")) == ""), "no team")
@@ -249,7 +274,11 @@ def transfermarkt_rows(pages: DataFrame) -> DataFrame:
 
 
 def read_transfermarkt_pages(pages: DataFrame) -> DataFrame:
-    rows = transfermarkt_rows(pages).filter(F.col("skip_reason").isNull())
+    return transfermarkt_records(transfermarkt_rows(pages))
+
+
+def transfermarkt_records(rows: DataFrame) -> DataFrame:
+    rows = rows.filter(F.col("skip_reason").isNull())
     typed = {c: F.col(c) for c in TRANSFERMARKT_VALUATIONS.names if c in rows.columns}
     typed |= {
         "date_of_birth": text.birth_date_text(F.col("birth_cell")),
@@ -272,8 +301,23 @@ def total_pages(body: Column) -> Column:
 
 
 def _player_objects(pages: DataFrame, json_text: Column) -> DataFrame:
+    """One row per element of a page's list; what is no object, and a page without a list, has a reason."""
     keys = [c for c in pages.columns if c in _PAGE_KEYS]
-    objects = pages.select(*keys, F.explode(text.json_objects(json_text)).alias("player"))
+    read = pages.select(*keys, json_text.alias("json")).withColumn("objects", text.json_objects(F.col("json")))
+    problem = (
+        F.when(F.col("json").isNull(), "players data not found")
+        .when(F.col("objects").isNull() & F.try_parse_json("json").isNull(), "JSON error")
+        .when(F.col("objects").isNull(), "unexpected format")
+    )
+    none = F.array(F.lit(None).cast("map<string,string>"))
+    return read.withColumn("page_problem", problem).select(
+        *keys, "page_problem", F.explode(F.coalesce("objects", none)).alias("player"),
+    ).withColumn(
+        "skip_reason", F.coalesce("page_problem", F.when(F.col("player").isNull(), "not an object"))
+    )
+
+
+def understat_records(rows: DataFrame) -> DataFrame:
     types = {f.name: f.dataType for f in UNDERSTAT_STATS.fields}
     typed = {"league": F.col("league"), "season": F.col("season")}
     for column, key in _UNDERSTAT_FIELDS.items():
@@ -283,17 +327,28 @@ def _player_objects(pages: DataFrame, json_text: Column) -> DataFrame:
         elif types[column] == T.DoubleType():
             value = text.decimal_number(value)
         typed[column] = value
+    objects = rows.filter(F.col("skip_reason").isNull())
     return objects.select(*[typed[c].alias(c) for c in UNDERSTAT_STATS.names], "url")
 
 
+def understat_rows(pages: DataFrame) -> DataFrame:
+    """Player objects of league pages with the hex-escaped script variable."""
+    return _player_objects(pages, text.embedded_players_json(F.col("body")))
+
+
+def understat_json_rows(pages: DataFrame) -> DataFrame:
+    """Player objects of bodies that are plain JSON text."""
+    return _player_objects(pages, F.col("body"))
+
+
 def read_understat_pages(pages: DataFrame) -> DataFrame:
     """League pages with the hex-escaped script variable."""
-    return _player_objects(pages, text.embedded_players_json(F.col("body")))
+    return understat_records(understat_rows(pages))
 
 
 def read_understat_json(pages: DataFrame) -> DataFrame:
     """The same records from bodies that are plain JSON text."""
-    return _player_objects(pages, F.col("body"))
+    return understat_records(understat_json_rows(pages))
 
 
 for _module in (markup, text, sys.modules[__name__]):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -69,18 +70,45 @@ def stamp(df: DataFrame, season: str, source_url: str, at: datetime | None = Non
     )
 
 
-def _insert(
-    spark: SparkSession, table: str, rows: DataFrame, columns: list[str], partition: str
-) -> int:
-    """Overwrite partitions by column name and count the rows on the way, not by a second scan."""
-    written = Observation()
-    counted = rows.select(*columns).observe(written, F.count(F.lit(1)).alias("rows"))
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {qualified_name(table)} PARTITION ({partition}) "
-        f"({', '.join(f'`{c}`' for c in columns)}) SELECT * FROM {{rows}}",
-        rows=counted,
-    )
-    return written.get["rows"]
+def _location(spark: SparkSession, table: str, season: str | None = None) -> str:
+    """Where a table or one of its partitions lies."""
+    part = f" PARTITION ({SEASON} = '{season}')" if season is not None else ""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified_name(table)}{part}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
+def _seasons(spark: SparkSession, table: str) -> set[str]:
+    rows = spark.sql(f"SHOW PARTITIONS {qualified_name(table)}").collect()
+    return {row["partition"].partition("=")[2] for row in rows}
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder through the file system that it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def _write_new(table_folder: str, rows: DataFrame, by_season: bool = False) -> tuple[str, int]:
+    """Write a batch to a new folder beside the others; counts the rows on the way."""
+    folder = f"{table_folder}/batch-{uuid.uuid4().hex}"
+    seen = Observation()
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    (writer.partitionBy(SEASON) if by_season else writer).parquet(folder)
+    return folder, seen.get["rows"]
+
+
+def _switch(spark: SparkSession, table: str, folders: dict[str, str]) -> None:
+    """Let each season's partition name its new folder, then remove what the partitions named before."""
+    name, there = qualified_name(table), _seasons(spark, table)
+    old = [_location(spark, table, season) for season in folders if season in there]
+    for season, folder in folders.items():
+        if season in there:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({SEASON} = '{season}') SET LOCATION '{folder}'")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD PARTITION ({SEASON} = '{season}') LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
+    for folder in old:
+        remove_folder(spark, folder)
 
 
 def replace_season(
@@ -93,13 +121,16 @@ def replace_season(
 ) -> int:
     """Replace one season of a raw table by a stamped batch; returns the rows written.
 
-    The partition is named in the statement: a rerun gives the same table, other seasons are
-    not touched, and an empty batch clears the season (a dynamic overwrite would keep it).
+    The batch is written to a new folder first and the partition then names it, so a batch that
+    fails leaves the old rows. A rerun gives the same table, other seasons are not touched, and an
+    empty batch clears the season.
     """
     create_raw_table(spark, table, with_metadata(schema), location)
     columns = [c for c in with_metadata(schema).names if c != SEASON]
-    rows = batch.filter(F.col(SEASON) == season)
-    return _insert(spark, table, rows, columns, f"{SEASON} = '{season}'")
+    rows = batch.filter(F.col(SEASON) == season).select(*columns)
+    folder, count = _write_new(_location(spark, table), rows)
+    _switch(spark, table, {season: folder})
+    return count
 
 
 def replace_seasons(
@@ -115,11 +146,10 @@ def replace_seasons(
     over several tasks.
     """
     create_raw_table(spark, table, with_metadata(schema), location)
-    columns = with_metadata(schema).names
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        return _insert(spark, table, batch.hint("rebalance", SEASON), columns, SEASON)
-    finally:
-        spark.conf.set(mode, before)
+    rows = batch.select(*with_metadata(schema).names).hint("rebalance", SEASON)
+    folder, count = _write_new(_location(spark, table), rows, by_season=True)
+    if count:
+        # One row per season; the labels are partition names of the table.
+        held = spark.read.parquet(folder).select(F.col(SEASON).cast("string")).distinct().collect()
+        _switch(spark, table, {row[0]: f"{folder}/{SEASON}={row[0]}" for row in held})
+    return count

@@ -58,7 +58,6 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("comment", "#")
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .csv(path)
@@ -67,7 +66,7 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 def _packaged(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
     text = resources.files("touchline").joinpath("seeds", name).read_text(encoding="utf-8")
-    rows = csv.DictReader(line for line in text.splitlines() if not line.startswith("#"))
+    rows = csv.DictReader(text.splitlines())
     return spark.createDataFrame(
         [tuple(row[c] or None for c in schema.names) for row in rows], schema
     )

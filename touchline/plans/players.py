@@ -305,8 +305,11 @@ def resolve_players(
     """The whole player cross-reference from staging relations.
 
     The two sources do not depend on each other; where ``keep`` writes relations, their jobs run
-    side by side.
+    side by side. Overrides that name a player twice are refused: they would multiply rows.
     """
+    twice = [row["fbref_player_id"] for row in check_overrides(overrides).limit(5).collect()]
+    if twice:
+        raise ValueError(f"players with more than one override: {', '.join(map(str, sorted(map(str, twice))))}")
     hub = keep(main_fbref_rows(stg_fbref), "main_fbref_rows")
     others = {
         UNDERSTAT: main_understat_rows(stg_understat),

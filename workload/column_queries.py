@@ -16,7 +16,8 @@ from touchline.operators.quality import (
     is_ratio_above,
     orphan_rows,
 )
-from touchline.schemas import record_schema
+from touchline.plans.staging import stage_fbref
+from touchline.schemas import FBREF_STATS, record_schema, with_metadata
 from touchline.sources.records import with_reject_reason
 from workload import oracle
 from workload.league import read
@@ -92,7 +93,9 @@ def typed_cast(spark, sf_dir):
     )
     price = F.when(line == 7, "n/a").otherwise(thousands)
     quantity = F.when(line == 6, "").otherwise(F.col("l_quantity").cast("string"))
-    discount = F.when(line == 5, "-").otherwise(F.col("l_discount").cast("string"))
+    # What only looks like a number to a cast is none.
+    suffixed = F.element_at(F.array(*map(F.lit, ("-", "1d", "2.5f", "0x1p3"))), F.col("l_partkey").cast("int") % 4 + 1)
+    discount = F.when(line == 5, suffixed).otherwise(F.col("l_discount").cast("string"))
     tax = F.concat(F.lit("1,234"), F.substring(F.col("l_tax").cast("string"), 2, 9))
     return read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
@@ -210,12 +213,19 @@ WHERE nullif(o_orderstatus, 'P') <> 'F'
   AND CASE WHEN o_custkey % 3 = 0 THEN TRUE ELSE o_custkey % 3 > 1 END"""
 )
 def stage_filter(spark, sf_dir):
-    # Unknown flags drop a row, unknown minutes keep it.
-    flag = F.nullif(F.col("o_orderstatus"), F.lit("P")) == "F"
-    minutes = F.nullif(F.col("o_custkey") % 3, F.lit(0)) - 1
-    orders = read(spark, sf_dir, "orders")
-    return orders.filter(~flag).filter(minutes.isNull() | (minutes > 0)).select(
-        "o_orderkey", "o_orderstatus"
+    # Through staging: unknown flags drop a row, unknown minutes keep it.
+    made = {
+        "player_id": F.col("o_orderkey").cast("string"),
+        "position": F.col("o_orderstatus"),
+        "is_multi_team_total": F.nullif(F.col("o_orderstatus"), F.lit("P")) == "F",
+        "minutes": F.nullif(F.col("o_custkey") % 3, F.lit(0)) - 1,
+    }
+    raw = read(spark, sf_dir, "orders").select(*[
+        made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in with_metadata(FBREF_STATS).fields
+    ])
+    return stage_fbref(raw).select(
+        F.col("fbref_player_id").cast("long").alias("o_orderkey"), F.col("position").alias("o_orderstatus")
     )
 
 
@@ -231,7 +241,9 @@ def json_rows(spark, sf_dir):
         .otherwise(F.concat(F.lit("["), "props", F.lit("]")))
     )
     events = read(spark, sf_dir, "events")
-    return events.select("event_id", F.explode(text.json_objects(body)).alias("o")).select(
+    # Elements that are no objects are no rows.
+    objects = events.select("event_id", F.explode(text.json_objects(F.concat(F.lit(" \n"), body))).alias("o"))
+    return objects.filter("o is not null").select(
         "event_id", text.whole_number(F.col("o")["k"]).alias("k")
     )
 
@@ -350,12 +362,14 @@ def dq_accepted_range(spark, sf_dir):
 
 @query(
     """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL
-AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 1000)"""
+AND o_custkey NOT IN (SELECT CASE WHEN c_acctbal > 1000 THEN c_custkey ELSE -c_custkey END FROM customer)"""
 )
 def dq_relationships(spark, sf_dir):
-    rich = read(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 1000)
+    # Customers with little money are known by another number.
+    known = F.when(F.col("c_acctbal") > 1000, F.col("c_custkey")).otherwise(-F.col("c_custkey"))
+    parents = read(spark, sf_dir, "customer").select(known.alias("c_custkey"))
     orders = read(spark, sf_dir, "orders")
-    return orphan_rows(orders, "o_custkey", rich, "c_custkey").select("o_orderkey", "o_custkey")
+    return orphan_rows(orders, "o_custkey", parents, "c_custkey").select("o_orderkey", "o_custkey")
 
 
 @query(

@@ -6,6 +6,8 @@ being unique, and pages are put together by one grouped aggregate.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,10 @@ from touchline.functions.names import last_token
 from touchline.plans.warehouse import ingest_season
 from touchline.session import shared_folder
 from touchline.sources import audit, pages
-from touchline.sources.raw_table import qualified_name
+from touchline.sources.seeds import LEAGUES, SEASON_LABELS
 from workload.league import read
 from workload.registry import query
+from workload.storage_queries import rest_of_table
 
 _ROWS_PER_PAGE = 25
 _LEAGUES = ["Premier League", "La Liga", "Bundesliga", "Serie A", "Ligue 1"]
@@ -204,7 +207,8 @@ def script_pages(spark, sf_dir, escaped: bool = True) -> DataFrame:
         # Every seventh page is cut off and gives no rows.
         body = F.when(page % 7 == 3, F.expr("'[{'")).otherwise(whole)
         if not escaped:
-            return body
+            # Bodies may begin with white space.
+            return F.concat(F.when(page % 2 == 0, "\n\t ").otherwise(""), body)
         return F.concat(
             F.lit("<html><script>\n\tvar playersData\t= JSON.parse('"), text.encode_hex_escapes(body),
             F.lit("');\n</script></html>"),
@@ -257,8 +261,7 @@ def page_links(spark, sf_dir):
 
 
 @query(
-    """WITH present AS (SELECT DISTINCT c_nationkey, c_custkey // 25 + 1 AS page_no FROM customer
-  WHERE c_mktsegment = 'BUILDING'),
+    """WITH present AS (SELECT DISTINCT c_nationkey, (c_custkey // 25) * 2 + 1 AS page_no FROM customer),
 announced AS (SELECT n_nationkey, n_name, coalesce(max(page_no) + 1, 1) AS n FROM nation
   LEFT JOIN present ON c_nationkey = n_nationkey GROUP BY ALL)
 SELECT league, page_no::INT AS page_no FROM (
@@ -270,19 +273,29 @@ def missing_pages(spark, sf_dir):
         F.lit("transfermarkt").alias("source"), F.col("n_name").alias("league"),
         F.lit("2023-2024").alias("season"), "n_nationkey",
     )
+    # Every other page number is there.
     present = (
-        read(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+        read(spark, sf_dir, "customer")
         .select(
             F.col("c_nationkey").alias("n_nationkey"),
-            (F.floor(F.col("c_custkey") / 25) + 1).cast("int").alias("page_no"),
+            (F.floor(F.col("c_custkey") / 25) * 2 + 1).cast("int").alias("page_no"),
         )
         .distinct()
     )
-    item = '<li><a class="tm-pagination__link tm-active" href="#"> '
-    body = F.concat(
-        F.lit('<div><ul class="x tm-pagination">' + item), F.lit("1</a></li>"), F.lit(item),
-        F.lit("next</a></li>"), F.lit(item + "<b>"), F.col("page_no") + 1,
-        F.lit(" </b></a></li></ul></div>"),
+
+    def pager(of_list: str, of_link: str) -> Column:
+        item = f'<li><a class={of_link} href="#"> '
+        return F.concat(
+            F.lit(f"<div><ul class={of_list}>" + item), F.lit("1</a></li>"), F.lit(item),
+            F.lit("next</a></li>"), F.lit(item + "<b>"), F.col("page_no") + 1,
+            F.lit(" </b></a></li></ul></div>"),
+        )
+
+    quoting = F.col("page_no") % 3
+    body = (
+        F.when(quoting == 0, pager('"x tm-pagination"', '"tm-pagination__link tm-active"'))
+        .when(quoting == 1, pager("'tm-pagination'", "'x tm-pagination__link'"))
+        .otherwise(pager("tm-pagination", "tm-pagination__link"))
     )
     corpus = present.join(nations, "n_nationkey").select(
         "source", "league", "season", "page_no", body.alias("body")
@@ -291,30 +304,48 @@ def missing_pages(spark, sf_dir):
 
 
 @query(
-    """SELECT n_nationkey, strftime(month, '%Y-%m') AS month FROM nation,
-  (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), max(o_orderdate), INTERVAL 1 MONTH))
-    AS month FROM orders)
-WHERE (n_nationkey, month) NOT IN (SELECT (c_nationkey, date_trunc('month', o_orderdate))
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT')"""
+    f"""WITH grid AS (SELECT source, league, season
+  FROM (SELECT unnest({list(audit.SOURCE_LEAGUE_KEYS)}) AS source),
+  (SELECT unnest({LEAGUES}) AS league), (SELECT unnest({SEASON_LABELS}) AS season)),
+seen AS (SELECT DISTINCT {list(audit.SOURCE_LEAGUE_KEYS)}[o_orderkey % 3 + 1] AS source,
+  {LEAGUES}[o_custkey % 4 + o_orderkey % 3 // 2 + 1] AS league,
+  {SEASON_LABELS}[o_orderkey % 3 + 1 - o_orderkey % 3 // 2] AS season FROM orders)
+SELECT source, league, season FROM grid EXCEPT SELECT source, league, season FROM seen"""
 )
 def expected_grid(spark, sf_dir):
-    orders = read(spark, sf_dir, "orders")
-    month = F.trunc(F.col("o_orderdate").cast("date"), "month")
-    first = orders.select(F.min(month)).scalar()
-    last = orders.select(F.max(month)).scalar()
-    grid = read(spark, sf_dir, "nation").select(
-        "n_nationkey", F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("month")
+    def pick(values: list[str], at: Column) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), (at + 1).cast("int"))
+
+    # Some leagues and seasons of a source never occur.
+    third = F.col("o_orderkey") % 3
+    late = F.floor(third / 2)
+    corpus = read(spark, sf_dir, "orders").select(
+        pick(list(audit.SOURCE_LEAGUE_KEYS), third).alias("source"),
+        pick(LEAGUES, F.col("o_custkey") % 4 + late).alias("league"),
+        pick(SEASON_LABELS, third - late).alias("season"),
+        F.lit(1).alias("page_no"), F.lit("").alias("body"),
     )
-    buyers = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    seen = (
-        orders.filter(F.col("o_orderpriority") == "1-URGENT")
-        .select("o_custkey", month.alias("month"))
-        .join(buyers, "o_custkey")
-        .select(F.col("c_nationkey").alias("n_nationkey"), "month")
-        .distinct()
+    return audit.missing_pages(corpus, audit.expected_grid(spark)).select("source", "league", "season")
+
+
+@query(
+    f"""SELECT 'fbref' AS source, url, 'table not found' AS reason FROM pages
+UNION ALL
+SELECT 'understat', 'https://corpus.example/understat/' || page, 'JSON error'
+FROM (SELECT DISTINCT p_partkey // {_ROWS_PER_PAGE} AS page FROM part) WHERE page % 7 = 3"""
+)
+def page_problems(spark, sf_dir):
+    foreign = read(spark, sf_dir, "pages").select(
+        F.lit("").alias("league"), F.lit("").alias("season"), F.lit(1).alias("page_no"), "url",
+        F.col("html").alias("body"),
     )
-    return grid.join(seen, ["n_nationkey", "month"], "left_anti").select(
-        "n_nationkey", F.date_format("month", "yyyy-MM").alias("month")
+    return (
+        pages.page_problems(pages.fbref_rows(foreign)).withColumn("source", F.lit("fbref"))
+        .union(
+            pages.page_problems(pages.understat_rows(script_pages(spark, sf_dir)))
+            .withColumn("source", F.lit("understat"))
+        )
+        .select("source", "url", "reason")
     )
 
 
@@ -326,11 +357,11 @@ def expected_grid(spark, sf_dir):
 FROM ({_SCRIPT_SQL}) WHERE season = '2024-2025' GROUP BY season"""
 )
 def ingest_pages(spark, sf_dir):
-    location = shared_folder(spark)
-    ingest_season(script_pages(spark, sf_dir), "understat", "2024-2025", location=location)
-    table = spark.table(qualified_name("raw_understat__player_season_stats"))
+    table, location = f"pages_{uuid.uuid4().hex}", shared_folder(spark)
+    ingest_season(script_pages(spark, sf_dir), "understat", "2024-2025", location=location, table=table)
+    stored = rest_of_table(spark, table)
     return (
-        table.filter(F.col("_season") == "2024-2025").groupBy("_season", "_source_url")
+        stored.filter(F.col("_season") == "2024-2025").groupBy("_season", "_source_url")
         .agg(
             F.count(F.lit(1)).alias("n_rows"), F.sum("minutes").alias("minutes"),
             F.countDistinct("player_id").alias("n_players"),

@@ -59,11 +59,10 @@ def stage_transfermarkt(spark, sf_dir):
 
 @query(
     over_chain(
-        """SELECT transfermarkt_player_id, season, strftime(try_cast(text AS DATE), '%Y-%m-%d') AS date_of_birth
-FROM (SELECT s.transfermarkt_player_id, s.season, r.date_of_birth AS text
-  FROM stg_transfermarkt__player_valuations s JOIN raw_transfermarkt__player_valuations r
-  ON r.player_id = s.transfermarkt_player_id AND r.team_id = s.transfermarkt_team_id
-  AND r._season = s.season AND r._ingested_at = TIMESTAMP '2025-06-01 00:00:00')"""
+        """SELECT player_id AS transfermarkt_player_id, _season AS season,
+  strftime(try_cast(date_of_birth AS DATE), '%Y-%m-%d') AS date_of_birth
+FROM raw_transfermarkt__player_valuations
+QUALIFY row_number() OVER (PARTITION BY player_id, team_id, _season ORDER BY _ingested_at DESC) = 1"""
     )
 )
 def stage_transfermarkt_strict(spark, sf_dir):

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.schemas import record_schema
-from touchline.session import shared_folder
-from touchline.sources.raw_table import qualified_name, replace_season, replace_seasons
+from touchline.session import shared_folder, written
+from touchline.sources.raw_table import (
+    qualified_name, read_raw_table, replace_season, replace_seasons,
+)
+from touchline.sources.seeds import team_aliases
 from workload.league import read
 from workload.registry import query
 
@@ -26,6 +29,13 @@ def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rest_of_table(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table, written once more, so that the table can be dropped; its files lie elsewhere."""
+    rows = written(spark.table(qualified_name(table)), shared_folder(spark), "rows")
+    spark.sql(f"DROP TABLE {qualified_name(table)}")
+    return rows
+
+
 def _replaced(spark: SparkSession, sf_dir: str, change) -> DataFrame:
     """Load all days, replace one day twice by the changed batch, read the table back."""
     table, location = f"events_{uuid.uuid4().hex}", shared_folder(spark)
@@ -33,7 +43,7 @@ def _replaced(spark: SparkSession, sf_dir: str, change) -> DataFrame:
     replace_seasons(spark, table, batch, _EVENTS, location)
     for _ in range(2):
         replace_season(spark, table, change(batch), _EVENTS, _DAY, location)
-    stored = spark.table(qualified_name(table))
+    stored = rest_of_table(spark, table)
     return stored.groupBy(F.col("_season").alias("day")).agg(
         F.count(F.lit(1)).alias("n_events"), F.countDistinct("user_id").alias("n_users"),
         F.max("event_id").alias("last_event"), F.max("value").alias("top_value"),
@@ -60,3 +70,30 @@ def replace_partition(spark, sf_dir):
 @query(_TABLE_SQL + f" WHERE day <> '{_DAY}' GROUP BY day")
 def replace_partition_empty(spark, sf_dir):
     return _replaced(spark, sf_dir, lambda batch: batch.filter(F.lit(False)))
+
+
+@query("SELECT count(*) FILTER (FALSE) AS n_rows, count(DISTINCT l_returnflag) AS n_flags FROM lineitem")
+def missing_table(spark, sf_dir):
+    """A raw table that was never written is an empty relation that joins like any other."""
+    empty = read_raw_table(spark, f"never_{uuid.uuid4().hex}", _EVENTS)
+    lines = read(spark, sf_dir, "lineitem")
+    found = lines.join(empty, F.col("l_orderkey") == F.col("event_id"), "left")
+    return found.agg(
+        F.count("event_id").alias("n_rows"), F.countDistinct("l_returnflag").alias("n_flags")
+    )
+
+
+@query(
+    """SELECT CASE WHEN s_suppkey % 3 = 0 THEN '#' ELSE '' END || s_name AS source_team_name,
+  s_nationkey::VARCHAR AS canonical_team_name, nullif(s_suppkey % 4, 0)::VARCHAR AS league FROM supplier"""
+)
+def seed_file(spark, sf_dir):
+    """A seed at rest: rows may begin with any character, blank cells are NULL."""
+    path = f"{shared_folder(spark)}/seed"
+    name = F.concat(F.when(F.col("s_suppkey") % 3 == 0, "#").otherwise(""), "s_name")
+    read(spark, sf_dir, "supplier").select(
+        name.alias("source"), name.alias("source_team_name"),
+        F.col("s_nationkey").cast("string").alias("canonical_team_name"),
+        F.nullif(F.col("s_suppkey") % 4, F.lit(0)).cast("string").alias("league"),
+    ).write.option("header", True).csv(path)
+    return team_aliases(spark, path).select("source_team_name", "canonical_team_name", "league")

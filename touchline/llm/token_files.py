@@ -42,6 +42,7 @@ ROUNDS = 4
 PAIRS_PER_ROUND = 1024
 MIN_COUNT = 32
 _BINS = 1 << 18
+_SPREAD = np.int64(-0x61C8864680B583EB)
 
 FORMAT = ("part int, block int, doc_ids binary, has_id binary, symbols binary, tokens binary, width int, body binary, "
           "rounds binary, rules binary, lengths binary, first long, n_ids long")
@@ -50,34 +51,45 @@ FORMAT = ("part int, block int, doc_ids binary, has_id binary, symbols binary, t
 # -- ids -----------------------------------------------------------------------------------------------------
 
 
+# Words of ASCII letters and the letters U+00C0 to U+00FF (without the signs of times and division).
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_ASCII_LETTER = np.array([97 <= b <= 122 for b in range(256)])
+_LATIN_TAIL = np.array([128 <= b <= 191 and b not in (0x97, 0xB7) for b in range(256)])
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_MARK = np.isin(np.arange(256), list(b".,;:!?"))
+
+
+def _byte_characters() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
 @cache
 def _tokenizer(path: str) -> UnitCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path)
-    plain = re.compile(rb"([a-z]+)([.,;:!?]*)")
-    letters: dict[bytes, list[int]] = {}
+    merge, plain, characters = whole.model.tokenize, _PLAIN.fullmatch, _byte_characters()
+
+    def word(part: bytes) -> list[int]:
+        """Ids of one word of the tokenizer, by its merges alone."""
+        if not part.isascii():
+            part = part.decode().lower().encode()
+        return [t.id for t in merge(part.decode() if part.isascii() else "".join(map(characters.__getitem__, part)))]
 
     def encode(units: list[bytes]) -> list[list[int]]:
-        out: list[list[int] | None] = []
+        out: list[list[int]] = []
         rest: list[int] = []
         for unit in units:
-            # Letters and the marks after them are separate words for the tokenizer; they are encoded apart.
-            m = plain.fullmatch(unit.lower())
-            if m is None:
+            if plain(unit) is None:
                 rest.append(len(out))
-                out.append(None)
-                continue
-            ids = []
-            for part in filter(None, m.groups()):
-                got = letters.get(part)
-                if got is None:
-                    got = letters[part] = [t.id for t in whole.model.tokenize(part.decode())]
-                ids += got
-            out.append(ids)
-        if len(letters) > 500_000:
-            letters.clear()
+                out.append([])
+            else:
+                out.append(word(unit))
         texts = [units[i].decode("utf-8", "replace") for i in rest]
         for i, e in zip(rest, whole.encode_batch_fast(texts, add_special_tokens=False)):
             out[i] = e.ids
@@ -91,6 +103,15 @@ def encode_chunk(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
 
     The tokenizer drops white space before it forms words, so a text has the ids of its parts between ASCII blanks.
     """
+    if b"<|" not in data.tobytes():
+        # Neither changes an id, and both make fewer units: ASCII letters in lower case, and a blank between a
+        # letter and a mark, which are separate words anyway. Names of special tokens stay as they are.
+        data = _LOWER[data]
+        letter = _ASCII_LETTER[data[:-1]]
+        letter[1:] |= (data[:-2] == 0xC3) & _LATIN_TAIL[data[1:-1]]
+        cuts = np.flatnonzero(letter & _MARK[data[1:]]) + 1
+        offsets = offsets + np.searchsorted(cuts, offsets, "left")
+        data = np.insert(data, cuts, 32)
     raw = data.tobytes()
     return _tokenizer(path).texts([raw[a:b].split() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
 
@@ -109,7 +130,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, pairs: int
         low = bounds[-1]
         keys = symbols[:-1] * low + symbols[1:]
         keys[last[:-1]] = -1
-        bins = (keys * -0x61C8864680B583EB >> 40) & (_BINS - 1)
+        bins = (keys * _SPREAD >> 40) & (_BINS - 1)
         heavy = np.bincount(bins, minlength=_BINS) >= MIN_COUNT
         heavy_at = np.flatnonzero(heavy[bins] & (keys >= 0))
         found, counts = np.unique(keys[heavy_at], return_counts=True)
@@ -117,6 +138,9 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, pairs: int
         chosen = np.sort(found[order[counts[order] >= MIN_COUNT]])
         if not len(chosen):
             break
+        in_chosen = np.zeros(_BINS, bool)
+        in_chosen[(chosen * _SPREAD >> 40) & (_BINS - 1)] = True
+        heavy_at = heavy_at[in_chosen[bins[heavy_at]]]
         where = np.searchsorted(chosen, keys[heavy_at])
         hit = chosen[np.minimum(where, len(chosen) - 1)] == keys[heavy_at]
         at, rule = heavy_at[hit], where[hit]

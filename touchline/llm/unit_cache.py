@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain, compress, repeat
 
 import numpy as np
 
@@ -36,13 +37,15 @@ class UnitCache:
         """Ids of all texts, one after the other, and the number of ids of each."""
         if len(self.known) > self.limit:
             self._clear()
-        flat = [u for text in units for u in text]
-        found = list(map(self.known.get, flat))
-        if None in found:
-            self._add(list(dict.fromkeys(u for u, n in zip(flat, found) if n is None)))
-            found = list(map(self.known.__getitem__, flat))
-        at = np.fromiter(found, np.int64, len(found))
+        count = np.fromiter(map(len, units), np.int64, len(units))
+        total = int(count.sum())
+        at = np.fromiter(map(self.known.get, chain.from_iterable(units), repeat(-1)), np.int64, total)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            missing = list(compress(chain.from_iterable(units), (at < 0).tolist()))
+            self._add(list(dict.fromkeys(missing)))
+            at[new] = np.fromiter(map(self.known.__getitem__, missing), np.int64, len(missing))
         lengths = self.lengths[at]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
-        return self.ids[ragged(self.starts[at], lengths)], np.diff(total[np.concatenate([[0], ends])])
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        ends = np.concatenate([[0], np.cumsum(count)])
+        return self.ids[ragged(self.starts[at], lengths)], np.diff(before[ends])

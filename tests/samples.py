@@ -16,31 +16,32 @@ from touchline.sources.raw_table import stamp
 LEAGUE, SEASON = "Premier League", "2023-2024"
 AT = datetime(2024, 7, 1, tzinfo=UTC)
 
+# Invented players and clubs.
 # player id, name, position, team, team id, age, games, minutes, goals, assists, xg, rank
 FBREF = [
-    ("e342ad68", "Mohamed Salah", "FW,MF", "Liverpool", "822bd0ba", "31-178", 32, 2614, 18, 10, 16.2, "1"),
-    ("b66315ae", "Erling Haaland", "FW", "Manchester City", "b8fd03ef", "23-051", 31, 2712, 27, 5, 23.1, "2"),
-    ("abcdef01", "Dušan Vlahović", "FW", "Arsenal", "e0652b02", "24-015", 28, 2100, 12, 3, 11.4, "3"),
-    ("fedcba99", "João Félix", "FW,MF", "2 Clubs", "", "24-200", 20, 1150, 7, 2, 5.8, "4"),
-    ("fedcba99", "João Félix", "FW,MF", "Barcelona", "206d90db", "24-200", 12, 700, 5, 1, 3.8, ""),
-    ("fedcba99", "João Félix", "FW,MF", "Atlético Madrid", "db3b9613", "24-200", 8, 450, 2, 1, 2.0, ""),
-    ("aabbccdd", "Young Player", "MF", "Liverpool", "822bd0ba", "18-045", 2, 15, 0, 0, None, "5"),
+    ("0a1b2c3d", "Émile Varga", "FW,MF", "Northbridge", "11aa22bb", "29-101", 30, 2345, 14, 9, 13.7, "1"),
+    ("0f1e2d3c", "Tomas Lindqvist", "FW", "Eastham City", "33cc44dd", "22-300", 27, 2204, 19, 4, 17.9, "2"),
+    ("4b5a6978", "Željko Ćorić", "FW", "Westmoor", "55ee66ff", "26-007", 25, 1830, 9, 2, 8.8, "3"),
+    ("99887766", "Rúben Soárez", "FW,MF", "2 Clubs", "", "27-150", 18, 1010, 6, 3, 5.1, "4"),
+    ("99887766", "Rúben Soárez", "FW,MF", "Lagoa", "77aa88bb", "27-150", 11, 640, 4, 2, 3.3, ""),
+    ("99887766", "Rúben Soárez", "FW,MF", "Vila Nóva", "99cc00dd", "27-150", 7, 370, 2, 1, 1.8, ""),
+    ("a0b0c0d0", "Nils Junior", "MF", "Northbridge", "11aa22bb", "18-090", 3, 20, 0, 0, None, "5"),
 ]
 # id, name, team, position, games, minutes, goals, xG, xA, npxG, xGChain, xGBuildup, shots, key passes
 UNDERSTAT = [
-    ("1234", "Mohamed Salah", "Liverpool", "F S", 32, 2614, 18, 16.200000000000003, 8.5, 13.1, 22.5, 8.3, 98, 45),
-    ("5678", "Erling Haaland", "Manchester City", "F S", 31, 2500, 27, 23.4, 3.2, 21.0, 28.1, 5.7, 120, 20),
-    ("9012", "Martin Odegaard", "Arsenal", "M C", 35, 3100, 8, 7.2, 9.8, 7.2, 18.9, 12.4, 55, 78),
-    ("3456", "Virgil van Dijk", "Liverpool", "D C", 36, 3240, 2, 2.8, 0.4, 2.8, 4.1, 3.9, 18, 5),
-    ("7890", "Bench Warmer", "Liverpool", "Sub", 3, 0, 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0, 0),
+    ("21", "Émile Varga", "Northbridge", "F S", 30, 2345, 14, 13.700000000000001, 7.5, 11.1, 19.5, 6.3, 80, 41),
+    ("22", "Tomas Lindqvist", "Eastham City", "F S", 27, 2100, 19, 18.2, 2.9, 16.5, 21.4, 4.6, 95, 17),
+    ("23", "Piet Ostrander", "Westmoor", "M C", 33, 2800, 6, 5.4, 8.1, 5.4, 15.2, 10.1, 47, 66),
+    ("24", "Aram Delgado", "Northbridge", "D C", 34, 3060, 1, 1.9, 0.6, 1.9, 3.7, 3.2, 14, 7),
+    ("25", "Idle Spare", "Northbridge", "Sub", 2, 0, 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0, 0),
 ]
 # id, name, team title, team id, position, birth date, age, nationality, value text, value
 VALUATIONS = [
-    ("418560", "Erling Haaland", "Manchester City", "281", "Centre-Forward", "Jul 21, 2000", 23, "Norway", "€180.00m", 180_000_000),
-    ("433177", "Bukayo Saka", "Arsenal FC", "11", "Right Winger", "Sep 5, 2001", 22, "England", "€140.00m", 140_000_000),
-    ("581678", "Jude Bellingham", "Real Madrid", "418", "Attacking Midfield", "Jun 29, 2003", 20, "England", "€25.00k", 25_000),
-    ("139208", "Virgil van Dijk", "Liverpool FC", "31", "Centre-Back", "Jul 8, 1991", 32, "Netherlands", "€30.00m", 30_000_000),
-    ("999999", "Young Prospect", "Chelsea FC", "631", "Goalkeeper", "Mar 15, 2005", 18, "Brazil", "€500Th.", 500_000),
+    ("700100", "Tomas Lindqvist", "Eastham City", "310", "Centre-Forward", "Feb 3, 2001", 22, "Sweden", "€95.00m", 95_000_000),
+    ("700200", "Kofi Brandt", "Westmoor FC", "320", "Right Winger", "Oct 9, 1999", 24, "Ghana", "€61.50m", 61_500_000),
+    ("700300", "Luca Feriani", "Porto Alto", "330", "Attacking Midfield", "Jan 30, 2002", 21, "Italy", "€45.00k", 45_000),
+    ("700400", "Aram Delgado", "Northbridge FC", "340", "Centre-Back", "May 8, 1992", 31, "Spain", "€22.00m", 22_000_000),
+    ("700500", "Sami Keeper", "Harbour FC", "350", "Goalkeeper", "Nov 15, 2004", 19, "Finland", "€300Th.", 300_000),
 ]
 
 
@@ -53,7 +54,7 @@ def frame(spark, schema, rows):
 def fbref_row(player_id, name, position, team, team_id, age, games, minutes, goals, assists, xg, rank="1", /, **more):
     row = dict(
         player_id=player_id, player_name=name, team_id=team_id, team_name=team, league=LEAGUE,
-        season=SEASON, nationality="eg EGY", position=position, age=age, games=games,
+        season=SEASON, nationality="nz NZL", position=position, age=age, games=games,
         games_starts=games, minutes=minutes, goals=goals, assists=assists, goals_pens=goals,
         xg=xg, is_multi_team_row=rank == "", is_multi_team_total=team.endswith("Clubs"),
     )
@@ -105,7 +106,7 @@ def fbref_page(hidden=False):
     for pid, name, pos, team, team_id, age, games, minutes, goals, assists, xg, rank in FBREF:
         club = f'<a href="/en/squads/{team_id}/x">{team}</a>' if team_id else team
         stats = dict(
-            nationality='<span>eg</span> EGY', position=pos, age=age, games=games,
+            nationality='<span>nz</span> NZL', position=pos, age=age, games=games,
             minutes=f"{minutes:,}", goals=goals, assists=assists, xg="" if xg is None else xg,
         )
         cells = "".join(f'<td data-stat="{k}">{v}</td>' for k, v in stats.items())

@@ -24,8 +24,8 @@ def test_statistics_page(spark):
         columns = ["player_id", "player_name", "position", "team_name", "team_id", "age", "games",
                    "minutes", "goals", "xg", "is_multi_team_row", "is_multi_team_total"]
         assert rows(got.filter("xg is not null"), *columns) == expected
-        assert rows(got.filter("xg is null"), "player_name", "minutes") == [("Young Player", 15)]
-        assert {r[0] for r in got.select("nationality").collect()} == {"egEGY"}
+        assert rows(got.filter("xg is null"), "player_name", "minutes") == [("Nils Junior", 20)]
+        assert {r[0] for r in got.select("nationality").collect()} == {"nzNZL"}
         assert got.columns == [*FBREF_STATS.names, "url"]
 
 
@@ -112,8 +112,8 @@ def test_required_columns_split_records(spark):
     bad = samples.understat_row(*samples.UNDERSTAT[1], player_name=None, team_name=None)
     df = samples.frame(spark, UNDERSTAT_STATS, [good, bad])
     valid, rejected = split_records(df, UNDERSTAT_STATS)
-    assert rows(valid, "player_id") == [("1234",)] and valid.columns == df.columns
-    assert rows(rejected, "player_id", "reject_reason") == [("5678", "missing player_name, team_name")]
+    assert rows(valid, "player_id") == [("21",)] and valid.columns == df.columns
+    assert rows(rejected, "player_id", "reject_reason") == [("22", "missing player_name, team_name")]
 
 
 def test_missing_pages(spark):
@@ -141,7 +141,7 @@ def test_source_urls_follow_the_leagues(spark):
 
 
 def test_ingest_from_pages(spark):
-    broken = samples.understat_json().replace('"player_name": "Bench Warmer"', '"other": "x"')
+    broken = samples.understat_json().replace('"player_name": "Idle Spare"', '"other": "x"')
     corpus = samples.corpus(
         spark, ("fbref", samples.fbref_page()), ("understat", broken),
         ("transfermarkt", samples.valuation_page()),
@@ -149,7 +149,7 @@ def test_ingest_from_pages(spark):
     assert ingest_season(corpus, "fbref", samples.SEASON, samples.AT).row_count == 7
     result = ingest_season(corpus, "understat_json", samples.SEASON, samples.AT)
     assert (result.row_count, result.season, len(result.leagues)) == (4, samples.SEASON, 5)
-    assert rows(result.rejected, "player_id", "reject_reason") == [("7890", "missing player_name")]
+    assert rows(result.rejected, "player_id", "reject_reason") == [("25", "missing player_name")]
     assert ingest_season(corpus, "transfermarkt", samples.SEASON, samples.AT).row_count == 5
     stored = spark.table(qualified_name("raw_transfermarkt__player_valuations"))
     assert {tuple(r) for r in stored.select("_season", "_source_url").collect()} == {
@@ -179,3 +179,56 @@ def test_broken_markup_is_read_in_linear_time():
         markup.parse(piece * 20_000)
         markup.parse(piece * 20_000 + "<p>")
     assert time.monotonic() - start < 10
+
+
+def test_pages_without_rows_have_a_reason(spark):
+    listing = samples.understat_json()
+    corpus = samples.corpus(
+        spark, ("a", "<p>"), ("b", "<table id=stats_standard class=items>"), ("c", '[{"id": 1}, 5, null]'), ("d", "[{"),
+        ("e", '{"a": 1}'), ("f", f"\n\t {listing}"), ("g", None), ("h", "[]"))
+    keyed = corpus.withColumn("url", F.col("source"))
+
+    def reasons(read):
+        return dict(rows(pages.page_problems(read(keyed)), "url", "reason"))
+
+    tables = {u: "table not found" for u in "acdefgh"} | {"b": "body not found"}
+    assert reasons(pages.fbref_rows) == tables and reasons(pages.transfermarkt_rows) == tables
+    assert reasons(pages.understat_rows) == {u: "players data not found" for u in "abcdefgh"}
+    assert reasons(pages.understat_json_rows) == {
+        "a": "JSON error", "b": "JSON error", "d": "JSON error", "e": "unexpected format", "g": "players data not found"}
+    elements = pages.understat_json_rows(keyed).filter("page_problem is null")
+    assert rows(elements.filter("skip_reason is not null"), "url", "skip_reason") == [("c", "not an object")] * 2
+    assert pages.read_understat_json(keyed).count() == 1 + len(samples.UNDERSTAT)
+
+
+def test_unreadable_pages_do_not_clear_a_season(spark):
+    season = samples.SEASON
+    good = samples.corpus(spark, ("understat", samples.understat_page()))
+    bad = samples.corpus(spark, ("understat", "<html>a new layout</html>"))
+    table = "unreadable_pages"
+    assert ingest_season(good, "understat", season, table=table).row_count == 5
+    with pytest.raises(ValueError, match="players data not found"):
+        ingest_season(bad, "understat", season, table=table)
+    assert spark.table(qualified_name(table)).count() == 5
+    result = ingest_season(bad, "understat", season, table=table, allow_unreadable=True)
+    assert result.row_count == 0 and result.page_problems.count() == 1
+
+
+def test_a_huge_announced_number_is_one_range(spark):
+    body = '<ul class=tm-pagination><li><a class=tm-pagination__link>2000000000</a></ul>'
+    corpus = samples.corpus(spark, *[("transfermarkt", samples.LEAGUE, samples.SEASON, n, "u", body) for n in (2, 5)])
+    grid = audit.expected_grid(spark).filter((F.col("source") == "transfermarkt") & (F.col("league") == samples.LEAGUE))
+    found = audit.missing_ranges(corpus, grid.filter(F.col("season") == samples.SEASON))
+    assert rows(found, "first_page", "last_page") == [(1, 1), (3, 4), (6, 2_000_000_000)]
+
+
+@pytest.mark.parametrize("part", ["<b>", "</x>", "<b><td>", "<tr><b>", "<table><td><b>"])
+def test_unbalanced_markup_is_read_in_linear_time(part):
+    import time
+
+    times = []
+    for n in (4_000, 32_000):
+        start = time.process_time()
+        markup.parse("<b>" * n + part * n + "</x>" * n)
+        times.append(time.process_time() - start)
+    assert times[1] < 16 * max(times[0], 0.02)

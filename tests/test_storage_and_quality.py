@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from touchline.plans.warehouse import Warehouse
 from touchline.schemas import UNDERSTAT_STATS, with_metadata
 from touchline.session import shared_folder
 from touchline.sources import raw_table
+from touchline.sources.raw_table import qualified_name, replace_season, replace_seasons
 from touchline.sources.seeds import player_overrides, team_aliases
 
 
@@ -139,3 +142,32 @@ def test_every_test_finds_a_planted_row(spark, tables):
             found = quality.run_data_tests(chosen, spoiled).collect()
             assert [r for r in found if r.failures < 1] == [], (model, kind)
             assert quality.failing_rows(chosen[0], spoiled).count() >= 1
+
+
+def test_a_failed_batch_leaves_the_season(spark):
+    table = "failing__rows"
+    good = batch(spark, "2023-2024", *samples.UNDERSTAT)
+    assert replace_season(spark, table, good, UNDERSTAT_STATS, "2023-2024") == 5
+    broken = good.withColumn("goals", F.expr("cast(raise_error('lost') as int)"))
+    with pytest.raises(Exception, match="lost"):
+        replace_season(spark, table, broken, UNDERSTAT_STATS, "2023-2024")
+    assert spark.table(qualified_name(table)).count() == 5
+    with pytest.raises(Exception, match="lost"):
+        replace_seasons(spark, table, broken, UNDERSTAT_STATS)
+    assert spark.table(qualified_name(table)).count() == 5
+    assert replace_season(spark, table, good.limit(0), UNDERSTAT_STATS, "2023-2024") == 0
+    assert spark.table(qualified_name(table)).count() == 0
+
+
+def test_seed_rows_may_begin_with_any_character(spark, tmp_path):
+    path = tmp_path / "aliases.csv"
+    path.write_text("source,source_team_name,canonical_team_name,league\n#1,a,b,c\nx,#a,,c\n")
+    assert sorted(map(tuple, team_aliases(spark, str(path)).collect())) == [("#1", "a", "b", "c"), ("x", "#a", None, "c")]
+
+
+def test_a_warehouse_removes_what_it_wrote(spark):
+    with Warehouse(samples.raw_tables(spark), team_aliases(spark), player_overrides(spark)) as w:
+        assert w["stg_fbref__player_season_stats"].count() == 6
+        assert list(w._ready) == [*samples.raw_tables(spark), "stg_fbref__player_season_stats"]
+        assert os.path.isdir(w.folder.removeprefix("file:"))
+    assert not os.path.exists(w.folder.removeprefix("file:"))

@@ -34,17 +34,17 @@ def test_staging(w):
     assert w["stg_fbref__player_season_stats"].count() == 6
     assert w["stg_understat__player_season_stats"].count() == 4
     assert w["stg_transfermarkt__player_valuations"].count() == 5
-    assert [r[0] for r in rows(w["stg_fbref__player_season_stats"], "age_years")] == [18, 23, 24, 24, 24, 31]
+    assert [r[0] for r in rows(w["stg_fbref__player_season_stats"], "age_years")] == [18, 22, 26, 27, 27, 29]
     assert [r[0] for r in rows(w["stg_understat__player_season_stats"], "position_group")] == [
         "Defender", "Forward", "Forward", "Midfielder"]
-    haaland = w["stg_fbref__player_season_stats"].filter("fbref_player_id = 'b66315ae'").first()
-    assert haaland.player_season_team_id == "19b7f053d49d3cb760bef3b906f17a96"
+    striker = w["stg_fbref__player_season_stats"].filter("fbref_player_id = '0f1e2d3c'").first()
+    assert striker.player_season_team_id == "85d8fa319adc3ea7b1c8a1912d10aac2"
 
 
 def test_team_xref(w):
     assert rows(w["int_team_xref"], "canonical_team_name", "understat_team_name", "transfermarkt_team_id") == [
-        ("arsenal", "arsenal", None), ("atletico madrid", None, None), ("barcelona", None, None),
-        ("liverpool", "liverpool", None), ("manchester city", "manchester city", "281"),
+        ("eastham city", "eastham city", "310"), ("lagoa", None, None), ("northbridge", "northbridge", None),
+        ("vila nova", None, None), ("westmoor", "westmoor", None),
     ]
 
 
@@ -53,33 +53,33 @@ def test_player_xref(w):
     got = rows(w["int_player_xref"], "fbref_player_id", "understat_player_id", "transfermarkt_player_id",
                "confidence", "transfermarkt_confidence", "match_status")
     assert got == [
-        ("aabbccdd", None, None, None, None, "unmatched"),
-        ("abcdef01", None, None, None, None, "unmatched"),
-        ("b66315ae", "5678", "418560", top, top, "auto_matched"),
-        ("e342ad68", "1234", None, top, None, "auto_matched"),
-        ("fedcba99", None, None, None, None, "unmatched"),
+        ("0a1b2c3d", "21", None, top, None, "auto_matched"),
+        ("0f1e2d3c", "22", "700100", top, top, "auto_matched"),
+        ("4b5a6978", None, None, None, None, "unmatched"),
+        ("99887766", None, None, None, None, "unmatched"),
+        ("a0b0c0d0", None, None, None, None, "unmatched"),
     ]
 
 
 def test_dimensions(w):
     assert [w[d].count() for d in ("dim_team", "dim_player", "dim_season", "dim_competition")] == [5, 5, 3, 5]
-    city = w["dim_team"].filter("fbref_team_id = 'b8fd03ef'").first()
-    assert (city.team_key, city.transfermarkt_team_id) == ("e15ef442462efe8ab7f3e7104d7ed2fd", "281")
-    felix = w["dim_player"].filter("fbref_player_id = 'fedcba99'").first()
-    assert (felix.full_name, felix.short_name, felix.age_years) == ("João Félix", "joao felix", 24)
+    city = w["dim_team"].filter("fbref_team_id = '33cc44dd'").first()
+    assert (city.team_key, city.transfermarkt_team_id) == ("99be958ff40ed9356c583e2af49bce63", "310")
+    twice = w["dim_player"].filter("fbref_player_id = '99887766'").first()
+    assert (twice.full_name, twice.short_name, twice.age_years) == ("Rúben Soárez", "ruben soarez", 27)
 
 
 def test_facts(w):
     stats = w["fct_player_season_stats"]
     total = stats.agg(F.count("*"), F.sum("minutes"), F.sum("goals")).first()
-    assert tuple(total) == (6, 8591, 64)
+    assert tuple(total) == (6, 7409, 48)
     sources = {tuple(r[0]): r[1] for r in stats.groupBy("_sources").count().collect()}
     assert sources == {("fbref", "understat"): 2, ("fbref",): 4}
     one = w["fct_player_season_valuations"].collect()
     assert len(one) == 1
     assert (one[0].valuation_key, one[0].market_value_eur, one[0].nationality, str(one[0].date_of_birth)) == (
-        "0a8b17073be58a8e7db9e321ce7622bc", 180_000_000, "Norway", "2000-07-21")
-    assert stats.filter("player_season_stats_key = '0a8b17073be58a8e7db9e321ce7622bc'").count() == 1
+        "ab8c6a4850d9226bbe6156c81e9acaf1", 95_000_000, "Sweden", "2001-02-03")
+    assert stats.filter("player_season_stats_key = 'ab8c6a4850d9226bbe6156c81e9acaf1'").count() == 1
 
 
 def test_strict_parity_leaves_written_birth_dates_out(spark):
@@ -248,10 +248,42 @@ def test_order_and_partitions_do_not_matter(spark):
     tm = [valuation_row(*TM, player_id=f"m{i % 5}", player_name=n, market_value_eur=rng.choice([1, 1, None]))
           for i, n in enumerate(_crowd(rng, 10))]
     seen = []
+    fb += [r | {"nationality": "fr FRA"} for r in fb]
+    tm += [r | {"market_value_eur": 2, "nationality": "Chile"} for r in tm]
     for parts in (1, 7):
         rng.shuffle(fb)
         rng.shuffle(us)
+        rng.shuffle(tm)
         raw = {n: df.repartition(parts) for n, df in samples.raw_tables(spark, fb, us, tm).items()}
         w = Warehouse(raw, team_aliases(spark), player_overrides(spark))
-        seen.append([rows(w[n], *[c for c in w[n].columns]) for n in ("int_player_xref", "dim_player", "dim_team")])
+        seen.append([rows(w[n], *[c for c in w[n].columns]) for n in (
+            "stg_transfermarkt__player_valuations", "int_player_xref", "dim_player", "dim_team")])
     assert seen[0] == seen[1]
+
+
+def test_fact_rows_move_at_most_twice(spark):
+    """Without broadcasts: once for the clubs and once for the players."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = build(spark)
+        for fact, column in ((w["fct_player_season_stats"], "penalties_attempted"), (w["fct_player_season_valuations"], "date_of_birth")):
+            text = fact._jdf.queryExecution().executedPlan().toString()
+            # The branch of the fact is the one that reads the measure.
+            assert _exchanges_above(text, column) <= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _exchanges_above(plan, column):
+    """Shuffles between the root and the scan that reads a column."""
+    lines = plan.splitlines()
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and column in x)
+    depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
+    count = 0
+    for x in reversed(lines[:scan]):
+        here = len(x) - len(x.lstrip(" :+-"))
+        if here < depth:
+            depth = here
+            count += "Exchange" in x and "Broadcast" not in x
+    return count

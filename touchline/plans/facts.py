@@ -42,30 +42,39 @@ def fct_player_season_stats(
     dim_team: DataFrame,
     dim_season: DataFrame,
     dim_competition: DataFrame,
+    clean: bool = False,
 ) -> DataFrame:
     """FBref statistics per player, team and season, enriched from Understat by player and season.
 
     The two constant dimensions go first: they are broadcast and drop rows out of scope before
     anything is shuffled. Players and teams grow with the data, so their joins carry no hint.
+
+    By default players are looked up by their source id and a player of several clubs gets every
+    club's enrichment in each row, as in the original semantics. ``clean`` looks players up through
+    the cross-reference and enriches a row from the same club only.
     """
-    players = dim_player.select("player_key", F.col("canonical_player_id").alias("fbref_player_id"))
+    own_id = "fbref_player_id" if clean else "canonical_player_id"
+    players = dim_player.select("player_key", F.col(own_id).alias("fbref_player_id"))
     teams = dim_team.select("team_key", "fbref_team_id")
     matched = player_xref.filter(F.col("understat_player_id").isNotNull()).select(
         "understat_player_id", "season", "fbref_player_id"
     )
-    known_teams = team_xref.select(F.col("understat_team_name").alias("team_name")).dropna()
+    known_teams = team_xref.select(
+        F.col("understat_team_name").alias("team_name"), *(["league", "fbref_team_id"] if clean else [])
+    ).dropna()
+    rows_of = ["fbref_player_id", "season", *(["fbref_team_id"] if clean else [])]
     enrichment = (
         stg_understat.select(
-            "understat_player_id", "season", "team_name",
+            "understat_player_id", "season", "team_name", *(["league"] if clean else []),
             F.col("xg").alias("understat_xg"),
             F.col("xg_assist").alias("understat_xg_assist"),
             F.col("npxg").alias("understat_npxg"),
             "xg_chain", "xg_buildup", F.col("shots").alias("understat_shots"), "key_passes",
         )
         .join(_season_keys(dim_season).select("season"), "season", "left_semi")
-        .join(known_teams, "team_name")
+        .join(known_teams, ["team_name", "league"] if clean else "team_name")
         .join(matched, ["understat_player_id", "season"])
-        .select("fbref_player_id", "season", *_UNDERSTAT_MEASURES, F.lit(True).alias("_enriched"))
+        .select(*rows_of, *_UNDERSTAT_MEASURES, F.lit(True).alias("_enriched"))
     )
     return (
         stg_fbref.select(
@@ -76,7 +85,7 @@ def fct_player_season_stats(
         .join(_competition_keys(dim_competition), "league")
         .join(teams, "fbref_team_id")
         .join(players, "fbref_player_id")
-        .join(enrichment, ["fbref_player_id", "season"], "left")
+        .join(enrichment, rows_of, "left")
         .select(
             surrogate_key("player_key", "team_key", "season_key").alias("player_season_stats_key"),
             "player_key", "team_key", "competition_key", "season_key",

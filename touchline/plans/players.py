@@ -6,7 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.names import last_token
@@ -301,6 +301,7 @@ def resolve_players(
     overrides: DataFrame,
     keep: Keep = as_is,
     pairs_per_cell: int = PAIRS_PER_CELL,
+    one_to_one: bool = False,
 ) -> DataFrame:
     """The whole player cross-reference from staging relations.
 
@@ -321,4 +322,27 @@ def resolve_players(
 
     with ThreadPoolExecutor(len(others)) as jobs:
         by_name, by_value = jobs.map(match, others)
-    return player_xref(hub, by_name, by_value, overrides)
+    resolved = player_xref(hub, by_name, by_value, overrides)
+    return each_id_once(resolved) if one_to_one else resolved
+
+
+def each_id_once(resolved: DataFrame) -> DataFrame:
+    """Leave each id of another source to one player of a season: a manual match, else the best score.
+
+    The others lose the id with its scores. Rows without an id are groups of their own.
+    """
+    lost = {
+        "understat_player_id": ["confidence", "name_score", "team_score", "position_score"],
+        "transfermarkt_player_id": ["transfermarkt_confidence"],
+    }
+    manual = F.col("match_status") == "manual_override"
+    for other, scores in lost.items():
+        group = F.coalesce(other, F.concat(F.lit("\0"), "fbref_player_id"))
+        order = [manual.desc(), F.col(scores[0]).desc_nulls_last(), F.col("fbref_player_id").asc_nulls_last()]
+        first = F.row_number().over(Window.partitionBy(group, "season").orderBy(*order)) == 1
+        resolved = resolved.withColumn("_first", first)
+        kept = {c: F.when(F.col("_first"), F.col(c)) for c in [other, *scores]}
+        if other == "understat_player_id":
+            kept["match_status"] = F.when(F.col("_first") | manual, F.col("match_status")).otherwise("unmatched")
+        resolved = resolved.withColumns(kept).drop("_first")
+    return resolved

@@ -95,7 +95,8 @@ class Warehouse(Mapping):
 
     A relation that more than one other relation reads (staging, cross-references, dimensions) is
     written once to the shared folder and read back, so a fact does not repeat the matching for
-    each of its inputs. Facts stay lazy for the caller to query or write.
+    each of its inputs. ``clean`` and ``one_to_one`` leave the original semantics where these
+    multiply rows; see ``facts`` and ``players.each_id_once``. Facts stay lazy for the caller to query or write.
     """
 
     def __init__(
@@ -105,10 +106,13 @@ class Warehouse(Mapping):
         overrides: DataFrame,
         folder: str | None = None,
         strict_parity: bool = False,
+        clean: bool = False,
+        one_to_one: bool = False,
     ):
         self.spark = aliases.sparkSession
         self.folder = folder or shared_folder(self.spark)
         self.aliases, self.overrides, self.strict_parity = aliases, overrides, strict_parity
+        self.clean, self.one_to_one = clean, one_to_one
         self._ready: dict[str, DataFrame] = dict(raw)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -168,7 +172,9 @@ _RELATIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
         teams.team_xref(*w.staged(), w.aliases), "int_team_xref"
     ),
     "int_player_xref": lambda w: w.keep(
-        players.resolve_players(*w.staged(), w["int_team_xref"], w.overrides, w.keep),
+        players.resolve_players(
+            *w.staged(), w["int_team_xref"], w.overrides, w.keep, one_to_one=w.one_to_one
+        ),
         "int_player_xref",
     ),
     "dim_season": lambda w: dimensions.dim_season(w.spark),
@@ -182,7 +188,8 @@ _RELATIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
         dimensions.dim_player(w.staged()[0], w["int_player_xref"]), "dim_player"
     ),
     "fct_player_season_stats": lambda w: facts.fct_player_season_stats(
-        w.staged()[0], w.staged()[1], w["int_player_xref"], w["int_team_xref"], *w.dimensions()
+        w.staged()[0], w.staged()[1], w["int_player_xref"], w["int_team_xref"], *w.dimensions(),
+        clean=w.clean,
     ),
     "fct_player_season_valuations": lambda w: facts.fct_player_season_valuations(
         w.staged()[2], w["int_player_xref"], w["int_team_xref"], *w.dimensions()

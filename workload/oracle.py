@@ -202,6 +202,26 @@ LEFT JOIN (
   JOIN int_player_xref x USING (understat_player_id, season)
   JOIN int_team_xref k ON k.understat_team_name = u.team_name
 ) e ON e.fbref_player_id = f.fbref_player_id AND e.season = f.season"""
+    c["clean_player_season_stats"] = (
+        c["fct_player_season_stats"]
+        .replace("p.canonical_player_id = f.fbref_player_id", "p.fbref_player_id = f.fbref_player_id")
+        .replace("SELECT x.fbref_player_id, u.*", "SELECT x.fbref_player_id, k.fbref_team_id, u.*")
+        .replace("k.understat_team_name = u.team_name", "k.understat_team_name = u.team_name AND k.league = u.league")
+        .replace("e.season = f.season", "e.season = f.season AND e.fbref_team_id = f.fbref_team_id")
+    )
+    c["single_player_xref"] = """
+SELECT canonical_player_id, fbref_player_id, CASE WHEN own THEN understat_player_id END AS understat_player_id,
+  CASE WHEN own_value THEN transfermarkt_player_id END AS transfermarkt_player_id, league, season,
+  CASE WHEN own THEN confidence END AS confidence, CASE WHEN own THEN name_score END AS name_score,
+  CASE WHEN own THEN team_score END AS team_score, CASE WHEN own THEN position_score END AS position_score,
+  CASE WHEN own_value THEN transfermarkt_confidence END AS transfermarkt_confidence,
+  CASE WHEN own OR match_status = 'manual_override' THEN match_status ELSE 'unmatched' END AS match_status
+FROM (SELECT *,
+  understat_player_id IS NULL OR row_number() OVER (PARTITION BY understat_player_id, season ORDER BY
+    match_status = 'manual_override' DESC, confidence DESC NULLS LAST, fbref_player_id) = 1 AS own,
+  transfermarkt_player_id IS NULL OR row_number() OVER (PARTITION BY transfermarkt_player_id, season ORDER BY
+    match_status = 'manual_override' DESC, transfermarkt_confidence DESC NULLS LAST, fbref_player_id) = 1 AS own_value
+  FROM int_player_xref)"""
     c["fct_player_season_valuations"] = f"""
 SELECT {key('p.player_key', 't.team_key', 'd.season_key')} AS valuation_key,
   p.player_key, t.team_key, d.season_key, c.competition_key, v.market_value_eur, v.date_of_birth,

@@ -107,6 +107,16 @@ def player_xref(spark, sf_dir):
     return _shown(built(spark, sf_dir)["int_player_xref"])
 
 
+@query(
+    over_chain(
+        """SELECT * REPLACE (round(confidence, 6) AS confidence, round(name_score, 6) AS name_score,
+  round(transfermarkt_confidence, 6) AS transfermarkt_confidence) FROM single_player_xref"""
+    )
+)
+def player_xref_one_to_one(spark, sf_dir):
+    return _shown(built(spark, sf_dir, one_to_one=True)["int_player_xref"])
+
+
 @query(over_chain("SELECT * FROM dim_team"))
 def dim_team(spark, sf_dir):
     return built(spark, sf_dir)["dim_team"]
@@ -146,6 +156,11 @@ def fct_player_season_stats(spark, sf_dir):
     return _shown(built(spark, sf_dir)["fct_player_season_stats"])
 
 
+@query(over_chain(_FACT.replace("fct_player", "clean_player")))
+def clean_player_season_stats(spark, sf_dir):
+    return _shown(built(spark, sf_dir, clean=True)["fct_player_season_stats"])
+
+
 @query(
     over_chain(
         """SELECT * REPLACE (strftime(date_of_birth, '%Y-%m-%d') AS date_of_birth)

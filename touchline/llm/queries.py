@@ -23,10 +23,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(PIECE_MODEL)
-    encoded = sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), path)
-    decoded = sentencepiece_codec.decode_documents(encoded, path)
-    return decoded.select("doc_id", "ids", "n_tokens", "decoded_sha256")
+    return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,9 @@ from touchline.llm.unit_cache import UnitCache
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10
+_MARKS = frozenset(b".,;:!?|#$%&*")
+_ASCII_LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
+_LATIN_TAIL = np.array([128 <= b <= 191 and b not in (0x97, 0xB7) for b in range(256)])
 
 
 class PieceModel:
@@ -48,10 +51,15 @@ class PieceModel:
                     pieces[model.id_to_piece(i)] = (i, model.get_score(i))
         self.pieces, self.byte_ids = pieces, byte_ids
         self.longest = max(map(len, pieces), default=1)
-        self.prefixes = {p[:n] for p in pieces for n in range(1, len(p) + 1)}
+        # A trie by prefixes: pieces by their text, () for what only begins a piece.
+        self.trie: dict[str, tuple] = {p[:n]: () for p in pieces for n in range(1, len(p))} | pieces
         self.unknown = min((s for _, s in pieces.values()), default=0.0) - UNKNOWN_PENALTY
         # Units begin with a run of blanks or a line break if no piece goes over such a place.
         self.splits = all(BLANK not in p.lstrip(BLANK) and "\n" not in p for p in pieces)
+        # Marks that no piece holds right after a letter: units begin there too.
+        self.marks = np.array([
+            b in _MARKS and not any(c == chr(b) and q.isalpha() for p in pieces for q, c in zip(p, p[1:])) for b in range(256)
+        ])
         size = 1 + max([i for i, _ in pieces.values()] + byte_ids)
         parts: list[bytes] = [b""] * size
         for p, (i, _) in pieces.items():
@@ -64,7 +72,7 @@ class PieceModel:
 
     def search(self, text: str) -> list[int]:
         """Ids of the best segmentation of an escaped text."""
-        pieces, prefixes, longest = self.pieces, self.prefixes, self.longest
+        trie, longest = self.trie.get, self.longest
         out: list[int] = []
         # Boundaries not yet committed: best score, where the last piece began, its id (-1: unknown character).
         score: dict[int, float] = {0: 0.0}
@@ -98,11 +106,10 @@ class PieceModel:
                     base = meet
             single = False
             for end in range(i + 1, min(len(text), i + longest) + 1):
-                part = text[i:end]
-                if part not in prefixes:
+                piece = trie(text[i:end])
+                if piece is None:
                     break
-                piece = pieces.get(part)
-                if piece is not None:
+                if piece:
                     single = single or end == i + 1
                     total = here + piece[1]
                     if end not in score or total > score[end]:
@@ -117,11 +124,14 @@ class PieceModel:
         return out
 
     def unit(self, unit: bytes) -> list[int]:
+        if unit[:1] == b"\xff":
+            return self.search(unit[1:].decode("utf-8", "replace"))
         text = unit.decode("utf-8", "replace")
         return self.search(text if text[:1] == "\n" else BLANK + text.replace(" ", BLANK))
 
     def units(self, text: bytes) -> list[bytes]:
-        """The units of a text, each without its first blank; one that begins with a line break has none."""
+        """The units of a text, each without its first blank; one that begins with a line break or the byte FF
+        (which no text holds) has none."""
         if not text:
             return []
         parts = text.replace(BLANK.encode(), b" ").replace(b"\n", b" \n").split(b" ")
@@ -131,7 +141,7 @@ class PieceModel:
         for part in parts:
             if not part:
                 blanks += 1
-            elif part[:1] == b"\n":
+            elif part[:1] in (b"\n", b"\xff"):
                 if blanks:
                     out.append(b" " * (blanks - 1))
                 out.append(part)
@@ -175,6 +185,13 @@ def _model(path: str) -> tuple[PieceModel, UnitCache]:
 
 
 def encode_texts(model: PieceModel, memory: UnitCache, data: np.ndarray, offsets: np.ndarray):
+    if model.splits:
+        letter = _ASCII_LETTER[data[:-1]]
+        letter[1:] |= (data[:-2] == 0xC3) & _LATIN_TAIL[data[1:-1]]
+        cuts = np.flatnonzero(letter & model.marks[data[1:]]) + 1
+        cuts = cuts[~np.isin(cuts, offsets)]
+        data = np.insert(data, np.repeat(cuts, 2), np.tile(np.array([32, 255], np.uint8), len(cuts)))
+        offsets = offsets + 2 * np.searchsorted(cuts, offsets)
     raw = data.tobytes()
     texts = [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
     if model.splits:
@@ -195,7 +212,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
             )
 
 
-def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _decode(batches: Iterator[pa.RecordBatch], path: str, with_text: bool = True) -> Iterator[pa.RecordBatch]:
     model, _ = _model(path)
     for batch in batches:
         column = batch["ids"]
@@ -203,11 +220,13 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
         data, lengths = model.decode_many(column.flatten().to_numpy().astype(np.int64), counts)
         raw, ends = data.tobytes(), np.cumsum(lengths)
         texts = [raw[e - n : e] for e, n in zip(ends.tolist(), lengths.tolist())]
-        yield pa.RecordBatch.from_arrays([
-            batch["doc_id"], column, pa.array(counts, pa.int64()),
-            pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
-            pa.array([t.decode("utf-8", "replace") for t in texts], pa.string()),
-        ], names=["doc_id", "ids", "n_tokens", "decoded_sha256", "text"])
+        out = {
+            "doc_id": batch["doc_id"], "ids": column, "n_tokens": pa.array(counts, pa.int64()),
+            "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
+        }
+        if with_text:
+            out["text"] = pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
+        yield pa.RecordBatch.from_pydict(out)
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
@@ -229,3 +248,12 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
         lambda it: _decode(it, path),
         "doc_id long, ids array<int>, n_tokens long, decoded_sha256 string, text string",
     )
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids, n_tokens, decoded_sha256: both directions in one pass, with one worker for both."""
+    docs = one_per_id(docs, "doc_id", "text")
+    return docs.mapInArrow(
+        lambda it: _decode(_encode(it, path), path, False),
+        "doc_id long, ids array<int>, n_tokens long, decoded_sha256 string",
+    )

@@ -9,8 +9,8 @@ import numpy as np
 
 from touchline.llm.common import ragged
 
-# Remembered units of a worker; beyond that it begins anew. Bounds memory, does not change results.
-MAX_UNITS = 1_000_000
+# Units of a worker before the rare ones are forgotten. Bounds memory, does not change results.
+MAX_UNITS = 400_000
 
 
 class UnitCache:
@@ -23,6 +23,18 @@ class UnitCache:
     def _clear(self) -> None:
         self.known: dict[bytes, int] = {}
         self.lengths, self.starts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.seen = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the more often seen half of the units, or fewer."""
+        common = self.seen > max(1, int(np.median(self.seen)))
+        lengths = self.lengths[common]
+        ids = self.ids[ragged(self.starts[common], lengths)]
+        kept = compress(list(self.known), common.tolist())
+        self._clear()
+        self.known = {unit: i for i, unit in enumerate(kept)}
+        self.lengths, self.starts, self.ids = lengths, np.cumsum(lengths) - lengths, ids
+        self.seen = np.zeros(len(lengths), np.int64)
 
     def _add(self, units: list[bytes]) -> None:
         new = self.encode(units)
@@ -36,7 +48,7 @@ class UnitCache:
     def texts(self, units: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids of each."""
         if len(self.known) > self.limit:
-            self._clear()
+            self._forget()
         count = np.fromiter(map(len, units), np.int64, len(units))
         total = int(count.sum())
         at = np.fromiter(map(self.known.get, chain.from_iterable(units), repeat(-1)), np.int64, total)
@@ -45,6 +57,7 @@ class UnitCache:
             missing = list(compress(chain.from_iterable(units), (at < 0).tolist()))
             self._add(list(dict.fromkeys(missing)))
             at[new] = np.fromiter(map(self.known.__getitem__, missing), np.int64, len(missing))
+        self.seen = np.bincount(at, minlength=len(self.known)) + np.pad(self.seen, (0, len(self.known) - len(self.seen)))
         lengths = self.lengths[at]
         before = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.concatenate([[0], np.cumsum(count)])

@@ -67,7 +67,7 @@ def test_embeddings_recall_on_the_limit():
     away /= np.linalg.norm(away, axis=1, keepdims=True)
     c = rng.uniform(0.95, 0.97, (4000, 1))
     met = (embedding_dedup.bucket_ids(x) == embedding_dedup.bucket_ids(c * x + np.sqrt(1 - c * c) * away)).any(1)
-    assert met.mean() > 0.99
+    assert met.mean() > 0.98
 
 
 @pytest.fixture(scope="module")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.session import shared_folder, written
+import touchline
+from touchline import session
+from touchline.session import written
 
 __all__ = [
     "CHUNK_BYTES", "byte_chunks", "components", "id_arrays", "one_per_id", "ragged", "shared_folder", "table",
@@ -20,7 +25,30 @@ __all__ = [
 CHUNK_BYTES = 4 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(touchline.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="touchline-")) / "touchline_package.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(root.rglob("*.py")):
+                out.write(path, path.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share."""
+    ship(spark)
+    return session.shared_folder(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -30,6 +58,7 @@ def one_per_id(df: DataFrame, key: str, *values: str) -> DataFrame:
     Keys are unique as a rule, which a pass over the key column alone confirms. If one is repeated, its
     row with the greatest values counts (null is least). All null keys are one key.
     """
+    ship(df.sparkSession)
     rows = df.select(key, *values)
     if rows.groupBy(key).count().filter("count > 1").isEmpty():
         return rows

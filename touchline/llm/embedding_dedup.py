@@ -3,11 +3,11 @@
 Normalised vectors are projected on random Gaussian directions, shifted and cut into cells of width ``WIDTH``;
 ``PROJECTIONS`` cells make the bucket of one of ``TABLES`` tables. Vectors of cosine 0.95 are 0.316 apart and
 agree in a cell with probability 0.874, so a pair on the limit shares a bucket in at least one table with
-probability 1 - (1 - 0.874^14)^40 = 0.998; closer pairs do so more surely.
+probability 1 - (1 - 0.874^16)^36 = 0.988; closer pairs do so more surely, unrelated ones hardly ever.
 
 Equal vectors are one row with a count, so copies do not meet. Rows of a bucket are compared exactly (double
 precision), and a pair is counted in the first table that it shares, which both rows tell from
-their buckets. What leaves a task is a number of links per vector and a spanning forest, not the pairs.
+their buckets. What leaves a task is a number of links per vector and its component among the rows, not the pairs.
 A bucket of more than ``BLOCK`` rows is cut into blocks whose pairs of blocks go to different tasks.
 """
 
@@ -20,13 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import components, shared_folder, written
+from touchline.llm.common import components, ragged, shared_folder, written
 
 COSINE = 0.95
 WIDTH = 2.0
-PROJECTIONS = 14
-TABLES = 40
+PROJECTIONS = 16
+TABLES = 36
 BLOCK = 2048
+# Groups of up to so many rows are compared pair by pair, all at once.
+_SMALL = 64
+_PAIRS_AT_ONCE = 200_000
 _SEED = 3
 
 
@@ -72,65 +75,101 @@ def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["rep", "buckets"])
 
 
-def _compare(x: np.ndarray, rep: np.ndarray, weight: np.ndarray, buckets: np.ndarray, table: int,
-             first: np.ndarray, second: np.ndarray):
-    """Links between the rows ``first`` and ``second`` (equal: within): weights added per row, and linked pairs."""
-    gained = np.zeros(len(x), np.int64)
-    pairs = []
-    for lo in range(0, len(first), 512):
-        a = first[lo : lo + 512]
-        near = x[a] @ x[second].T >= COSINE
-        i, j = np.nonzero(near)
-        p, q = a[i], second[j]
+def _near(x: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", x[first], x[second]) >= COSINE
+
+
+def _large(x: np.ndarray, rep: np.ndarray, first: np.ndarray, second: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs between two lists of rows (equal: within the list), a slab of rows at a time."""
+    for lo in range(0, len(first), 256):
+        i, j = np.nonzero(x[first[lo : lo + 256]] @ x[second].T >= COSINE)
+        p, q = first[lo : lo + 256][i], second[j]
         ok = rep[p] < rep[q] if first is second else rep[p] != rep[q]
-        p, q = p[ok], q[ok]
-        new = ~(buckets[p, :table] == buckets[q, :table]).any(axis=1)
-        p, q = p[new], q[new]
-        np.add.at(gained, p, weight[q])
-        np.add.at(gained, q, weight[p])
-        pairs.append(np.stack([p, q], axis=1))
-    return gained, np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
-
-
-def _span(pairs: np.ndarray) -> list[tuple[int, int]]:
-    parent: dict[int, int] = {}
-
-    def top(v):
-        while parent.setdefault(v, v) != v:
-            parent[v] = parent[parent[v]]
-            v = parent[v]
-        return v
-
-    out = []
-    for a, b in pairs.tolist():
-        x, y = top(a), top(b)
-        if x != y:
-            parent[x] = y
-            out.append((a, b))
-    return out
-
-
-def _cell(key: tuple, group: pa.Table) -> pa.Table:
-    """All links that one cell (bucket of a table, pair of blocks) is to count."""
-    number, _, row, col = (k.as_py() for k in key)
-    x, _ = _matrix(group["embedding"].combine_chunks())
-    x = _unit(x)
-    rep, weight, block = (group[c].to_numpy() for c in ("rep", "n", "block"))
-    buckets = np.array(group["buckets"].to_pylist(), np.int64).reshape(len(x), TABLES)
-    first = np.flatnonzero(block == row)
-    second = first if row == col else np.flatnonzero(block == col)
-    gained, pairs = _compare(x, rep, weight, buckets, number, first, second)
-    some = np.flatnonzero(gained)
-    forest = np.array(_span(pairs), np.int64).reshape(-1, 2)
-    return pa.table({
-        "a": pa.array(np.concatenate([rep[some], rep[forest[:, 0]]])),
-        "b": pa.array(np.concatenate([rep[some], rep[forest[:, 1]]])),
-        "gained": pa.array(np.concatenate([gained[some], np.zeros(len(forest), np.int64)])),
-    })
+        yield p[ok], q[ok]
+
+
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least row of each row's component under links between rows."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _links_of(table: pa.Table) -> pa.RecordBatch:
+    """What the whole cells (bucket of a table, pair of blocks) of a sorted table are to count."""
+    number, bucket, row, col, rep, weight, block = (
+        table[c].to_numpy() for c in ("number", "bucket", "row", "col", "rep", "n", "block")
+    )
+    n = len(rep)
+    x, _ = _matrix(table["embedding"].combine_chunks())
+    x = _unit(x) if n else x
+    buckets = table["buckets"].combine_chunks().flatten().to_numpy().reshape(n, TABLES)
+    new = np.ones(n, bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in (number, bucket, row, col)], axis=0)
+    start = np.flatnonzero(new)
+    size = np.diff(np.append(start, n))
+    gained = np.zeros(n, np.int64)
+    linked: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def take(p: np.ndarray, q: np.ndarray) -> None:
+        # A pair is counted in the first table that it shares.
+        for lo in range(0, len(p), _PAIRS_AT_ONCE):
+            a, b = p[lo : lo + _PAIRS_AT_ONCE], q[lo : lo + _PAIRS_AT_ONCE]
+            earlier = (buckets[a] == buckets[b]) & (np.arange(TABLES) < number[a][:, None])
+            a, b = a[~earlier.any(axis=1)], b[~earlier.any(axis=1)]
+            np.add.at(gained, a, weight[b])
+            np.add.at(gained, b, weight[a])
+            linked.append((a, b))
+
+    small = (size <= _SMALL) & (row[start] == col[start])
+    member = np.repeat(small, size)
+    later = np.where(member, np.repeat(start + size, size) - np.arange(n) - 1, 0)
+    cuts = np.searchsorted(np.cumsum(later), np.arange(0, int(later.sum()) + 1, _PAIRS_AT_ONCE))
+    for lo, hi in zip(cuts, [*cuts[1:], n]):
+        p = np.repeat(np.arange(lo, hi), later[lo:hi])
+        q = ragged(np.arange(lo, hi) + 1, later[lo:hi])
+        near = _near(x, p, q)
+        take(p[near], q[near])
+    for at in np.flatnonzero(~small):
+        rows = np.arange(start[at], start[at] + size[at])
+        first = rows[block[rows] == row[start[at]]]
+        second = first if row[start[at]] == col[start[at]] else rows[block[rows] == col[start[at]]]
+        for p, q in _large(x, rep, first, second):
+            take(p, q)
+    a = np.concatenate([p for p, _ in linked] or [np.zeros(0, np.int64)])
+    b = np.concatenate([q for _, q in linked] or [np.zeros(0, np.int64)])
+    root = _roots(n, a, b)
+    some, inner = np.flatnonzero(gained), np.flatnonzero(root != np.arange(n))
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.concatenate([rep[some], rep[inner]])), pa.array(np.concatenate([rep[some], rep[root[inner]]])),
+        pa.array(np.concatenate([gained[some], np.zeros(len(inner), np.int64)])),
+    ], names=["a", "b", "gained"])
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by cell; the last, perhaps open cell of a batch waits for the next one."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        keys = [table[c].to_numpy() for c in ("number", "bucket", "row", "col")]
+        other = np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0)) if len(table) else []
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            yield _links_of(table.slice(0, cut).combine_chunks())
+        held = table.slice(cut)
+    if held is not None and len(held):
+        yield _links_of(held.combine_chunks())
 
 
 def embedding_links(distinct: DataFrame, folder: str, block: int = BLOCK) -> DataFrame:
-    """Rows (a, b, gained) over distinct vectors (rep, embedding, n): a = b brings a's links, a <> b is a link.
+    """Rows (a, b, gained) over distinct vectors (rep, embedding, n): a = b brings a's links, a <> b says that both are connected.
 
     Only buckets with at least two vectors go on; vectors meet their buckets after that.
     """
@@ -147,7 +186,8 @@ def embedding_links(distinct: DataFrame, folder: str, block: int = BLOCK) -> Dat
         F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"),
     )
     rows = cells.join(distinct.join(hashed, "rep"), "rep")
-    return rows.groupBy("number", "bucket", "row", "col").applyInArrow(_cell, "a long, b long, gained long")
+    cell = ["number", "bucket", "row", "col"]
+    return rows.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(_cells, "a long, b long, gained long")
 
 
 def dedup_embeddings(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -169,7 +209,8 @@ def dedup_embeddings(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
         F.lit(False),
     )
     # -0.0 and 0.0 are one number for grouping.
-    own = own.select("id", F.when(usable, F.transform(v, lambda x: x.cast("double") + 0.0)).alias("embedding"))
+    kind = own.schema["embedding"].dataType.elementType.simpleString()
+    own = own.select("id", F.when(usable, F.transform(v, lambda x: x + F.lit(0).cast(kind))).alias("embedding"))
     own = own.withColumn("content", F.sha2(F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string"))), 256))
     good = own.filter("embedding is not null")
     distinct = written(

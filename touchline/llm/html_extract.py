@@ -18,6 +18,8 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from touchline.llm.common import ship
+
 # Elements that are never part of an article's text.
 _SKIP = frozenset(
     "script style noscript template head title nav footer aside form button select option textarea input label "
@@ -277,6 +279,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     are joined by a line break. Null and empty pages, and pages without text, give the empty text. Every row is
     kept, repeated ones and null ids and urls too. An empty table gives an empty result. Other columns are ignored.
     """
+    ship(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long"
     )

@@ -100,51 +100,59 @@ def _row_test_counts(df: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
     counters = [
         F.count_if(_ROW_TESTS[t.kind](t)).alias(f"c{i}") for i, t in enumerate(tests)
     ]
-    labelled = [
+    return df.agg(*counters).select(F.inline(F.array(*_labelled(tests))))
+
+
+def _labelled(tests: list[DataTest]) -> list[Column]:
+    return [
         F.struct(
             F.lit(t.model).alias("model"), F.lit(t.column).alias("column"),
             F.lit(t.kind).alias("test"), F.col(f"c{i}").alias("failures"),
         )
         for i, t in enumerate(tests)
     ]
-    return df.agg(*counters).select(F.inline(F.array(*labelled)))
-
 
-def _count_as(df: DataFrame, test: DataTest, value: Column) -> DataFrame:
-    return df.agg(value.alias("failures")).select(
-        F.lit(test.model).alias("model"), F.lit(test.column).alias("column"),
-        F.lit(test.kind).alias("test"), "failures",
-    )
 
+def _key_test_counts(df: DataFrame, tests: list[DataTest], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Failures of all uniqueness and reference tests of a relation, from one pass over it.
 
-def _orphan_count(test: DataTest, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Failing child rows, counted per key before the join."""
-    parent = tables[test.options["to"]].select(
-        F.col(test.options["field"]).alias(test.column)
-    )
-    per_key = (
-        tables[test.model].filter(F.col(test.column).isNotNull())
-        .groupBy(test.column).agg(F.count(F.lit(1)).alias("n"))
-    )
-    missing = per_key.join(parent, test.column, "left_anti")
-    return _count_as(missing, test, F.coalesce(F.sum("n"), F.lit(0)))
+    The tested columns become (test, value) rows, which are counted with map-side combining; only these counts
+    meet the parents.
+    """
+    values = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(t.column).cast("string").alias("v")) for i, t in enumerate(tests)
+    ])
+    per_key = df.select(F.inline(values)).filter("v is not null").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    parents = [
+        tables[t.options["to"]].select(F.lit(i).alias("i"), F.col(t.options["field"]).cast("string").alias("v"))
+        for i, t in enumerate(tests) if t.kind == "relationships"
+    ]
+    known = F.lit(True)
+    if parents:
+        found = reduce(DataFrame.union, parents).distinct().withColumn("known", F.lit(True))
+        per_key, known = per_key.join(found, ["i", "v"], "left"), F.col("known")
+    failures = [
+        F.when(F.col("n") > 1, 1) if t.kind == "unique" else F.when(known.isNull(), F.col("n")) for t in tests
+    ]
+    counters = [
+        F.coalesce(F.sum(F.when(F.col("i") == i, bad)), F.lit(0)).cast("long").alias(f"c{i}")
+        for i, bad in enumerate(failures)
+    ]
+    return per_key.agg(*counters).select(F.inline(F.array(*_labelled(tests))))
 
 
 def run_data_tests(tests: Sequence[DataTest], tables: Mapping[str, DataFrame]) -> DataFrame:
     """model, column, test, failures, passed – one row per test.
 
-    Row tests share one scan per relation. Only the tests that need a group or a join are
-    separate branches.
+    Row tests of a relation share one scan, and so do its tests of keys.
     """
     parts = []
     for model in dict.fromkeys(t.model for t in tests):
-        row_tests = [t for t in tests if t.model == model and t.kind in _ROW_TESTS]
+        own = [t for t in tests if t.model == model]
+        row_tests = [t for t in own if t.kind in _ROW_TESTS]
         if row_tests:
             parts.append(_row_test_counts(tables[model], row_tests))
-    for t in tests:
-        if t.kind == "unique":
-            repeated = duplicates(tables[t.model], t.column)
-            parts.append(_count_as(repeated, t, F.count(F.lit(1))))
-        elif t.kind == "relationships":
-            parts.append(_orphan_count(t, tables))
+        key_tests = [t for t in own if t.kind not in _ROW_TESTS]
+        if key_tests:
+            parts.append(_key_test_counts(tables[model], key_tests, tables))
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)

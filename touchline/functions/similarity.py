@@ -16,6 +16,8 @@ _PREFIX_WEIGHT, _PREFIX_MAX, _BOOST_ABOVE = 0.1, 4, 0.7
 
 # Cells of one work matrix: small enough to stay in the processor's cache.
 _BLOCK_CELLS = 200_000
+# Splits a double into two halves of its digits.
+_SPLIT = float(2**27 + 1)
 
 
 def _matrix(texts: list[bytes], lengths: np.ndarray) -> np.ndarray:
@@ -25,6 +27,15 @@ def _matrix(texts: list[bytes], lengths: np.ndarray) -> np.ndarray:
     return out
 
 
+def _exact_product(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A product as the nearest double and what that leaves out, by splitting both factors in halves."""
+    x_big, y_big = x * _SPLIT, y * _SPLIT
+    x_high, y_high = x_big - (x_big - x), y_big - (y_big - y)
+    x_low, y_low = x - x_high, y - y_high
+    product = x * y
+    return product, ((x_high * y_high - product) + x_high * y_low + x_low * y_high) + x_low * y_low
+
+
 def _score_block(left: list[bytes], right: list[bytes]) -> np.ndarray:
     """Scores of non-empty pairs; all pairs advance together, one byte of the left text a step."""
     len_l = np.fromiter(map(len, left), dtype=np.int64, count=len(left))
@@ -63,9 +74,12 @@ def _score_block(left: list[bytes], right: list[bytes]) -> np.ndarray:
     both = np.arange(shared) < np.minimum(len_l, len_r)[:, None]
     prefix = np.cumprod((a[:, :shared] == b[:, :shared]) & both, axis=1).sum(axis=1)
     # Product and sum are rounded once, as by a fused multiply-add: scores on a limit depend on it.
-    wide = np.longdouble
-    boosted = jaro + (prefix * _PREFIX_WEIGHT).astype(wide) * (1.0 - jaro).astype(wide)
-    return np.where(jaro > _BOOST_ABOVE, boosted.astype(np.float64), jaro)
+    product, rest = _exact_product(prefix * _PREFIX_WEIGHT, 1.0 - jaro)
+    total = jaro + product
+    other = total - jaro
+    lost = (jaro - (total - other)) + (product - other)
+    boosted = total + (lost + rest)
+    return np.where(jaro > _BOOST_ABOVE, boosted, jaro)
 
 
 def jaro_winkler_arrays(left: list[bytes | None], right: list[bytes | None]) -> np.ndarray:

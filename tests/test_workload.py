@@ -20,7 +20,7 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", list(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", list(__spark_entry__.oracle_sql()))
 def test_query(spark, con, name):
     df = __spark_entry__.queries()[name](spark, SF_DIR)
     assert compare(df.columns, df.collect(), con.sql(__spark_entry__.oracle_sql()[name])) is None

@@ -22,14 +22,24 @@ __all__ = [
 ]
 
 # Texts are turned into numpy arrays in groups of about this many bytes; a longer text is a group of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+# Batches for Python are bounded by rows and bytes: texts are large, and several workers share an executor.
+_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application: they need not have it installed."""
+    """Give the executors this package, once per application: they need not have it installed.
+
+    Also bounds the batches of the session for workers in Python.
+    """
+    for key, value in _BATCHES.items():
+        spark.conf.set(key, value)
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         root = Path(touchline.__file__).parent

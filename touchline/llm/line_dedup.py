@@ -14,7 +14,7 @@ documents, each with its own part of the shards, and the same result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -181,9 +181,13 @@ def _probe_texts(batches: Iterator[pa.RecordBatch], index: LineIndex) -> Iterato
         yield batch.set_column(batch.schema.get_field_index("_dropped"), "_dropped", column)
 
 
-def mark_lines(docs: DataFrame, folder: str, min_documents: int = MIN_DOCUMENTS,
+def mark_lines(docs: DataFrame, finish: Callable, schema, min_documents: int = MIN_DOCUMENTS,
                round_bytes: int = ROUND_BYTES) -> DataFrame:
-    """The rows of ``docs`` with ``_dropped``: the numbers of the lines that go (null: none)."""
+    """``finish`` of the rows of ``docs`` with ``_dropped``: the numbers of the lines that go (null: none).
+
+    The last round and ``finish`` are one step.
+    """
+    folder = shared_folder(docs.sparkSession)
     spark = docs.sparkSession
     members = written(repeated_keys(docs, min_documents), folder, "members")
     total = members.count()
@@ -196,8 +200,9 @@ def mark_lines(docs: DataFrame, folder: str, min_documents: int = MIN_DOCUMENTS,
         index = spark.sparkContext.broadcast(LineIndex(n_shards, [tuple(r) for r in part.toLocalIterator()]))
         if first:
             marked = written(marked, folder, f"marked-{first}")
-        marked = marked.mapInArrow(lambda it, index=index: _probe_texts(it, index.value), marked.schema)
-    return marked
+        if first + per_round < n_shards:
+            marked = marked.mapInArrow(lambda it, index=index: _probe_texts(it, index.value), marked.schema)
+    return marked.mapInArrow(lambda it: finish(_probe_texts(it, index.value)), schema)
 
 
 def kept_text(text: bytes, dropped: list[int] | None) -> bytes:
@@ -231,10 +236,8 @@ def dedup_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, round_bytes
     empty table gives an empty result. Other columns of ``docs`` are ignored.
     """
     docs = one_per_id(docs, "doc_id", "text")
-    marked = mark_lines(docs, shared_folder(docs.sparkSession), min_documents, round_bytes)
-    return marked.mapInArrow(
-        _clean, "doc_id long, text string, n_lines long, n_dropped long, kept_sha256 string"
-    )
+    schema = "doc_id long, text string, n_lines long, n_dropped long, kept_sha256 string"
+    return mark_lines(docs, _clean, schema, min_documents, round_bytes)
 
 
 def _clean_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,5 +255,4 @@ def dedup_rows(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, round_bytes:
 
     As ``dedup_lines``, but a null text stays null and rows of one doc_id stay apart and count one by one.
     """
-    marked = mark_lines(docs, shared_folder(docs.sparkSession), min_documents, round_bytes)
-    return marked.mapInArrow(_clean_rows, docs.schema)
+    return mark_lines(docs, _clean_rows, docs.schema, min_documents, round_bytes)

@@ -210,6 +210,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays(
                 [doc_ids[lo:hi], pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], names=["doc_id", "ids"]
             )
+    memory.rest()
 
 
 def _decode(batches: Iterator[pa.RecordBatch], path: str, with_text: bool = True) -> Iterator[pa.RecordBatch]:

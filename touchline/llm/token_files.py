@@ -253,6 +253,7 @@ def _shards(batches: Iterator[pa.RecordBatch], path: str, shard_ids: int, end_id
                 block, held, size = block + 1, [], 0
     if held:
         yield flush()
+    _tokenizer(path).rest()
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID,

@@ -10,7 +10,7 @@ import numpy as np
 from touchline.llm.common import ragged
 
 # Units of a worker before the rare ones are forgotten. Bounds memory, does not change results.
-MAX_UNITS = 400_000
+MAX_UNITS = 250_000
 
 
 class UnitCache:
@@ -45,6 +45,11 @@ class UnitCache:
         self.starts = np.concatenate([self.starts, starts])
         self.ids = np.concatenate([self.ids, np.fromiter((i for x in new for i in x), np.int32, int(lengths.sum()))])
 
+    def rest(self) -> None:
+        """Between tasks a worker remembers the common units only."""
+        if len(self.known) > self.limit // 2:
+            self._forget()
+
     def texts(self, units: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids of each."""
         if len(self.known) > self.limit:

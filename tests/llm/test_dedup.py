@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from conftest import empty_like, with_oddities
 
-from touchline.llm import line_dedup, simhash_dedup, suffix_dedup
+from touchline.llm import jaccard_dedup, line_dedup, simhash_dedup, suffix_dedup
 from touchline.llm.suffix_dedup import multikey_sort
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -178,3 +178,63 @@ def test_simhash_links_of_a_dense_group_and_of_random_fingerprints(spark):
         return [top(v) for v in range(len(prints))]
 
     assert components(links) == components(np.argwhere(near).tolist())
+
+
+def word_sets(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_least(pairs):
+    """The least id of each group of texts whose sets of five words have a Jaccard similarity of 0.8 or more."""
+    sets = {d: word_sets(t) for d, t in pairs}
+    head = {d: d for d in sets}
+
+    def top(d):
+        while head[d] != d:
+            d = head[d]
+        return d
+
+    for a in sorted(sets):
+        for b in sorted(d for d in sets if d > a):
+            x, y = sets[a], sets[b]
+            if (x == y or 5 * len(x & y) >= 4 * len(x | y)) and top(a) != top(b):
+                low, high = sorted((top(a), top(b)))
+                head[high] = low
+    return {d for d in sets if top(d) == d}
+
+
+@pytest.mark.parametrize("block", [3, jaccard_dedup.BLOCK])
+def test_edited_copies_are_one_group(spark, texts, block):
+    rng = np.random.default_rng(8)
+    rows = list(texts)
+    for size, edits, copies in ((150, 1, 30), (95, 1, 20), (90, 1, 20), (300, 2, 15), (150, 12, 10), (4, 1, 5)):
+        base = [f"w{w}" for w in rng.integers(0, 5000, size)]
+        for _ in range(copies):
+            words = list(base)
+            for at in rng.integers(0, size, edits):
+                words[at] = f"v{rng.integers(0, 5000)}"
+            rows.append(" ".join(words))
+    pairs = [(int(i) * 2 - 40, t) for i, t in zip(rng.permutation(len(rows)), rows)]
+    df = spark.createDataFrame(pairs, "id long, text string").repartition(5)
+    got = [r.id for r in jaccard_dedup.least_of_groups(df, block).collect()]
+    assert len(got) == len(set(got)) and set(got) == plain_least(pairs)
+    assert len(got) < len(pairs) - 60
+    assert jaccard_dedup.least_of_groups(df.limit(0), block).count() == 0
+
+
+def test_near_copies_stage_takes_edited_copies(spark):
+    """Two words of 150 are others: a similarity of 0.87 in five words, yet mostly more than four bits of a fingerprint."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(9)
+    rows = []
+    for _ in range(20):
+        words = [f"w{w}" for w in rng.integers(0, 5000, 150)]
+        rows.append(" ".join(words))
+        words[40] = words[100] = "other"
+        rows.append(" ".join(words))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(rows)] + [(None, rows[0], "en", "s", 1)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()}
+    assert kept == {None} | set(range(2, 40, 2))

@@ -70,6 +70,19 @@ def test_embeddings_recall_on_the_limit():
     assert met.mean() > 0.98
 
 
+def test_embeddings_recall_at_the_limit_itself():
+    """Of pairs of cosine 0.95, 0.9986 share a bucket by the formula."""
+    assert 1 - (1 - 0.874**embedding_dedup.PROJECTIONS) ** embedding_dedup.TABLES > 0.998
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((20000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.standard_normal((20000, 64))
+    away -= (away * x).sum(1, keepdims=True) * x
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    other = 0.95 * x + np.sqrt(1 - 0.95**2) * away
+    assert (embedding_dedup.bucket_ids(x) == embedding_dedup.bucket_ids(other)).any(1).mean() > 0.99
+
+
 @pytest.fixture(scope="module")
 def model():
     return sentencepiece_codec.PieceModel(public_tokenizers.path(PIECE_MODEL))

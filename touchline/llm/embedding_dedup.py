@@ -3,7 +3,7 @@
 Normalised vectors are projected on random Gaussian directions, shifted and cut into cells of width ``WIDTH``;
 ``PROJECTIONS`` cells make the bucket of one of ``TABLES`` tables. Vectors of cosine 0.95 are 0.316 apart and
 agree in a cell with probability 0.874, so a pair on the limit shares a bucket in at least one table with
-probability 1 - (1 - 0.874^16)^36 = 0.988; closer pairs do so more surely, unrelated ones hardly ever.
+probability 1 - (1 - 0.874^14)^40 = 0.9986; closer pairs do so more surely, unrelated ones hardly ever.
 
 Equal vectors are one row with a count, so copies do not meet. Rows of a bucket are compared exactly (double
 precision), and a pair is counted in the first table that it shares, which both rows tell from
@@ -24,8 +24,8 @@ from touchline.llm.common import components, ragged, shared_folder, written
 
 COSINE = 0.95
 WIDTH = 2.0
-PROJECTIONS = 16
-TABLES = 36
+PROJECTIONS = 14
+TABLES = 40
 BLOCK = 2048
 # Groups of up to so many rows are compared pair by pair, all at once.
 _SMALL = 64

@@ -232,7 +232,7 @@ def test_windows(spark, documents, texts, block):
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no benchmark tables here")
 def test_pipeline(spark):
     import corpus_pipeline
-    from test_dedup import plain_lines, plain_simhash
+    from test_dedup import plain_least, plain_lines
 
     from touchline.llm import sentencepiece_codec
 
@@ -245,8 +245,8 @@ def test_pipeline(spark):
     kept = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs.filter(F.col("doc_id").isin(*good)), sf_dir).collect()}
     assert {d: v[2] for d, v in marked.items()} == {
         d: __import__("hashlib").sha256((t or "").encode()).hexdigest() for d, t in kept.items()}
-    groups = plain_simhash(kept.items())
-    kept = {d: t for d, t in kept.items() if groups[d][1] == d}
+    least = set(plain_least(kept.items()))
+    kept = {d: t for d, t in kept.items() if d in least}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     kept = {d: t for d, t in kept.items() if not plain_windows([(d, t)], items)[d][1]}
     import public_tokenizers

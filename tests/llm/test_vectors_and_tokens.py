@@ -67,7 +67,7 @@ def test_embeddings_recall_on_the_limit():
     away /= np.linalg.norm(away, axis=1, keepdims=True)
     c = rng.uniform(0.95, 0.97, (4000, 1))
     met = (embedding_dedup.bucket_ids(x) == embedding_dedup.bucket_ids(c * x + np.sqrt(1 - c * c) * away)).any(1)
-    assert met.mean() > 0.98
+    assert met.mean() > 0.99
 
 
 def test_embeddings_recall_at_the_limit_itself():
@@ -172,6 +172,47 @@ def test_token_files(spark, documents, texts):
         token_files.write_token_files(empty_like(documents), path, shared_folder(spark))).count() == 0
 
 
+def test_word_table_beside_a_dictionary():
+    """Words of all lengths, long ones and NUL bytes too, with and without forgetting, and many in one slot."""
+    from touchline.llm.word_table import WordTable
+
+    rng = np.random.default_rng(2)
+    coded = []
+
+    def encode(units):
+        coded.extend(units)
+        return [list(u) + [len(u)] for u in units]
+
+    for limit in (1 << 20, 64 * 40):
+        table = WordTable(encode, limit)
+        for turn in range(12):
+            words = [bytes(rng.integers(0, 3, rng.choice([1, 2, 7, 8, 9, 15, 16, 17, 30])).astype(np.uint8)) for _ in range(400)]
+            ends = np.cumsum([len(w) for w in words])
+            data = np.frombuffer(b"".join(words), np.uint8)
+            ids, counts = table.lookup(data, ends - np.array([len(w) for w in words]), ends)
+            assert counts.tolist() == [len(w) + 1 for w in words]
+            assert ids.tolist() == [i for w in words for i in (*w, len(w))]
+            if turn % 4 == 3:
+                table.rest()
+        if limit == 1 << 20:
+            assert len(coded) == len(set(coded))
+
+
+def test_grammar_goes_on_until_no_pair_is_frequent():
+    """Long copies: a passage of 500 ids, 40 times, becomes a few symbols each time."""
+    passage = np.random.default_rng(1).integers(0, 40000, 500)
+    ids = np.tile(passage, 40)
+    symbols, _, bounds, rules, lengths = token_files.compress(ids, np.arange(500, 20001, 500))
+    assert len(symbols) <= 80 and lengths.max() > 250
+    assert (token_files.expand(symbols, bounds, rules) == ids).all()
+    pairs = {}
+    for i in range(len(symbols) - 1):
+        pairs[symbols[i], symbols[i + 1]] = pairs.get((symbols[i], symbols[i + 1]), 0) + 1
+    per_doc = len(symbols) // 40
+    inside = [n for (a, b), n in pairs.items() if per_doc > 1]
+    assert per_doc == 1 or max(inside) <= 40
+
+
 def test_grammar_round_trip_and_random_access():
     rng = np.random.default_rng(8)
     for ids in (np.zeros(5000, np.int64), rng.integers(0, 5, 20000), rng.zipf(1.3, 20000) % 70000, np.zeros(0, np.int64)):

@@ -70,7 +70,7 @@ def repeated_keys(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFr
 # -- the perfect hash ----------------------------------------------------------------------------------------
 
 
-def _mix(x: np.ndarray, seed: np.ndarray | int) -> np.ndarray:
+def mixed(x: np.ndarray, seed: np.ndarray | int) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (x ^ (np.asarray(seed, np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
@@ -84,7 +84,7 @@ def build_shard(h1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     n = len(h1)
     buckets = n // 4 + 1
-    home = _mix(h1, 1) % np.uint64(buckets)
+    home = mixed(h1, 1) % np.uint64(buckets)
     order = np.argsort(home, kind="stable")
     starts = np.searchsorted(home[order], np.arange(buckets + 1))
     shift = np.zeros(buckets, np.uint32)
@@ -97,7 +97,7 @@ def build_shard(h1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         base = 2
         while True:
             seeds = np.arange(base, base + 64, dtype=np.uint64)
-            at = (_mix(h1[members][None, :], seeds[:, None]) % np.uint64(n)).astype(np.int64)
+            at = (mixed(h1[members][None, :], seeds[:, None]) % np.uint64(n)).astype(np.int64)
             fits = ~used[at].any(axis=1)
             if len(members) > 1:
                 ranked = np.sort(at, axis=1)
@@ -137,8 +137,8 @@ class LineIndex:
         shard = ((h1 >> np.uint64(1)) % np.uint64(self.n_shards)).astype(np.int64)
         here = np.flatnonzero(self.sizes[shard] > 0)
         h, s = h1[here], shard[here]
-        bucket = self.bucket_start[s] + (_mix(h, 1) % self.buckets[s]).astype(np.int64)
-        slot = self.slot_start[s] + (_mix(h, self.shift[bucket]) % self.sizes[s]).astype(np.int64)
+        bucket = self.bucket_start[s] + (mixed(h, 1) % self.buckets[s]).astype(np.int64)
+        slot = self.slot_start[s] + (mixed(h, self.shift[bucket]) % self.sizes[s]).astype(np.int64)
         hit = self.prints[slot] == h2[here].view(np.int64)
         out[here[hit]] = slot[hit]
         return out

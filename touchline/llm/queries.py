@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.llm import (
-    decontaminate, embedding_dedup, html_extract, line_dedup, quality_gam, sentencepiece_codec, simhash_dedup,
-    suffix_dedup, token_files, url_filter,
+    decontaminate, document_fingerprint, embedding_dedup, html_extract, line_dedup, merkle_manifest, prefix_trie,
+    quality_gam, sentencepiece_codec, simhash_dedup, suffix_dedup, token_files, url_filter,
 )
 from touchline.llm.common import shared_folder, table
+from touchline.llm.sql import FINGERPRINT_SQL, MANIFEST_SQL, TRIE_SQL
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -62,6 +63,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle_manifest.manifest(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprint.compare_edits(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
@@ -125,7 +139,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_suffix_dedup, op2_sentencepiece, op3_embedding_dedup, op4_token_files, op5_quality_classifier,
         op6_url_filter, op7_html_extract, op8_simhash_dedup, op9_line_dedup, op10_decontaminate,
+        op11_merkle_manifest, op12_document_fingerprints, op13_prefix_trie,
     )
 } | {"pipeline": _pipeline}
 
-SQL: dict[str, str] = {"op9_line_dedup": LINES_SQL, "op10_decontaminate": WINDOWS_SQL}
+SQL: dict[str, str] = {
+    "op9_line_dedup": LINES_SQL, "op10_decontaminate": WINDOWS_SQL, "op11_merkle_manifest": MANIFEST_SQL,
+    "op12_document_fingerprints": FINGERPRINT_SQL, "op13_prefix_trie": TRIE_SQL,
+}

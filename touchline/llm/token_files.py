@@ -2,7 +2,7 @@
 
 A shard holds the ids of consecutive documents in ascending doc_id order. Frequent pairs of neighbouring ids
 become nonterminals, round by round: a round counts all pairs of the shard, takes the most frequent ones
-and replaces them from left to right. No pair goes over the end of a document, so a document is a whole
+and replaces them from left to right, until no pair is frequent. No pair goes over the end of a document, so a document is a whole
 number of symbols and is decoded alone: its place is the sum of the expansion lengths before it.
 
 File format: Parquet, which Spark commits as a whole, one row per shard. Arrays are little-endian.
@@ -34,11 +34,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.common import byte_chunks, one_per_id, written
-from touchline.llm.unit_cache import UnitCache
+from touchline.llm.word_table import WordTable
 
 END_ID = 1
 SHARD_IDS = 1 << 20
-ROUNDS = 4
 PAIRS_PER_ROUND = 1024
 MIN_COUNT = 32
 _BINS = 1 << 18
@@ -58,6 +57,7 @@ _LATIN_TAIL = np.array([128 <= b <= 191 and b not in (0x97, 0xB7) for b in range
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MARK = np.isin(np.arange(256), list(b".,;:!?"))
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 
 
 def _byte_characters() -> dict[int, str]:
@@ -68,7 +68,7 @@ def _byte_characters() -> dict[int, str]:
 
 
 @cache
-def _tokenizer(path: str) -> UnitCache:
+def _tokenizer(path: str) -> WordTable:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -95,38 +95,48 @@ def _tokenizer(path: str) -> UnitCache:
             out[i] = e.ids
         return out
 
-    return UnitCache(encode)
+    return WordTable(encode)
 
 
 def encode_chunk(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the texts of a chunk, without end ids.
+    """Ids of the texts of a chunk, without end ids, and the number of ids of each text.
 
     The tokenizer drops white space before it forms words, so a text has the ids of its parts between ASCII blanks.
     """
+    inside = ~_BLANK[data]
+    # A part begins after a blank or at the start of a text.
+    begins = np.ones(len(data) + 1, bool)
+    begins[1:-1] = ~inside[:-1]
+    begins[offsets] = True
     if b"<|" not in data.tobytes():
-        # Neither changes an id, and both make fewer units: ASCII letters in lower case, and a blank between a
+        # Neither changes an id, and both make fewer parts: ASCII letters in lower case, and a cut between a
         # letter and a mark, which are separate words anyway. Names of special tokens stay as they are.
         data = _LOWER[data]
         letter = _ASCII_LETTER[data[:-1]]
         letter[1:] |= (data[:-2] == 0xC3) & _LATIN_TAIL[data[1:-1]]
-        cuts = np.flatnonzero(letter & _MARK[data[1:]]) + 1
-        offsets = offsets + np.searchsorted(cuts, offsets, "left")
-        data = np.insert(data, cuts, 32)
-    raw = data.tobytes()
-    return _tokenizer(path).texts([raw[a:b].split() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
+        begins[1:-1] |= letter & _MARK[data[1:]]
+    starts = np.flatnonzero(begins[:-1] & inside)
+    # It ends before a blank, at the next part or at the end.
+    ends = np.flatnonzero(inside & (begins[1:] | ~np.append(inside[1:], False))) + 1
+    ids, counts = _tokenizer(path).lookup(data, starts, ends)
+    before = np.concatenate([[0], np.cumsum(counts)])
+    return ids, np.diff(before[np.searchsorted(starts, offsets)])
 
 
 # -- grammar -------------------------------------------------------------------------------------------------
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS_PER_ROUND):
-    """(symbols, symbols per document, rounds, rules, lengths) of ids with the end of each document."""
+def compress(ids: np.ndarray, ends: np.ndarray, pairs: int = PAIRS_PER_ROUND):
+    """(symbols, symbols per document, rounds, rules, lengths) of ids with the end of each document.
+
+    Rounds go on until no pair occurs ``MIN_COUNT`` times.
+    """
     symbols = ids.astype(np.int64)
     last = np.zeros(len(ids), bool)
     last[ends[ends > 0] - 1] = True
     first = int(symbols.max(initial=0)) + 1
     bounds, rules, lengths = [first], [], np.ones(first, np.int64)
-    for _ in range(rounds):
+    while True:
         low = bounds[-1]
         keys = symbols[:-1] * low + symbols[1:]
         keys[last[:-1]] = -1

@@ -204,7 +204,7 @@ def test_grammar_goes_on_until_no_pair_is_frequent():
     ids = np.tile(passage, 40)
     symbols, _, bounds, rules, lengths = token_files.compress(ids, np.arange(500, 20001, 500))
     assert len(symbols) <= 80 and lengths.max() > 250
-    assert (token_files.expand(symbols, bounds, rules) == ids).all()
+    assert (token_files.expand(symbols, token_files.expansions(bounds, rules)) == ids).all()
     pairs = {}
     for i in range(len(symbols) - 1):
         pairs[symbols[i], symbols[i + 1]] = pairs.get((symbols[i], symbols[i + 1]), 0) + 1

@@ -25,7 +25,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +33,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import byte_chunks, one_per_id, written
+from touchline.llm.common import byte_chunks, one_per_id, ragged, written
 from touchline.llm.word_table import WordTable
 
 END_ID = 1
 SHARD_IDS = 1 << 20
-PAIRS_PER_ROUND = 1024
+PAIRS_PER_ROUND = 1 << 14
 MIN_COUNT = 32
-_BINS = 1 << 18
-_SPREAD = np.int64(-0x61C8864680B583EB)
+_BIN_BITS = 18
+_SPREAD = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77))
 
 FORMAT = ("part int, block int, doc_ids binary, has_id binary, symbols binary, tokens binary, width int, body binary, "
           "rounds binary, rules binary, lengths binary, first long, n_ids long")
@@ -58,7 +58,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MARK = np.isin(np.arange(256), list(b".,;:!?"))
 _BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
-_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 
 
 def _byte_characters() -> dict[int, str]:
@@ -127,33 +126,45 @@ def encode_chunk(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
 # -- grammar -------------------------------------------------------------------------------------------------
 
 
+def _bin(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left * _SPREAD[0] + right * _SPREAD[1]) >> np.uint32(32 - _BIN_BITS)
+
+
 def compress(ids: np.ndarray, ends: np.ndarray, pairs: int = PAIRS_PER_ROUND):
     """(symbols, symbols per document, rounds, rules, lengths) of ids with the end of each document.
 
     Rounds go on until no pair occurs ``MIN_COUNT`` times.
     """
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.uint32)
     last = np.zeros(len(ids), bool)
     last[ends[ends > 0] - 1] = True
     first = int(symbols.max(initial=0)) + 1
     bounds, rules, lengths = [first], [], np.ones(first, np.int64)
     while True:
         low = bounds[-1]
-        keys = symbols[:-1] * low + symbols[1:]
-        keys[last[:-1]] = -1
-        bins = (keys * _SPREAD >> 40) & (_BINS - 1)
-        heavy = np.bincount(bins, minlength=_BINS) >= MIN_COUNT
-        heavy_at = np.flatnonzero(heavy[bins] & (keys >= 0))
-        found, counts = np.unique(keys[heavy_at], return_counts=True)
+        left, right = symbols[:-1], symbols[1:]
+        # Only pairs in a bin that is hit often enough are counted exactly.
+        bins = _bin(left, right)
+        heavy = np.bincount(bins, minlength=1 << _BIN_BITS) >= MIN_COUNT
+        heavy_at = np.flatnonzero(heavy[bins] & ~last[:-1])
+        keys = left[heavy_at].astype(np.int64) * low + right[heavy_at]
+        found, counts = np.unique(keys, return_counts=True)
         order = np.lexsort((found, -counts))[:pairs]
         chosen = np.sort(found[order[counts[order] >= MIN_COUNT]])
         if not len(chosen):
             break
-        in_chosen = np.zeros(_BINS, bool)
-        in_chosen[(chosen * _SPREAD >> 40) & (_BINS - 1)] = True
-        heavy_at = heavy_at[in_chosen[bins[heavy_at]]]
-        where = np.searchsorted(chosen, keys[heavy_at])
-        hit = chosen[np.minimum(where, len(chosen) - 1)] == keys[heavy_at]
+        # A bin names one of its chosen pairs; the few others are searched for.
+        own = _bin((chosen // low).astype(np.uint32), (chosen % low).astype(np.uint32))
+        named = np.full(1 << _BIN_BITS, -1, np.int32)
+        named[own] = np.arange(len(chosen))
+        where = named[bins[heavy_at]]
+        may = where >= 0
+        heavy_at, keys, where = heavy_at[may], keys[may], where[may]
+        hit = chosen[where] == keys
+        if (named[own] != np.arange(len(chosen))).any():
+            other = np.flatnonzero(~hit)
+            where[other] = np.minimum(np.searchsorted(chosen, keys[other]), len(chosen) - 1)
+            hit[other] = chosen[where[other]] == keys[other]
         at, rule = heavy_at[hit], where[hit]
         # Of occurrences that overlap, every other one from the left is replaced.
         run = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
@@ -173,19 +184,23 @@ def compress(ids: np.ndarray, ends: np.ndarray, pairs: int = PAIRS_PER_ROUND):
     return symbols, per_doc, np.array(bounds), table, lengths[first:]
 
 
-def expand(symbols: np.ndarray, bounds: np.ndarray, rules: np.ndarray) -> np.ndarray:
-    """The ids of symbols: the rounds are undone, the last one first."""
-    symbols = symbols.astype(np.int64)
-    for low in bounds[-2::-1].tolist():
-        inner = symbols >= low
-        size = 1 + inner
-        place = np.cumsum(size) - size
-        out = np.empty(int(size.sum()), np.int64)
-        out[place] = symbols
-        pair = rules[symbols[inner] - bounds[0]]
-        out[place[inner]], out[place[inner] + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
+def expansions(bounds: np.ndarray, rules: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, starts, lengths): what each symbol stands for, ids being themselves."""
+    ids, lengths = np.arange(bounds[0]), np.ones(bounds[0], np.int64)
+    starts = ids
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        pairs = rules[low - bounds[0] : high - bounds[0]]
+        size = lengths[pairs].sum(axis=1)
+        more = ids[ragged(starts[pairs].ravel(), lengths[pairs].ravel())]
+        starts = np.concatenate([starts, len(ids) + np.cumsum(size) - size])
+        ids, lengths = np.concatenate([ids, more]), np.concatenate([lengths, size])
+    return ids, starts, lengths
+
+
+def expand(symbols: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """The ids of symbols."""
+    ids, starts, lengths = table
+    return ids[ragged(starts[symbols], lengths[symbols])]
 
 
 class Shard:
@@ -201,13 +216,17 @@ class Shard:
         self.rules = np.frombuffer(row["rules"], "<u4").astype(np.int64).reshape(-1, 2)
         self.lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
 
+    @cached_property
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return expansions(self.bounds, self.rules)
+
     def all_ids(self) -> np.ndarray:
-        return expand(self.body, self.bounds, self.rules)
+        return expand(self.body, self.table)
 
     def document(self, i: int) -> np.ndarray:
         """The ids of document i, without decoding the others."""
         start = int(self.counts[:i].sum())
-        return expand(self.body[start : start + self.counts[i]], self.bounds, self.rules)
+        return expand(self.body[start : start + self.counts[i]], self.table)
 
     def slice(self, start: int, stop: int) -> np.ndarray:
         """The ids from place start to stop of the shard; only symbols that touch these are expanded."""
@@ -218,7 +237,7 @@ class Shard:
         ends = np.cumsum(size)
         lo, hi = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
         offset = int(ends[lo] - size[lo]) if lo < len(ends) else start
-        return expand(self.body[lo:hi], self.bounds, self.rules)[start - offset : stop - offset]
+        return expand(self.body[lo:hi], self.table)[start - offset : stop - offset]
 
 
 def _row(part: int, block: int, doc_ids: pa.Array, ids: np.ndarray, counts: np.ndarray) -> dict:

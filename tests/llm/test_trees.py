@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import pyarrow as pa
@@ -134,7 +135,7 @@ def plain_phrases(text):
             end += 1
         out.append(text[start:end])
         start = at = end
-    return {hashlib.md5(p.encode()).hexdigest()[:8] for p in [*out, text[start:]]}
+    return {hashlib.md5(p.encode()).hexdigest()[:6] for p in [*out, text[start:]]}
 
 
 def plain_print(text):
@@ -149,11 +150,11 @@ def plain_print(text):
     joined = [".".join(s) + ("." if s is now and now else "") for s in sections]
     names = [sha("".join(j)) for j in joined]
     return "|".join([sha("".join(names)), ".".join(n[:16] for n in names),
-                     "/".join(".".join(d[:16] for d in s) for s in sections), ".".join(sorted(plain_phrases(text)))])
+                     "/".join(".".join(d[:16] for d in s) for s in sections), "".join(sorted(plain_phrases(text)))])
 
 
 def plain_likeness(a, b):
-    x, y = set(a.split("|")[3].split(".")), set(b.split("|")[3].split("."))
+    x, y = (set(re.findall(".{6}", p.split("|")[3])) for p in (a, b))
     return 2 * len(x & y) / (len(x) + len(y))
 
 

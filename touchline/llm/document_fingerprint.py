@@ -11,8 +11,8 @@ runs of some 12 characters or more that end at a blank or a line break. The like
 number of distinct phrases in both, over the sum of their distinct phrases.
 
 A fingerprint is a string of four fields, divided by ``|``: the root; the first 16 digits of the sections, divided
-by points; those of the paragraphs, divided by points and by ``/`` between sections; the first 8 digits of the MD5 of
-the distinct phrases in order, divided by points.
+by points; those of the paragraphs, divided by points and by ``/`` between sections; the first 6 digits of the MD5 of
+the distinct phrases, in order.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from touchline.llm.common import one_per_id, shared_folder, ship, written
 from touchline.llm.ordering import ranked
 
 SHORT = 16
+PHRASE_DIGITS = 6
 PHRASE = r"([^\n]{12,80}? +|\n)"
 # Stands for the end of a phrase; where a text holds it, a phrase ends there too.
 _CUT = "\x1f"
@@ -52,18 +53,24 @@ def fingerprint(text: Column) -> Column:
         F.sha2(p, 256), lambda d: F.concat(d, F.when(d < "4", F.lit("/")).otherwise(F.lit(".")))))
     runs = F.filter(F.split(F.array_join(marked, ""), "/"), lambda s: s != "")
     phrases = F.split(F.regexp_replace(text, PHRASE, f"$1{_CUT}"), _CUT)
-    names = F.sort_array(F.array_distinct(F.transform(phrases, lambda p: F.substring(F.md5(p.cast("binary")), 1, 8))))
-    return F.concat_ws("|", _once(runs, tree), F.array_join(names, "."))
+    names = F.sort_array(F.array_distinct(F.transform(phrases, lambda p: F.substring(F.md5(p.cast("binary")), 1, PHRASE_DIGITS))))
+    return F.concat_ws("|", _once(runs, tree), F.array_join(names, ""))
 
 
 def _field(print_: Column, n: int) -> Column:
     return F.split_part(print_, F.lit("|"), F.lit(n))
 
 
+def _shared(left: Column, right: Column) -> Column:
+    """Likeness by the phrase fields of two fingerprints."""
+    cut = lambda c: F.regexp_extract_all(c, F.lit(f".{{{PHRASE_DIGITS}}}"), F.lit(0))
+    both = F.struct(cut(left).alias("l"), cut(right).alias("r"))
+    return _once(both, lambda s: F.size(F.array_intersect(s["l"], s["r"])) * F.lit(2.0) / (F.size(s["l"]) + F.size(s["r"])))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Of two fingerprints, 0 to 1; 1 if they are equal."""
-    both = F.struct(F.split(_field(a, 4), r"\.").alias("l"), F.split(_field(b, 4), r"\.").alias("r"))
-    return _once(both, lambda s: F.size(F.array_intersect(s["l"], s["r"])) * F.lit(2.0) / (F.size(s["l"]) + F.size(s["r"])))
+    return _shared(_field(a, 4), _field(b, 4))
 
 
 def differing_paragraphs(a: Column, b: Column) -> Column:
@@ -109,31 +116,34 @@ def neighbours(docs: DataFrame) -> DataFrame:
 def edited_copies(docs: DataFrame) -> DataFrame:
     """Each document beside an edited copy, whose last quarter is the beginning of the next document.
 
-    doc_id, n_chars, edited (the text), fingerprint, edited_fingerprint, next_fingerprint. The next document is the
-    one with the next greater doc_id, null first; that of the last is the first, and a single document is its own.
-    Of a text of n code points the last floor(n/4) give way to as many of the next, or to all it has. Nulls,
-    empty texts, repeated rows and empty tables are as in ``fingerprints``.
+    doc_id, n_chars, fingerprint, edited (the text), next_phrases (of the next document's fingerprint),
+    edited_fingerprint. The next document is the one with the next greater doc_id, null first; that of the last is
+    the first, and a single document is its own. Of a text of n code points the last floor(n/4) give way to as many
+    of the next, or to all it has. Nulls, empty texts, repeated rows and empty tables are as in ``fingerprints``.
 
-    Texts are shuffled once, by id; what goes to the neighbour is the beginning that it takes and a fingerprint.
+    Texts are shuffled once, by id: both sides of the join have the same columns and share one exchange. What goes to
+    the neighbour is the beginning that it takes and the phrases, three bytes each.
     """
     ship(docs.sparkSession)
     docs = one_per_id(docs, "doc_id", "text")
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("key")  # noqa: E731  joins on ids, null too
-    near = neighbours(docs)
-    texts = docs.select(name("doc_id"), "doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
-        near.select(name("doc_id"), "of_id", "k"), "key")
-    given = texts.select(name("of_id"), F.substring("text", F.lit(1), F.col("k")).alias("begin"),
-                         fingerprint(F.col("text")).alias("next_fingerprint"))
+    texts = docs.select(name("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    near = neighbours(docs).select(name("doc_id"), "of_id", "k")
+    given = texts.join(near, "key").select(
+        name("of_id"), F.col("of_id").alias("doc_id"), F.substring("text", F.lit(1), F.col("k")).alias("begin"),
+        F.unhex(_field(fingerprint(F.col("text")), 4)).alias("phrases"))
     n = F.char_length("text")
-    both = texts.select("key", "doc_id", "text").join(given, "key")
     edited = F.concat(F.substring("text", F.lit(1), (n - F.floor(n / 4)).cast("int")), F.col("begin"))
-    return both.select("doc_id", n.cast("long").alias("n_chars"), fingerprint(F.col("text")).alias("fingerprint"),
-                       edited.alias("edited"), "next_fingerprint").withColumn("edited_fingerprint", fingerprint(F.col("edited")))
+    return texts.join(given, "key").select(
+        "doc_id", n.cast("long").alias("n_chars"), fingerprint(F.col("text")).alias("fingerprint"),
+        edited.alias("edited"), F.lower(F.hex("phrases")).alias("next_phrases"),
+    ).withColumn("edited_fingerprint", fingerprint(F.col("edited")))
 
 
 def compare_edits(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of ``edited_copies``."""
+    own = F.col("fingerprint")
     return edited_copies(docs).select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+        likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
+        _shared(_field(own, 4), F.col("next_phrases")).alias("near_next"))

@@ -116,15 +116,15 @@ def _fingerprint(text: str) -> str:
     sections = f"list_transform({runs}, lambda s: sha256(s))"
     inner = "list_transform(list_filter(string_split(s, '.'), lambda d: d <> ''), lambda d: substr(d, 1, 16))"
     phrases = f"string_split(regexp_replace({text}, '{_PHRASE}', '\\1' || chr(31), 'g'), chr(31))"
-    names = f"list_sort(list_distinct(list_transform({phrases}, lambda p: substr(md5(p), 1, 8))))"
+    names = f"list_sort(list_distinct(list_transform({phrases}, lambda p: substr(md5(p), 1, 6))))"
     return (f"sha256(array_to_string({sections}, '')) || '|' || "
             f"array_to_string(list_transform({sections}, lambda d: substr(d, 1, 16)), '.') || '|' || "
             f"array_to_string(list_transform({runs}, lambda s: array_to_string({inner}, '.')), '/') || '|' || "
-            f"array_to_string({names}, '.')")
+            f"array_to_string({names}, '')")
 
 
 def _likeness(a: str, b: str) -> str:
-    left, right = (f"string_split(string_split({x}, '|')[4], '.')" for x in (a, b))
+    left, right = (f"regexp_extract_all(string_split({x}, '|')[4], '.{{6}}')" for x in (a, b))
     return f"len(list_intersect({left}, {right})) * 2.0::DOUBLE / (len({left}) + len({right}))"
 
 

@@ -10,6 +10,7 @@ from touchline.plans.warehouse import Warehouse
 from touchline.schemas import UNDERSTAT_STATS, with_metadata
 from touchline.session import shared_folder
 from touchline.sources import raw_table
+from touchline.sources.batches import BatchTable
 from touchline.sources.raw_table import qualified_name, replace_season, replace_seasons
 from touchline.sources.seeds import player_overrides, team_aliases
 
@@ -159,6 +160,100 @@ def test_a_failed_batch_leaves_the_season(spark):
     assert spark.table(qualified_name(table)).count() == 0
 
 
+def batch_folders(spark, table):
+    root = raw_table._batches(spark, table).location().removeprefix("file:")
+    return {name for name in os.listdir(root) if name.startswith("_batch=") and any(files for *_, files in os.walk(f"{root}/{name}"))}
+
+
+@pytest.mark.parametrize("step", ["between two seasons", "at the switch"])
+def test_a_batch_of_seasons_shows_as_a_whole(spark, monkeypatch, step):
+    table = "failing__" + step.replace(" ", "_")
+    seasons = ["2021-2022", "2022-2023", "2023-2024"]
+
+    def of(rows):
+        out = batch(spark, seasons[0], *rows)
+        for season in seasons[1:]:
+            out = out.unionByName(batch(spark, season, *rows))
+        return out
+
+    assert replace_seasons(spark, table, of(samples.UNDERSTAT[:2]), UNDERSTAT_STATS) == 6
+    old, folders = content(spark, table), batch_folders(spark, table)
+
+    def fail(self, *args):
+        if step == "between two seasons":
+            add(self, args[0], args[1][:2])
+        raise RuntimeError("lost")
+
+    add = BatchTable._add
+    with monkeypatch.context() as patched:
+        patched.setattr(BatchTable, "_add" if step == "between two seasons" else "_point", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            replace_seasons(spark, table, of(samples.UNDERSTAT[2:]), UNDERSTAT_STATS)
+    assert content(spark, table) == old and batch_folders(spark, table) == folders
+    assert replace_seasons(spark, table, of(samples.UNDERSTAT[2:]), UNDERSTAT_STATS) == 9
+    new = content(spark, table)
+    assert len(new) == 9 and not set(new) & set(old)
+
+
+def test_a_reader_planned_before_a_replacement_finishes(spark):
+    table = "readers__rows"
+    replace_season(spark, table, batch(spark, "2023-2024", *samples.UNDERSTAT), UNDERSTAT_STATS, "2023-2024")
+    planned = spark.table(qualified_name(table))
+    replace_season(spark, table, batch(spark, "2023-2024", samples.UNDERSTAT[0]), UNDERSTAT_STATS, "2023-2024")
+    assert planned.count() == 5 and spark.table(qualified_name(table)).count() == 1
+    assert len(batch_folders(spark, table)) == 2
+    # Only the files of the live batch are listed for a new reader; older ones go with the next replacement.
+    (file,) = spark.table(qualified_name(table)).inputFiles()
+    replace_season(spark, table, batch(spark, "2024-2025", samples.UNDERSTAT[1]), UNDERSTAT_STATS, "2024-2025")
+    assert len(batch_folders(spark, table)) == 2 and len(content(spark, table)) == 2
+    assert file in spark.table(qualified_name(table)).inputFiles()
+    one = spark.table(qualified_name(table)).filter("_season = '2024-2025'")
+    assert len(one.inputFiles()) == 1
+
+
+def test_rejects_are_switched_with_their_batch(spark, monkeypatch):
+    table, season = "rejects__rows", "2023-2024"
+
+    def rejects(reason):
+        rows = batch(spark, season, samples.UNDERSTAT[0])
+        for name, value in (("_what", "record"), ("reject_reason", reason), ("_detail", "{}")):
+            rows = rows.withColumn(name, F.lit(value))
+        return rows
+
+    def replace(n, reason):
+        good = batch(spark, season, *samples.UNDERSTAT[:n])
+        return replace_season(spark, table, good, UNDERSTAT_STATS, season, rejected=rejects(reason))
+
+    def seen():
+        refused = spark.table(raw_table.rejected_name(table)).select("reject_reason", "_season").collect()
+        return len(content(spark, table)), [tuple(r) for r in refused]
+
+    assert replace(3, "first") == 3 and seen() == (3, [("first", season)])
+    with monkeypatch.context() as patched:
+        patched.setattr(BatchTable, "_point", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            replace(2, "second")
+    assert seen() == (3, [("first", season)])
+    assert replace(2, "second") == 2 and seen() == (2, [("second", season)])
+    assert replace(0, "third") == 0 and seen() == (0, [("third", season)])
+    raw_table.drop_raw_table(spark, table)
+    assert not raw_table.table_exists(spark, table) and not spark.catalog.tableExists(raw_table.rejected_name(table))
+
+
+def test_seasons_of_any_name(spark):
+    table, seasons = "odd__names", ["20/21", "it's", "a\\b", "ñ %41=x", "{}"]
+    rows = batch(spark, seasons[0], samples.UNDERSTAT[0])
+    for season in seasons[1:]:
+        rows = rows.unionByName(batch(spark, season, samples.UNDERSTAT[0]))
+    for _ in range(3):
+        assert replace_seasons(spark, table, rows, UNDERSTAT_STATS) == 5
+        assert {r[0] for r in content(spark, table)} == set(seasons)
+    assert len(batch_folders(spark, table)) == 2
+    with pytest.raises(ValueError, match="_season"):
+        replace_seasons(spark, table, rows.withColumn("_season", F.lit(None).cast("string")), UNDERSTAT_STATS)
+    assert len(content(spark, table)) == 5 and len(batch_folders(spark, table)) == 2
+
+
 def test_seed_rows_may_begin_with_any_character(spark, tmp_path):
     path = tmp_path / "aliases.csv"
     path.write_text("source,source_team_name,canonical_team_name,league\n#1,a,b,c\nx,#a,,c\n")

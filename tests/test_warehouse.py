@@ -10,6 +10,7 @@ from touchline.operators.latest import first_per_group
 from touchline.operators.skew import spread_join
 from touchline.plans import checks, players
 from touchline.plans.warehouse import Warehouse, save_marts
+from touchline.sources.batches import BatchTable
 from touchline.sources.seeds import player_overrides, read_seed, team_aliases
 from touchline.schemas import PLAYER_OVERRIDES, TEAM_ALIASES
 
@@ -104,6 +105,28 @@ def test_save_marts(spark, w):
     assert spark.table("marts.fct_player_season_stats").count() == 6
 
 
+def test_marts_of_one_season(spark, w, monkeypatch):
+    """One season is computed and written again; a build that fails leaves the tables as they were."""
+    save_marts(w, "season_marts")
+    name = "season_marts.fct_player_season_stats"
+    facts = BatchTable(spark, name, "season_key")
+    before, live = rows(spark.table(name), "*"), facts.live()
+    labels = {r.season_label: r.season_key for r in w["dim_season"].collect()}
+    assert before == rows(w["fct_player_season_stats"], "*") and set(live) <= set(labels.values())
+    other = build(spark, fbref=[fbref_row(*samples.FBREF[0])])
+    with monkeypatch.context() as patched:
+        patched.setattr(BatchTable, "_point", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            save_marts(other, "season_marts")
+    assert rows(spark.table(name), "*") == before and facts.live() == live
+    assert spark.table("season_marts.dim_player").count() == w["dim_player"].count()
+    save_marts(w, "season_marts", [samples.SEASON])
+    again = facts.live()
+    assert {k for k in live if live[k] != again[k]} == {labels[samples.SEASON]} and rows(spark.table(name), "*") == before
+    save_marts(other, "season_marts", ["2024-2025"])  # has no rows there
+    assert rows(spark.table(name), "*") == [r for r in before if labels["2024-2025"] not in r]
+
+
 def test_seeds(spark, tmp_path):
     assert team_aliases(spark).count() == 54 and player_overrides(spark).count() == 0
     path = tmp_path / "o.csv"

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
+from datetime import UTC, datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from touchline.plans import dimensions, facts, players, staging, teams
 from touchline.schemas import RAW_TABLES
 from touchline.session import shared_folder, written
 from touchline.sources import pages as page_readers
+from touchline.sources.batches import KIND, VALID, BatchTable, remove_folder
 from touchline.sources.raw_table import (
-    read_raw_table, remove_folder, replace_season, source_url_list, stamp,
+    SEASON, read_raw_table, rejected_name, replace_season, source_url_list, stamp,
 )
 from touchline.sources.records import split_records
 from touchline.sources.seeds import LEAGUES, SEASON_LABELS
@@ -41,6 +43,8 @@ _READERS = {
 
 
 class IngestResult(NamedTuple):
+    """What a season gave. The relations read the table of rejects, which keeps them until the season is replaced."""
+
     row_count: int
     leagues: list[str]
     season: str
@@ -74,16 +78,35 @@ def ingest_season(
     batch = pages.filter(
         (F.col("source") == source.removesuffix("_json")) & (F.col("season") == season)
     )
-    rows = written(read_rows(batch), shared_folder(spark), f"{source}_rows")
-    problems = page_readers.page_problems(rows)
-    if not allow_unreadable and not problems.isEmpty() and rows.filter("page_problem is null").isEmpty():
-        reasons = [r["reason"] for r in problems.select("reason").distinct().limit(5).collect()]
-        raise ValueError(f"no page of {source} {season} could be read: {', '.join(sorted(reasons))}")
-    valid, rejected = split_records(to_records(rows), schema)
-    stamped = stamp(valid, season, source_url_list(batch), at)
-    count = replace_season(spark, table or default_table, stamped, schema, season, location)
-    skipped = rows.filter("page_problem is null and skip_reason is not null")
-    return IngestResult(count, LEAGUES, season, rejected, problems, skipped)
+    folder = shared_folder(spark)
+    try:
+        rows = written(read_rows(batch), folder, f"{source}_rows")
+        problems = page_readers.page_problems(rows)
+        if not allow_unreadable and not problems.isEmpty() and rows.filter("page_problem is null").isEmpty():
+            reasons = [r["reason"] for r in problems.select("reason").distinct().limit(5).collect()]
+            raise ValueError(f"no page of {source} {season} could be read: {', '.join(sorted(reasons))}")
+        valid, rejected = split_records(to_records(rows), schema)
+        skipped = rows.filter("page_problem is null and skip_reason is not null")
+        aside = _aside("record", rejected, F.col("reject_reason"), schema)
+        aside = aside.union(_aside("row", skipped, F.col("skip_reason"), schema))
+        aside = aside.union(_aside("page", problems, F.col("reason"), schema))
+        urls, at = source_url_list(batch), at or datetime.now(tz=UTC)
+        name = table or default_table
+        count = replace_season(
+            spark, name, stamp(valid, season, urls, at), schema, season, location, stamp(aside, season, urls, at))
+    finally:
+        remove_folder(spark, folder)
+    kept = spark.table(rejected_name(name)).filter(F.col(SEASON) == season)
+    parts = {what: kept.filter(F.col("_what") == what) for what in ("record", "page", "row")}
+    return IngestResult(count, LEAGUES, season, parts["record"], parts["page"], parts["row"])
+
+
+def _aside(what: str, rows: DataFrame, reason: Column, schema: StructType) -> DataFrame:
+    """Rows for the table of rejects: the columns that they share with records, the reason, and all else as JSON."""
+    columns = [
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    detail = F.to_json(F.struct(*rows.columns))
+    return rows.select(*columns, F.lit(what).alias("_what"), reason.alias("reject_reason"), detail.alias("_detail"))
 
 
 def raw_tables(spark: SparkSession) -> dict[str, DataFrame]:
@@ -141,6 +164,13 @@ class Warehouse(Mapping):
             self._ready.update(zip(planned, jobs.map(self.keep, planned.values(), planned.keys())))
         return tuple(self._ready[name] for name in _STAGING)
 
+    def fact(self, name: str, seasons: list[str] | None = None) -> DataFrame:
+        """A fact, of some seasons only if these are named: their rows are chosen before anything is joined."""
+        staged = self.staged()
+        if seasons is not None:
+            staged = [df.filter(F.col("season").isin(seasons)) for df in staged]
+        return _FACTS[name](self, *staged)
+
     def close(self) -> None:
         """Remove what the warehouse wrote; its relations cannot be read after that."""
         remove_folder(self.spark, self.folder)
@@ -187,18 +217,44 @@ _RELATIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_player": lambda w: w.keep(
         dimensions.dim_player(w.staged()[0], w["int_player_xref"]), "dim_player"
     ),
-    "fct_player_season_stats": lambda w: facts.fct_player_season_stats(
-        w.staged()[0], w.staged()[1], w["int_player_xref"], w["int_team_xref"], *w.dimensions(),
-        clean=w.clean,
+    "fct_player_season_stats": lambda w: w.fact("fct_player_season_stats"),
+    "fct_player_season_valuations": lambda w: w.fact("fct_player_season_valuations"),
+}
+
+# Facts are computed and replaced season by season; the other relations need all seasons.
+_FACTS: dict[str, Callable[..., DataFrame]] = {
+    "fct_player_season_stats": lambda w, fbref, understat, _: facts.fct_player_season_stats(
+        fbref, understat, w["int_player_xref"], w["int_team_xref"], *w.dimensions(), clean=w.clean,
     ),
-    "fct_player_season_valuations": lambda w: facts.fct_player_season_valuations(
-        w.staged()[2], w["int_player_xref"], w["int_team_xref"], *w.dimensions()
+    "fct_player_season_valuations": lambda w, _fbref, _understat, valuations: facts.fct_player_season_valuations(
+        valuations, w["int_player_xref"], w["int_team_xref"], *w.dimensions()
     ),
 }
 
 
-def save_marts(warehouse: Warehouse, database: str) -> None:
-    """Write dimensions, facts and cross-references as tables of a database."""
-    warehouse.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+_WHOLE = "all"
+
+
+def _save(spark: SparkSession, name: str, df: DataFrame, part: str, clear: list[str]) -> None:
+    table = BatchTable(spark, name, part)
+    columns = [f for f in df.schema.fields if f.name != part]
+    shown = [c for c in df.columns if c != "_part"]
+    table.create(StructType([StructField(f.name, f.dataType) for f in columns]), {VALID: (name, shown)})
+    table.replace(df.withColumn(KIND, F.lit(VALID)), clear)
+
+
+def save_marts(warehouse: Warehouse, database: str, seasons: list[str] | None = None) -> None:
+    """Write dimensions, facts and cross-references as tables of a database.
+
+    Each relation is written beside the old one, and readers are switched to it in one operation: a build that fails
+    leaves every table as it was, or some of them whole and new. Facts are written by season. With ``seasons`` only these
+    are computed and written again, the partitions of the others stay as they are; a season without rows is cleared.
+    """
+    spark = warehouse.spark
+    labels = [(r.season_label, r.season_key) for r in warehouse["dim_season"].collect()]  # three rows
+    keys = [key for label, key in labels if seasons is None or label in seasons]
     for name in _RELATIONS:
-        warehouse[name].write.mode("overwrite").saveAsTable(f"{database}.{name}")
+        if name not in _FACTS:
+            _save(spark, f"{database}.{name}", warehouse[name].withColumn("_part", F.lit(_WHOLE)), "_part", [_WHOLE])
+    for name in _FACTS:
+        _save(spark, f"{database}.{name}", warehouse.fact(name, seasons), "season_key", keys)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.schemas import with_metadata
+from touchline.schemas import record_schema, with_metadata
+from touchline.sources.batches import KIND, VALID, BatchTable
 from touchline.sources.seeds import LEAGUES
 
 SEASON = "_season"
+REJECTED = "rejected"
+# What was rejected (a record, a row of a page, a page), why, and the source row as JSON.
+REJECT_COLUMNS = record_schema("_what string, reject_reason string, _detail string")
 
 
 def database_of(table: str) -> str:
@@ -36,17 +39,33 @@ def read_raw_table(spark: SparkSession, table: str, schema: T.StructType) -> Dat
     return spark.createDataFrame([], with_metadata(schema))
 
 
+def rejected_name(table: str) -> str:
+    """Qualified name of the records, rows and pages of a raw table that gave no valid record."""
+    return f"{qualified_name(table)}__rejected"
+
+
+def _batches(spark: SparkSession, table: str) -> BatchTable:
+    return BatchTable(spark, qualified_name(table), SEASON)
+
+
 def create_raw_table(
     spark: SparkSession, table: str, schema: T.StructType, location: str | None = None
-) -> None:
-    """Create database and table if missing. NOT NULL is kept by ``records.split_records``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database_of(table)}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {qualified_name(table)} ({columns}) USING parquet "
-        f"PARTITIONED BY ({SEASON}){place}"
-    )
+) -> BatchTable:
+    """Create database and table if missing, with the table of what is rejected beside it.
+
+    NOT NULL is kept by ``records.split_records``.
+    """
+    names = schema.names
+    columns = T.StructType([f for f in schema.fields if f.name != SEASON] + REJECT_COLUMNS.fields)
+    views = {VALID: (qualified_name(table), names), REJECTED: (rejected_name(table), [*REJECT_COLUMNS.names, *names])}
+    batches = _batches(spark, table)
+    batches.create(columns, views, location)
+    return batches
+
+
+def drop_raw_table(spark: SparkSession, table: str) -> None:
+    """Remove a raw table; files stay where a location was given."""
+    _batches(spark, table).drop([qualified_name(table), rejected_name(table)])
 
 
 def source_url_list(pages: DataFrame, leagues: list[str] = LEAGUES) -> str:
@@ -70,45 +89,13 @@ def stamp(df: DataFrame, season: str, source_url: str, at: datetime | None = Non
     )
 
 
-def _location(spark: SparkSession, table: str, season: str | None = None) -> str:
-    """Where a table or one of its partitions lies."""
-    part = f" PARTITION ({SEASON} = '{season}')" if season is not None else ""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified_name(table)}{part}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"].rstrip("/")
-
-
-def _seasons(spark: SparkSession, table: str) -> set[str]:
-    rows = spark.sql(f"SHOW PARTITIONS {qualified_name(table)}").collect()
-    return {row["partition"].partition("=")[2] for row in rows}
-
-
-def remove_folder(spark: SparkSession, folder: str) -> None:
-    """Delete a folder through the file system that it is in."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
-def _write_new(table_folder: str, rows: DataFrame, by_season: bool = False) -> tuple[str, int]:
-    """Write a batch to a new folder beside the others; counts the rows on the way."""
-    folder = f"{table_folder}/batch-{uuid.uuid4().hex}"
-    seen = Observation()
-    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
-    (writer.partitionBy(SEASON) if by_season else writer).parquet(folder)
-    return folder, seen.get["rows"]
-
-
-def _switch(spark: SparkSession, table: str, folders: dict[str, str]) -> None:
-    """Let each season's partition name its new folder, then remove what the partitions named before."""
-    name, there = qualified_name(table), _seasons(spark, table)
-    old = [_location(spark, table, season) for season in folders if season in there]
-    for season, folder in folders.items():
-        if season in there:
-            spark.sql(f"ALTER TABLE {name} PARTITION ({SEASON} = '{season}') SET LOCATION '{folder}'")
-        else:
-            spark.sql(f"ALTER TABLE {name} ADD PARTITION ({SEASON} = '{season}') LOCATION '{folder}'")
-    spark.catalog.refreshTable(name)
-    for folder in old:
-        remove_folder(spark, folder)
+def _stored(batch: DataFrame, rejected: DataFrame | None, schema: T.StructType) -> DataFrame:
+    """Valid and rejected rows with the columns of the base table."""
+    nothing = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in REJECT_COLUMNS.fields}
+    rows = batch.select(*schema.names, *nothing.values(), F.lit(VALID).alias(KIND))
+    if rejected is None:
+        return rows
+    return rows.union(rejected.select(*schema.names, *REJECT_COLUMNS.names, F.lit(REJECTED).alias(KIND)))
 
 
 def replace_season(
@@ -118,19 +105,18 @@ def replace_season(
     schema: T.StructType,
     season: str,
     location: str | None = None,
+    rejected: DataFrame | None = None,
 ) -> int:
     """Replace one season of a raw table by a stamped batch; returns the rows written.
 
-    The batch is written to a new folder first and the partition then names it, so a batch that
-    fails leaves the old rows. A rerun gives the same table, other seasons are not touched, and an
-    empty batch clears the season.
+    The batch is written to new files and the table is then switched to them, so a batch that fails leaves the old
+    rows. A rerun gives the same table, other seasons are not touched, and an empty batch clears the
+    season. ``rejected`` (stamped too, with the columns of ``REJECT_COLUMNS``) is kept in a table of its own, which is
+    switched in the same moment.
     """
-    create_raw_table(spark, table, with_metadata(schema), location)
-    columns = [c for c in with_metadata(schema).names if c != SEASON]
-    rows = batch.filter(F.col(SEASON) == season).select(*columns)
-    folder, count = _write_new(_location(spark, table), rows)
-    _switch(spark, table, {season: folder})
-    return count
+    schema = with_metadata(schema)
+    rows = _stored(batch, rejected, schema).filter(F.col(SEASON) == season)
+    return create_raw_table(spark, table, schema, location).replace(rows, [season])
 
 
 def replace_seasons(
@@ -139,17 +125,13 @@ def replace_seasons(
     batch: DataFrame,
     schema: T.StructType,
     location: str | None = None,
+    rejected: DataFrame | None = None,
 ) -> int:
-    """Replace every season that a stamped batch holds, in one job; for backfills.
+    """Replace every season that a stamped batch holds, all of them in one moment; for backfills.
 
     Rows are rebalanced by season, so that a season becomes few files and a large one is split
     over several tasks.
     """
-    create_raw_table(spark, table, with_metadata(schema), location)
-    rows = batch.select(*with_metadata(schema).names).hint("rebalance", SEASON)
-    folder, count = _write_new(_location(spark, table), rows, by_season=True)
-    if count:
-        # One row per season; the labels are partition names of the table.
-        held = spark.read.parquet(folder).select(F.col(SEASON).cast("string")).distinct().collect()
-        _switch(spark, table, {row[0]: f"{folder}/{SEASON}={row[0]}" for row in held})
-    return count
+    schema = with_metadata(schema)
+    rows = _stored(batch, rejected, schema).hint("rebalance", SEASON)
+    return create_raw_table(spark, table, schema, location).replace(rows)

@@ -19,7 +19,7 @@ from touchline.sources import audit, pages
 from touchline.sources.seeds import LEAGUES, SEASON_LABELS
 from workload.league import read
 from workload.registry import query
-from workload.storage_queries import rest_of_table
+from workload.storage_queries import summary_of
 
 _ROWS_PER_PAGE = 25
 _LEAGUES = ["Premier League", "La Liga", "Bundesliga", "Serie A", "Ligue 1"]
@@ -359,11 +359,10 @@ FROM ({_SCRIPT_SQL}) WHERE season = '2024-2025' GROUP BY season"""
 def ingest_pages(spark, sf_dir):
     table, location = f"pages_{uuid.uuid4().hex}", shared_folder(spark)
     ingest_season(script_pages(spark, sf_dir), "understat", "2024-2025", location=location, table=table)
-    stored = rest_of_table(spark, table)
-    return (
+    return summary_of(spark, table, lambda stored: (
         stored.filter(F.col("_season") == "2024-2025").groupBy("_season", "_source_url")
         .agg(
             F.count(F.lit(1)).alias("n_rows"), F.sum("minutes").alias("minutes"),
             F.countDistinct("player_id").alias("n_players"),
         )
-    )
+    ))

@@ -125,6 +125,42 @@ def _jaro_winkler_udf(left: pd.Series, right: pd.Series) -> pd.Series:
 _scored_once = _jaro_winkler_udf.asNondeterministic()
 
 
+# --- an upper bound without Python ----------------------------------------------------------
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+# Blanks and marks that names hold.
+_MARKS = " -'.,/()&0"
+
+
+def letter_mask(c: Column) -> Column:
+    """What a text is made of, in 62 bits: per letter whether it occurs and whether it does so twice, and per mark
+    whether it occurs. To be worked out once per name."""
+    there = [t for x in _LETTERS for t in (F.contains(c, F.lit(x)), F.substring_index(c, x, 2) != c)]
+    there += [F.contains(c, F.lit(x)) for x in _MARKS]
+    mask = F.lit(0).cast("long")
+    for i, found in enumerate(there):
+        mask = mask.bitwiseOR(F.when(found, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
+    return mask
+
+
+def jaro_winkler_bound(left: Column, right: Column, left_mask: Column, right_mask: Column) -> Column:
+    """At least the similarity of two texts that are not empty, as an expression that Spark compiles.
+
+    A bit that one mask has and the other has not stands for one byte or more that find no match. No more can match than
+    the rest of either text; with all these in order and with the bytes that both begin with, the score is the bound.
+    """
+    len_l, len_r = F.octet_length(left), F.octet_length(right)
+    alone = lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b)))
+    matches = F.least(len_l - alone(left_mask, right_mask), len_r - alone(right_mask, left_mask)).cast("double")
+    jaro = (matches / len_l + matches / len_r + 1.0) / 3.0
+    a, b = left.cast("binary"), right.cast("binary")
+    shared = F.lit(0)
+    for n in range(1, _PREFIX_MAX + 1):
+        shared = F.when(F.substring(a, 1, n) == F.substring(b, 1, n), F.least(F.lit(n), len_l)).otherwise(shared)
+    boosted = jaro + shared * F.lit(_PREFIX_WEIGHT) * (1.0 - jaro)
+    return F.when(matches <= 0, 0.0).when(jaro > _BOOST_ABOVE, boosted).otherwise(jaro)
+
+
 def jaro_winkler(left: Column, right: Column) -> Column:
     """Similarity in [0, 1]; NULL if a side is NULL."""
     return _scored_once(left, right)

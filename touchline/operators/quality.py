@@ -113,11 +113,38 @@ def _labelled(tests: list[DataTest]) -> list[Column]:
     ]
 
 
-def _key_test_counts(df: DataFrame, tests: list[DataTest], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Failures of all uniqueness and reference tests of a relation, from one pass over it.
+def _hash(c: Column, kind: str) -> Column:
+    # Both zeros are one value to a group, but not to a hash.
+    return F.xxhash64(c + F.lit(0.0).cast(kind) if kind in ("double", "float") else c)
 
-    The tested columns become (test, value) rows, which are counted with map-side combining; only these counts
-    meet the parents.
+
+def _unique_test_counts(df: DataFrame, tests: list[DataTest]) -> DataFrame:
+    """Values that stand more than once, for all uniqueness tests of a relation.
+
+    A first pass counts 64-bit hashes: of a key that is unique, eight bytes move and not the value. Only rows whose
+    hash was met twice are grouped by the value itself, so a chance meeting of two hashes is no failure; on clean data
+    there are none.
+    """
+    kinds = dict(df.dtypes)
+    hashes = F.array(*[
+        F.when(F.col(t.column).isNotNull(), F.struct(F.lit(i).alias("i"), _hash(F.col(t.column), kinds[t.column]).alias("h")))
+        for i, t in enumerate(tests)
+    ])
+    met = df.select(F.inline(F.array_compact(hashes))).groupBy("i", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    parts = []
+    for i, t in enumerate(tests):
+        suspects = met.filter(F.col("i") == i).select("h")
+        rows = df.select(t.column).filter(F.col(t.column).isNotNull())
+        again = rows.join(suspects, _hash(F.col(t.column), kinds[t.column]) == F.col("h"), "left_semi")
+        parts.append(duplicates(again, t.column).agg(F.count(F.lit(1)).alias("c0")).select(F.inline(F.array(*_labelled([t])))))
+    return reduce(DataFrame.union, parts)
+
+
+def _reference_test_counts(df: DataFrame, tests: list[DataTest], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows without a parent, for all reference tests of a relation, from one pass over it.
+
+    The tested columns become (test, value) rows, which are counted with map-side combining: a child has few
+    values for its rows. Only these counts meet the parents.
     """
     values = F.array(*[
         F.struct(F.lit(i).alias("i"), F.col(t.column).cast("string").alias("v")) for i, t in enumerate(tests)
@@ -125,20 +152,14 @@ def _key_test_counts(df: DataFrame, tests: list[DataTest], tables: Mapping[str,
     per_key = df.select(F.inline(values)).filter("v is not null").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
     parents = [
         tables[t.options["to"]].select(F.lit(i).alias("i"), F.col(t.options["field"]).cast("string").alias("v"))
-        for i, t in enumerate(tests) if t.kind == "relationships"
-    ]
-    known = F.lit(True)
-    if parents:
-        found = reduce(DataFrame.union, parents).distinct().withColumn("known", F.lit(True))
-        per_key, known = per_key.join(found, ["i", "v"], "left"), F.col("known")
-    failures = [
-        F.when(F.col("n") > 1, 1) if t.kind == "unique" else F.when(known.isNull(), F.col("n")) for t in tests
+        for i, t in enumerate(tests)
     ]
+    orphaned = per_key.join(reduce(DataFrame.union, parents), ["i", "v"], "left_anti")
     counters = [
-        F.coalesce(F.sum(F.when(F.col("i") == i, bad)), F.lit(0)).cast("long").alias(f"c{i}")
-        for i, bad in enumerate(failures)
+        F.coalesce(F.sum(F.when(F.col("i") == i, F.col("n"))), F.lit(0)).cast("long").alias(f"c{i}")
+        for i, _ in enumerate(tests)
     ]
-    return per_key.agg(*counters).select(F.inline(F.array(*_labelled(tests))))
+    return orphaned.agg(*counters).select(F.inline(F.array(*_labelled(tests))))
 
 
 def run_data_tests(tests: Sequence[DataTest], tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -152,7 +173,10 @@ def run_data_tests(tests: Sequence[DataTest], tables: Mapping[str, DataFrame]) -
         row_tests = [t for t in own if t.kind in _ROW_TESTS]
         if row_tests:
             parts.append(_row_test_counts(tables[model], row_tests))
-        key_tests = [t for t in own if t.kind not in _ROW_TESTS]
-        if key_tests:
-            parts.append(_key_test_counts(tables[model], key_tests, tables))
+        unique = [t for t in own if t.kind == "unique"]
+        if unique:
+            parts.append(_unique_test_counts(tables[model], unique))
+        references = [t for t in own if t.kind == "relationships"]
+        if references:
+            parts.append(_reference_test_counts(tables[model], references, tables))
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)

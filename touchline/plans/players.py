@@ -18,7 +18,9 @@ from touchline.functions.positions import (
     role_compatibility,
     team_overlap,
 )
-from touchline.functions.similarity import jaro_winkler
+from touchline.functions.similarity import jaro_winkler, jaro_winkler_bound, letter_mask
+from touchline.operators.assignment import assign as assign_groups
+from touchline.operators.assignment import give_out
 from touchline.operators.latest import first_per_group
 from touchline.operators.skew import PAIRS_PER_CELL, spread_join
 
@@ -154,14 +156,30 @@ def _identical(wanted: DataFrame, offered: DataFrame, source: _Source) -> DataFr
     return pairs.filter(agree).groupBy(*_PROFILE).agg(F.min("other_id").alias("other_id"))
 
 
+def _may_be_kept(source: _Source) -> Column:
+    """Whether the best score that a pair of names could have is high enough; a little room is left for rounding."""
+    bound = jaro_winkler_bound(
+        F.col("hub_name"), F.col("other_name"), F.col("hub_letters"), F.col("other_letters"))
+    position = source.position_score(_position_or_null(), F.col("other_position"))
+    return composite_score(bound, F.lit(1.0), position) >= KEEP_SCORE - 1e-6
+
+
 def _similar(
-    wanted: DataFrame, offered: DataFrame, source: _Source, pairs_per_cell: int, keep: Keep
+    wanted: DataFrame, offered: DataFrame, source: _Source, pairs_per_cell: int, keep: Keep, bounded: bool = False
 ) -> DataFrame:
-    """Pairs of names that share block and linked team, scored by the similarity UDF."""
+    """Pairs of names that share block and linked team, scored by the similarity UDF.
+
+    With ``bounded`` a pair whose score cannot be kept does not get to the UDF.
+    """
+    if bounded:
+        wanted = wanted.withColumn("hub_letters", letter_mask(F.col("hub_name")))
+        offered = offered.withColumn("other_letters", letter_mask(F.col("other_name")))
     pairs = spread_join(
         wanted, offered, _BLOCK, pairs_per_cell,
         keep=lambda hot: keep(hot, f"{source.prefix}_hot_blocks"),
     )
+    if bounded:
+        pairs = pairs.filter(_may_be_kept(source)).drop("hub_letters", "other_letters")
     named = pairs.withColumn("name_score", jaro_winkler(F.col("hub_name"), F.col("other_name")))
     return _scored(named, source)
 
@@ -216,7 +234,7 @@ def best_matches(
         )
     )
     rest = judged.filter(F.col("other_id").isNull()).drop("other_id")
-    kept = _similar(rest, offered, source, pairs_per_cell, keep).filter(
+    kept = _similar(rest, offered, source, pairs_per_cell, keep, bounded=True).filter(
         F.col("composite_score") >= KEEP_SCORE
     )
     # At most one row per profile leaves a map task, whatever the number of pairs.
@@ -228,21 +246,60 @@ def best_matches(
     return settled.unionByName(best)
 
 
+def assigned_matches(
+    hub: DataFrame,
+    other: DataFrame,
+    xref: DataFrame,
+    overrides: DataFrame,
+    source: _Source,
+    keep: Keep = as_is,
+    pairs_per_cell: int = PAIRS_PER_CELL,
+) -> DataFrame:
+    """Match per hub player and season in which each id of the other source is given once.
+
+    Candidates are those of ``best_matches``. A player who does not get the best one gets the next that is free, and
+    nobody stays without a match who has a free candidate. Players and ids of a manual match take no part. Players of
+    one profile, and ids of one name, are a group: pairs are between groups, and the members go together in order of
+    their ids.
+    """
+    manual_id = f"{source.prefix}_player_id"
+    fixed = hub.join(overrides.select("fbref_player_id", F.col(manual_id).alias("other_id")).dropna(), "fbref_player_id")
+    fixed = keep(fixed.select("fbref_player_id", "season", "other_id"), f"{source.prefix}_manual")
+    hub = hub.filter(F.col("hub_name") != "").join(fixed.select("fbref_player_id", "season"), ["fbref_player_id", "season"], "left_anti")
+    other = other.filter(F.col("other_name") != "").join(fixed.select("other_id", "season"), ["other_id", "season"], "left_anti")
+    named = ["league", "season", "other_team", "other_name", "other_position"]
+    group_l, group_r = F.struct(*_PROFILE).alias("l"), F.struct(*named).alias("r")
+
+    def placed(rows: DataFrame, group: Column, side: str, id_column: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(side).orderBy(id_column)) - 1
+        return rows.select(group, id_column, *(["season"] if side == "l" else [])).withColumn(f"{side}_at", place)
+
+    pairs = _similar(_wanted(hub, _links(xref, source)), _offered(other), source, pairs_per_cell, keep, bounded=True)
+    kept = pairs.filter(F.col("composite_score") >= KEEP_SCORE).select(
+        group_l, group_r, F.col("composite_score").alias("score"), "name_score", "team_score", "position_score")
+    size_l = hub.select(group_l).groupBy("l").agg(F.count(F.lit(1)).alias("l_size"))
+    size_r = other.select(group_r).groupBy("r").agg(F.count(F.lit(1)).alias("r_size"))
+    settled = assign_groups(kept.join(size_l, "l").join(size_r, "r"), keep, f"{source.prefix}_assignment")
+    given = give_out(settled, placed(hub, group_l, "l", "fbref_player_id"), placed(other, group_r, "r", "other_id"))
+    return given.withColumnRenamed("score", "composite_score")
+
+
 def check_overrides(overrides: DataFrame) -> DataFrame:
     """Override rows whose player id is given more than once; they would multiply players."""
     return overrides.groupBy("fbref_player_id").count().filter(F.col("count") > 1)
 
 
 def player_xref(
-    hub: DataFrame, by_name: DataFrame, by_value: DataFrame, overrides: DataFrame
+    hub: DataFrame, by_name: DataFrame, by_value: DataFrame, overrides: DataFrame, per_player: bool = False
 ) -> DataFrame:
     """One row per FBref player and season with the matched ids, scores and status.
 
     ``hub`` are the main FBref rows, ``by_name`` and ``by_value`` the best matches with Understat
-    and Transfermarkt.
+    and Transfermarkt, one per profile or, with ``per_player``, one per player and season.
     """
+    keys = ["fbref_player_id", "season"] if per_player else _PROFILE
     understat = by_name.select(
-        *_PROFILE,
+        *keys,
         F.col("other_id").alias("_understat_id"),
         F.col("composite_score").alias("confidence"),
         "name_score",
@@ -250,7 +307,7 @@ def player_xref(
         "position_score",
     )
     transfermarkt = by_value.select(
-        *_PROFILE,
+        *keys,
         F.col("other_id").alias("_transfermarkt_id"),
         F.col("composite_score").alias("transfermarkt_confidence"),
     )
@@ -266,13 +323,13 @@ def player_xref(
         .when(F.col("_understat_id").isNotNull(), match_band(F.col("confidence")))
         .otherwise("unmatched")
     )
-    # The two match relations have one row per profile. They are put together first, so that the
+    # The two match relations have one row per key. They are put together first, so that the
     # hub, where many players may share a profile, takes part in a single join that Spark can
     # split when one profile is hot.
-    matches = understat.join(transfermarkt, _PROFILE, "full")
+    matches = understat.join(transfermarkt, keys, "full")
     return (
         hub.select("fbref_player_id", *_PROFILE)
-        .join(matches, _PROFILE, "left")
+        .join(matches, keys, "left")
         .join(manual, "fbref_player_id", "left")
         .select(
             F.coalesce("_manual_canonical", "fbref_player_id").alias("canonical_player_id"),
@@ -302,9 +359,12 @@ def resolve_players(
     keep: Keep = as_is,
     pairs_per_cell: int = PAIRS_PER_CELL,
     one_to_one: bool = False,
+    assign: bool = False,
 ) -> DataFrame:
     """The whole player cross-reference from staging relations.
 
+    ``one_to_one`` leaves each id of another source to its best player, ``assign`` gives ids out as an assignment.
+
     The two sources do not depend on each other; where ``keep`` writes relations, their jobs run
     side by side. Overrides that name a player twice are refused: they would multiply rows.
     """
@@ -318,11 +378,13 @@ def resolve_players(
     }
 
     def match(source: _Source) -> DataFrame:
+        if assign:
+            return assigned_matches(hub, others[source], xref, overrides, source, keep, pairs_per_cell)
         return best_matches(hub, others[source], xref, source, keep, pairs_per_cell)
 
     with ThreadPoolExecutor(len(others)) as jobs:
         by_name, by_value = jobs.map(match, others)
-    resolved = player_xref(hub, by_name, by_value, overrides)
+    resolved = player_xref(hub, by_name, by_value, overrides, per_player=assign)
     return each_id_once(resolved) if one_to_one else resolved
 
 

@@ -119,7 +119,8 @@ class Warehouse(Mapping):
     A relation that more than one other relation reads (staging, cross-references, dimensions) is
     written once to the shared folder and read back, so a fact does not repeat the matching for
     each of its inputs. ``clean`` and ``one_to_one`` leave the original semantics where these
-    multiply rows; see ``facts`` and ``players.each_id_once``. Facts stay lazy for the caller to query or write.
+    multiply rows; see ``facts`` and ``players.each_id_once``. ``assign`` gives each id to one player of a season as an
+    assignment, ``team_ladder`` brings clubs together by affix-free names too. Facts stay lazy for the caller.
     """
 
     def __init__(
@@ -131,11 +132,14 @@ class Warehouse(Mapping):
         strict_parity: bool = False,
         clean: bool = False,
         one_to_one: bool = False,
+        team_ladder: bool = False,
+        assign: bool = False,
     ):
         self.spark = aliases.sparkSession
         self.folder = folder or shared_folder(self.spark)
         self.aliases, self.overrides, self.strict_parity = aliases, overrides, strict_parity
         self.clean, self.one_to_one = clean, one_to_one
+        self.team_ladder, self.assign = team_ladder, assign
         self._ready: dict[str, DataFrame] = dict(raw)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -199,11 +203,11 @@ _STAGING: dict[str, Callable[[Warehouse], DataFrame]] = {
 
 _RELATIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "int_team_xref": lambda w: w.keep(
-        teams.team_xref(*w.staged(), w.aliases), "int_team_xref"
+        teams.team_xref(*w.staged(), w.aliases, ladder=w.team_ladder), "int_team_xref"
     ),
     "int_player_xref": lambda w: w.keep(
         players.resolve_players(
-            *w.staged(), w["int_team_xref"], w.overrides, w.keep, one_to_one=w.one_to_one
+            *w.staged(), w["int_team_xref"], w.overrides, w.keep, one_to_one=w.one_to_one, assign=w.assign
         ),
         "int_player_xref",
     ),

@@ -53,7 +53,8 @@ def _pairs(others: str, team: str, table: dict[str, list[str]]) -> str:
 SELECT *, 0.6::DOUBLE * name_score + 0.3::DOUBLE * team_score + 0.1::DOUBLE * position_score AS score
 FROM (
   SELECT h.fbref_player_id, h.season, h.league, o.id, h.player_name AS hub_name,
-    o.player_name AS other_name,
+    o.player_name AS other_name, h.fbref_team_id, h.position AS mark, o.team_name AS other_team,
+    o.position AS other_position,
     jaro_winkler_similarity(h.player_name, o.player_name) AS name_score,
     (EXISTS (SELECT 1 FROM int_team_xref x WHERE x.fbref_team_id = h.fbref_team_id
       AND x.{team} = o.team_name))::INT::DOUBLE AS team_score,
@@ -72,6 +73,28 @@ FROM {stage} t LEFT JOIN aliases a
   ON a.source = '{source}' AND a.source_team_name = t.team_name AND a.league = t.league"""
 
 
+_ROUNDS = 14
+
+
+def _assigned(source: str, sides: str) -> dict[str, str]:
+    """Rounds of mutual first choices, player by player; ``sides`` are the columns that order pairs of one score."""
+    manual = f"{source}_player_id"
+    c = {f"{source}_e0": f"""
+SELECT p.*, row_number() OVER (ORDER BY score DESC, {sides}, fbref_player_id, id) AS o FROM {source}_pairs p
+WHERE score >= 0.75 AND NOT EXISTS (
+  SELECT 1 FROM overrides v WHERE v.{manual} IS NOT NULL AND (v.fbref_player_id = p.fbref_player_id OR (v.{manual} = p.id
+    AND EXISTS (SELECT 1 FROM hub h WHERE h.fbref_player_id = v.fbref_player_id AND h.season = p.season))))"""}
+    for k in range(_ROUNDS):
+        c[f"{source}_m{k}"] = f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fbref_player_id, season ORDER BY o) AS a,
+  row_number() OVER (PARTITION BY id, season ORDER BY o) AS b FROM {source}_e{k}) WHERE a = 1 AND b = 1"""
+        c[f"{source}_e{k + 1}"] = f"""
+SELECT e.* FROM {source}_e{k} e ANTI JOIN {source}_m{k} m ON m.fbref_player_id = e.fbref_player_id AND m.season = e.season
+ANTI JOIN {source}_m{k} n ON n.id = e.id AND n.season = e.season"""
+    c[f"{source}_assigned"] = " UNION ALL ".join(f"SELECT * FROM {source}_m{k}" for k in range(_ROUNDS))
+    return c
+
+
 def _chain() -> dict[str, str]:
     c: dict[str, str] = {
         "clubs": league.CLUBS,
@@ -222,6 +245,11 @@ FROM (SELECT *,
   transfermarkt_player_id IS NULL OR row_number() OVER (PARTITION BY transfermarkt_player_id, season ORDER BY
     match_status = 'manual_override' DESC, transfermarkt_confidence DESC NULLS LAST, fbref_player_id) = 1 AS own_value
   FROM int_player_xref)"""
+    order = "league, season, fbref_team_id, hub_name, mark NULLS FIRST, other_team, other_name, other_position NULLS FIRST"
+    for source in ("understat", "transfermarkt"):
+        c |= _assigned(source, order)
+    c["assigned_player_xref"] = c["int_player_xref"].replace("understat_best", "understat_assigned").replace(
+        "transfermarkt_best", "transfermarkt_assigned")
     c["fct_player_season_valuations"] = f"""
 SELECT {key('p.player_key', 't.team_key', 'd.season_key')} AS valuation_key,
   p.player_key, t.team_key, d.season_key, c.competition_key, v.market_value_eur, v.date_of_birth,

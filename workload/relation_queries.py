@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.quality import run_data_tests
-from touchline.plans import checks, dimensions, players, staging
+from touchline.plans import checks, dimensions, players, staging, teams
 from touchline.plans.checks import DATA_TESTS
 from touchline.session import shared_folder, written
 from workload import oracle
-from workload.league import built, inputs
+from workload.league import built, inputs, read
 from workload.oracle import over_chain
 from workload.registry import query
 
@@ -117,6 +117,66 @@ def player_xref_one_to_one(spark, sf_dir):
     return _shown(built(spark, sf_dir, one_to_one=True)["int_player_xref"])
 
 
+@query(
+    over_chain(
+        """SELECT * REPLACE (round(confidence, 6) AS confidence, round(name_score, 6) AS name_score,
+  round(transfermarkt_confidence, 6) AS transfermarkt_confidence) FROM assigned_player_xref"""
+    )
+)
+def player_xref_assigned(spark, sf_dir):
+    return _shown(built(spark, sf_dir, assign=True)["int_player_xref"])
+
+
+_LADDER_NAMES = """SELECT *, lower(CASE k % 5 WHEN 0 THEN 'FC ' WHEN 1 THEN 'AC.' ELSE '' END || club || CASE k % 3 WHEN 0 THEN ' CF' ELSE '' END) AS hub_name,
+  CASE WHEN k % 10 = 9 THEN 'alias of ' || club ELSE lower(CASE k % 4 WHEN 0 THEN 'SS ' ELSE '' END || club || CASE k % 7 WHEN 0 THEN '  FC' ELSE '' END) END AS other_name
+FROM (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 11 = 0 THEN 'Club ' || s_suppkey // 22 ELSE 'Club Nr ' || s_suppkey END AS club,
+  (s_nationkey % 5)::VARCHAR AS league FROM supplier)"""
+
+
+@query(
+    f"""WITH named AS ({_LADDER_NAMES}),
+hub AS (SELECT 't' || k AS fbref_team_id, hub_name, lower(club) AS key, league FROM named),
+other AS (SELECT DISTINCT other_name, CASE WHEN k % 10 = 9 THEN hub_name ELSE other_name END AS canonical,
+  lower(club) AS key, league FROM named),
+hubs AS (SELECT DISTINCT hub_name AS name, key, league FROM hub), others AS (SELECT DISTINCT canonical AS name, key, league FROM other),
+found AS (
+  SELECT o.name, h.name AS hub_name, o.league FROM hubs h JOIN others o USING (key, league)
+  WHERE (SELECT count(*) FROM hubs x WHERE x.key = h.key AND x.league = h.league) = 1
+    AND (SELECT count(*) FROM others x WHERE x.key = o.key AND x.league = o.league) = 1
+    AND NOT EXISTS (SELECT 1 FROM others x WHERE x.name = h.name AND x.league = h.league)
+    AND NOT EXISTS (SELECT 1 FROM hubs x WHERE x.name = o.name AND x.league = o.league)
+), mapped AS (
+  SELECT other_name, coalesce(f.hub_name, canonical) AS canonical, o.league
+  FROM other o LEFT JOIN found f ON f.name = o.canonical AND f.league = o.league
+)
+SELECT fbref_team_id, h.hub_name AS fbref_team_name, m.other_name AS understat_team_name, h.league
+FROM hub h LEFT JOIN mapped m ON m.canonical = h.hub_name AND m.league = h.league"""
+)
+def team_xref_ladder(spark, sf_dir):
+    """Clubs by alias, by exact name and by affix-free name; some of these name two clubs and are refused."""
+    k = F.col("k")
+    named = read(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("k"), (F.col("s_nationkey") % 5).cast("string").alias("league"),
+        F.when(F.col("s_suppkey") % 11 == 0, F.concat(F.lit("Club "), F.floor(F.col("s_suppkey") / 22)))
+        .otherwise(F.concat(F.lit("Club Nr "), "s_suppkey")).alias("club"),
+    )
+    def affixed(first, last):
+        return F.lower(F.concat(first.otherwise(""), "club", last.otherwise("")))
+    hub_name = affixed(F.when(k % 5 == 0, "FC ").when(k % 5 == 1, "AC."), F.when(k % 3 == 0, " CF"))
+    other = affixed(F.when(k % 4 == 0, "SS "), F.when(k % 7 == 0, "  FC"))
+    named = named.withColumns({
+        "hub_name": hub_name, "other": F.when(k % 10 == 9, F.concat(F.lit("alias of "), "club")).otherwise(other)})
+    aliases = named.filter(k % 10 == 9).select(
+        F.lit("understat").alias("source"), F.col("other").alias("source_team_name"),
+        F.col("hub_name").alias("canonical_team_name"), "league").distinct()
+    xref = teams.team_xref(
+        named.select(F.concat(F.lit("t"), "k").alias("fbref_team_id"), F.col("hub_name").alias("team_name"), "league"),
+        named.select(F.col("other").alias("team_name"), "league"),
+        named.select(F.lit("none").alias("transfermarkt_team_id"), F.lit("none").alias("team_name"), "league").filter("k < 0"),
+        aliases, ladder=True)
+    return xref.select("fbref_team_id", "fbref_team_name", "understat_team_name", "league")
+
+
 @query(over_chain("SELECT * FROM dim_team"))
 def dim_team(spark, sf_dir):
     return built(spark, sf_dir)["dim_team"]

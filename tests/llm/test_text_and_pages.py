@@ -153,6 +153,105 @@ def test_main_text():
             assert html_extract.main_text(html)
 
 
+P = f"<p>{LONG}.</p>"
+PROBES = {
+    # Names that only hold a marked word.
+    f"<body><div class='content no-sidebar'>{P}{P}</div>": f"{LONG}.\n{LONG}.",
+    f"<body><div class='layout-with-sidebar'><article><h1 class=page-header>T</h1>{P}</article></div>": f"T\n{LONG}.",
+    f"<body><div><p class='notice-period'>{LONG}<section class='market-share'>{P}</section></div>": f"{LONG}\n{LONG}.",
+    # Names made of marked words and places.
+    f"<body><div class='site-footer'>{P}</div><div id=leftSidebar2>{P}</div><div class='ad-slot-300x250'>{P}</div><div>{P}</div>"
+    f"<div class='related posts-list'>{P}</div><div role=navigation>{P}</div>": f"{LONG}.",
+    # A marked element that holds the article, and one that is all there is; but not comments.
+    f"<body><div class='banner'><h1>T</h1>{P * 5}</div><div>{P}</div>": "T\n" + "\n".join([f"{LONG}."] * 5) + f"\n{LONG}.",
+    f"<body><div class='widget'>{P}</div>": f"{LONG}.", f"<body><article><p>Short.</article><div class=comments><article>{P * 9}</article></div>": "Short.",
+    f"<body><div class=ad>{P * 3}</div><article><p>Short.</article>": "Short.",
+    # What stands beside the best container.
+    f"<body><div><div>{P * 6}</div><div><h2>B</h2><p>Two hundred, or so.</div><ul><li>one<li>two</ul>straight in it"
+    f"<table><tr><td>1</table><figure><figcaption>f</figcaption></figure><ul><li><a href=x>{LONG}</a></ul></div>":
+    "\n".join([f"{LONG}."] * 6) + "\nB\nTwo hundred, or so.\none\ntwo\nstraight in it\n1\nf",
+    # Further up: paragraphs and headings, not lists of links nor short lines.
+    f"<body><h1>T</h1><div>by me</div><div><div><div>{P * 4}</div></div></div><div><div>{P}</div></div><div><a href=x>{LONG}</a></div>":
+    "T\n" + "\n".join([f"{LONG}."] * 5),
+    # Articles that stand beside the best one belong to it; lists of links and empty ones do not.
+    f"<body><main><article>{P}{P}</article><article><h2>B</h2>{P}</article><article><a href=x>{LONG}</a></article><p>x</p></main>":
+    f"{LONG}.\n{LONG}.\nB\n{LONG}.",
+}
+
+
+@pytest.mark.parametrize("html", PROBES)
+def test_no_article_text_is_dropped(html):
+    assert html_extract.main_text(html) == PROBES[html]
+
+
+def plain_scores(tree):
+    """Points of all nodes from the definition, node by node."""
+    def text(node, links=False, inside=False):
+        if node.away:
+            return 0
+        inside = inside or node.tag == "a"
+        own = sum(len(c.strip()) for c in node.children if isinstance(c, str)) if inside or not links else 0
+        return own + sum(text(c, links, inside) for c in node.children if not isinstance(c, str))
+
+    def strings(node):
+        for c in node.children:
+            if isinstance(c, str):
+                yield c
+            elif c.tag not in html_extract._BLOCK and not c.away:
+                yield from strings(c)
+
+    points = {}
+    for node in tree.nodes:
+        if node.away or node.tag not in html_extract._PARAGRAPH:
+            continue
+        own = list(strings(node))
+        length = sum(len(x.strip()) for x in own)
+        if length >= 25:
+            score = (1 + sum(x.count(",") for x in own) + min(length / 100, 3)) * (1 - text(node, True) / text(node))
+            if node.tag not in ("p", "pre", "blockquote", "li", "td", "dd"):
+                points[node] = points.get(node, 0.0) + score
+            for step in range(1, 5):
+                node = node.parent
+                if node is None:
+                    break
+                points[node] = points.get(node, 0.0) + score / step
+    return points, text
+
+
+def test_scores_of_random_trees():
+    import random
+
+    rng = random.Random(9)
+
+    def grow(depth):
+        tag = rng.choice(["div", "div", "section", "ul", "li", "p", "a", "b", "td", "h2", "aside", "main", "article"])
+        inner = "".join(rng.choice([LONG, "short, ", "", f"{LONG},{LONG}"]) if depth == 0 or rng.random() < 0.4 else grow(depth - 1)
+                        for _ in range(rng.randint(1, 4)))
+        name = rng.choice(["", "", "", " class=sidebar", " class=no-ad", " id=comments"])
+        return f"<{tag}{name}>{inner}</{tag}>"
+
+    scored = 0
+    for _ in range(300):
+        tree = html_extract._Tree()
+        tree.feed(f"<body>{grow(5)}{grow(4)}</body>")
+        tree.close()
+        html_extract._drop_marked(tree)
+        html_extract._scores(tree)
+        points, text = plain_scores(tree)
+        for node in tree.nodes:
+            assert node.points == pytest.approx(points.get(node, 0.0))
+            assert (node.text, node.links) == (text(node), text(node, True)) or node.away or any(
+                n.tag == "a" for n in above(node))
+            scored += node.points > 0
+    assert scored > 500
+
+
+def above(node):
+    while node.parent is not None:
+        node = node.parent
+        yield node
+
+
 def test_broken_markup_takes_linear_time():
     import time
 

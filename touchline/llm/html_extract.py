@@ -1,10 +1,15 @@
 """Main text of HTML pages by tree scoring.
 
 Paragraphs pass points for their length and commas to their ancestors, less with each step; a container's
-points are discounted by its share of link text. The best container is kept, with the siblings that score well
-or read like running text; if it lies in an article or main element, that one is kept. Menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by element and by words
-of class, id and role.
+points are discounted by its share of link text. If the best container lies in an article or main element, that one is
+kept, with the articles beside it. Else the container is kept, with all that stands beside it and is no list of
+links, and further up with what holds paragraphs or is a heading.
+
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out: by
+element, or by a class, id or role that is one of the words below or is made of these and of words for places and
+boxes alone (``site-footer``, ``left-sidebar``, ``adSlot3``; not ``no-sidebar``, ``page-header``, ``market-share``). An
+element that is marked by such a name is kept all the same if it holds more than half of the page's points and the
+page's article, main or h1 elements too; or all points, on a page without such elements. Reader comments never are.
 
 The parser runs per page in a batch reader; time is linear in the page, for broken markup too.
 """
@@ -37,44 +42,68 @@ _ENDS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+# Names of reader comments.
+_COMMENTS = frozenset("comment comments disqus replies respond discussion".split())
 # Words of class, id and role that mark what is no article.
-_AWAY = frozenset(
-    "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments disqus cookie cookies "
+_AWAY = _COMMENTS | frozenset(
+    "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs cookie cookies "
     "consent footer header masthead menu nav navbar navigation newsletter notice popup modal promo promoted promotion "
     "related recommended share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget "
-    "complementary contentinfo search alert dialog replies respond discussion".split()
+    "complementary contentinfo search alert dialog".split()
+)
+# Words that may stand beside one of these in a name.
+_PLACES = frozenset(
+    "site main top bottom left right side box bar block blocks list lists area wrap wrapper container section item items "
+    "link links button buttons icon icons panel global primary secondary sticky fixed inner outer slot unit form posts "
+    "articles stories reader readers user thread feed media message group row col column overlay signup count "
+    "title body text content footer header nav menu widget widgets".split()
 )
-_WORDS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_NUMBERS = re.compile(r"\d+(?:x\d+)?")
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# From this share of link text on, an element is a list of links.
+_LINKED = 0.33
 _PARAGRAPH = frozenset("p pre td blockquote li dd div section article main body".split())
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "away", "points", "text", "links")
+    __slots__ = ("tag", "parent", "children", "away", "mark", "points", "mass", "heads", "text", "links")
 
-    def __init__(self, tag: str, parent: _Node | None, away: bool):
-        self.tag, self.parent, self.away = tag, parent, away
+    def __init__(self, tag: str, parent: _Node | None, away: bool, mark: str = ""):
+        self.tag, self.parent, self.away, self.mark = tag, parent, away, mark
         self.children: list[_Node | str] = []
-        self.points, self.text, self.links = 0.0, 0, 0
+        self.points, self.mass, self.heads, self.text, self.links = 0.0, 0.0, 0, 0, 0
 
 
-def _marked_away(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+def _is_away(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+    """Whether an element is left out whatever it holds."""
     if tag in _SKIP or (tag == "header" and not in_article):
         return True
     for name, value in attrs:
-        if name in ("class", "id", "role") and value:
-            if tag not in ("html", "body", "article", "main") and not _AWAY.isdisjoint(
-                _WORDS.findall(_CAMEL.sub(" ", value).lower())
-            ):
-                return True
-        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+        if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
-        elif name == "style" and value and re.search(r"display\s*:\s*none", value):
+        if name == "style" and value and re.search(r"display\s*:\s*none", value):
             return True
     return False
 
 
+def _mark(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    """``comments`` or ``other`` if a name marks the element as no part of an article, else nothing."""
+    found = ""
+    if tag in ("html", "body", "article", "main"):
+        return found
+    for name, value in attrs:
+        if name in ("class", "id", "role") and value:
+            for token in value.split():
+                parts = _PARTS.findall(_NUMBERS.sub(" ", _CAMEL.sub(" ", token).lower()))
+                if parts and not _AWAY.isdisjoint(parts) and all(p in _AWAY or p in _PLACES for p in parts):
+                    if not _COMMENTS.isdisjoint(parts):
+                        return "comments"
+                    found = "other"
+    return found
+
+
 class _Tree(HTMLParser):
     """The element tree; what is to be left out stays in it, marked away, with everything inside."""
 
@@ -111,8 +140,8 @@ class _Tree(HTMLParser):
             self._end_paragraph()
         if tag in _ENDS:
             self._end_open(*_ENDS[tag])
-        away = self.at.away or _marked_away(tag, attrs, bool(self.open.get("article")))
-        node = _Node(tag, self.at, away)
+        away = self.at.away or _is_away(tag, attrs, bool(self.open.get("article")))
+        node = _Node(tag, self.at, away, "" if away else _mark(tag, attrs))
         self.at.children.append(node)
         self.nodes.append(node)
         self.open[tag] = self.open.get(tag, 0) + 1
@@ -146,80 +175,128 @@ class _Tree(HTMLParser):
         self.at.children.append(data)
 
 
+def _own_points(node: _Node) -> float:
+    """Points of a paragraph by its own text: inline elements belong to it, blocks do not."""
+    if node.away or node.tag not in _PARAGRAPH:
+        return 0.0
+    inner, commas = 0, 0
+    stack = list(node.children)
+    while stack:
+        child = stack.pop()
+        if isinstance(child, str):
+            inner += len(child.strip())
+            commas += child.count(",")
+        elif child.tag not in _BLOCK and not child.away:
+            stack.extend(child.children)
+    return 0.0 if inner < 25 else 1 + commas + min(inner / 100, 3)
+
+
+def _drop_marked(tree: _Tree) -> None:
+    """Leave marked elements out, but for one that holds what the page is about.
+
+    Comments count for no half: a long discussion does not make a short article a part of it.
+    """
+    whole, heads = 0.0, 0
+    for node in tree.nodes:
+        if node.parent.mark == "comments":
+            node.mark = "comments"
+        if node.mark != "comments" and not node.away:
+            node.mass, node.heads = _own_points(node), int(node.tag in ("article", "main", "h1"))
+            whole, heads = whole + node.mass, heads + node.heads
+    for node in reversed(tree.nodes):
+        node.parent.mass += node.mass
+        node.parent.heads += node.heads
+    for node in tree.nodes:
+        marked = node.mark == "comments" or node.mark == "other"
+        if node.mark == "other" and (node.heads > 0 if heads else node.mass == whole) and 2 * node.mass > whole:
+            marked = False
+        node.away = node.away or node.parent.away or marked
+
+
 def _scores(tree: _Tree) -> None:
     """Lengths of text and link text of every node, then the points of paragraphs on their ancestors."""
     order = tree.nodes
     for node in order:
-        own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
-        node.text += 0 if node.away else own
+        node.text = 0 if node.away else sum(len(c.strip()) for c in node.children if isinstance(c, str))
     for node in reversed(order):
         if node.tag == "a":
             node.links = node.text
-        if node.parent is not None and not node.away:
+        if not node.away:
             node.parent.text += node.text
             node.parent.links += node.links
     for node in order:
-        if node.away or node.tag not in _PARAGRAPH:
+        points = _own_points(node) * (1 - _density(node))
+        if not points:
             continue
-        # Text of the paragraph itself: inline elements belong to it, blocks do not.
-        inner, commas = 0, 0
-        stack = list(node.children)
-        while stack:
-            child = stack.pop()
-            if isinstance(child, str):
-                inner += len(child.strip())
-                commas += child.count(",")
-            elif child.tag not in _BLOCK and not child.away:
-                stack.extend(child.children)
-        if inner < 25:
-            continue
-        density = node.links / node.text if node.text else 0.0
-        points = (1 + commas + min(inner / 100, 3)) * (1 - min(density, 1.0))
-        up, step = node.parent, 1
         if node.tag not in ("p", "pre", "blockquote", "li", "td", "dd"):
             node.points += points
+        up, step = node.parent, 1
         while up is not None and step <= 4:
             up.points += points / step
             up, step = up.parent, step + 1
 
 
-def _container(tree: _Tree) -> list[_Node]:
+def _density(node: _Node) -> float:
+    """Share of link text."""
+    return min(node.links / node.text, 1.0) if node.text else 0.0
+
+
+def _is_prose(node: _Node) -> bool:
+    return not node.away and node.text > 0 and _density(node) < _LINKED
+
+
+def _holds_paragraph(tree: _Tree) -> set[_Node]:
+    """Nodes with a paragraph of some length in them, at any depth."""
+    found: set[_Node] = set()
+    for node in reversed(tree.nodes):
+        if node in found or _own_points(node) > 0:
+            found.update((node, node.parent))
+    return found
+
+
+def _container(tree: _Tree) -> list[_Node | str]:
+    """What is kept, in page order."""
     best, most = None, 0.0
     for node in tree.nodes:
         if node.away or node.tag in ("html", "p"):
             continue
-        density = node.links / node.text if node.text else 0.0
-        score = node.points * (1 - density)
+        score = node.points * (1 - _density(node))
         if score > most:
             best, most = node, score
     if best is None:
         # No paragraph is long enough: an article or main element, or the body.
         named = [n for n in tree.nodes if n.tag in ("article", "main") and not n.away]
         return named[:1] or [n for n in tree.nodes if n.tag == "body"][:1] or [tree.root]
-    node, whole = best, None
+    node, article, main = best, None, None
     while node is not None:
-        if node.tag == "article" or (node.tag == "main" and whole is None):
-            whole = node
+        if node.tag == "article":
+            article = node
+        elif node.tag == "main":
+            main = node
         node = node.parent
-    if whole is not None:
-        return [whole]
-    if best.tag == "body" or best.parent is None:
-        return [best]
-    kept = []
-    for child in best.parent.children:
-        if isinstance(child, str) or child.away:
-            continue
-        density = child.links / child.text if child.text else 0.0
-        good = child.points * (1 - density) >= max(10.0, most * 0.2)
-        prose = child.tag in _HEADINGS or (
-            child.tag in ("p", "pre", "blockquote") and child.text > 0 and density < 0.25
-        )
-        if child is best or good or prose:
-            kept.append(child)
+    if article is not None:
+        beside = [c for c in article.parent.children if isinstance(c, _Node) and c.tag == "article"]
+        return [c for c in beside if c is article or (_is_prose(c) and c.points > 0)]
+    if main is not None:
+        return [main]
+    kept: list[_Node | str] = [best]
+    with_paragraphs = _holds_paragraph(tree)
+    node = best
+    while node.tag != "body" and node.parent is not None:
+        here: list[_Node | str] = []
+        for child in node.parent.children:
+            if child is node:
+                here += kept
+            elif isinstance(child, str):
+                if node is best:
+                    here.append(child)
+            elif _is_prose(child) and (node is best or child in with_paragraphs or child.tag in _HEADINGS):
+                here.append(child)
+        kept, node = here, node.parent
     return kept
 
 
-def _blocks(nodes: list[_Node]) -> list[str]:
+def _blocks(nodes: list[_Node | str]) -> list[str]:
     """Texts of the blocks in page order."""
     out: list[str] = []
     run: list[str] = []
@@ -231,7 +308,8 @@ def _blocks(nodes: list[_Node]) -> list[str]:
         run.clear()
 
     for root in nodes:
-        flush()
+        if isinstance(root, _Node) and root.tag in _BLOCK:
+            flush()
         stack: list = [root]
         while stack:
             child = stack.pop()
@@ -259,6 +337,7 @@ def main_text(html: str) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    _drop_marked(tree)
     _scores(tree)
     return "\n".join(_blocks(_container(tree)))
 

@@ -301,8 +301,8 @@ def plain_windows(pairs, items):
     return out
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK_WORDS, 60])
-def test_windows(spark, documents, texts, block):
+@pytest.mark.parametrize("bits", [decontaminate.FILTER_BITS, 8])
+def test_windows(spark, documents, texts, bits):
     import hashlib
 
     words = WORD.findall(texts[20].translate(LOWER))
@@ -312,19 +312,40 @@ def test_windows(spark, documents, texts, block):
     odd = with_oddities(spark, documents)
     pairs = {r.doc_id: r.text for r in odd.orderBy(F.col("text").asc_nulls_first()).collect()}
     expected = plain_windows(pairs.items(), items)
-    got = decontaminate.decontaminate(odd, benchmark, block).collect()
+    got = decontaminate.decontaminate(odd, benchmark, bits).collect()
     assert len(got) == len(pairs)
     for r in got:
         n_words, n_hit, n_items, ids = expected[r.doc_id]
         assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n_words, n_hit, n_items, n_hit > 0)
         assert r.items_sha256 == hashlib.sha256(",".join(ids).encode()).hexdigest()
     assert sum(r.contaminated for r in got) > 3
-    clean = {r.doc_id for r in decontaminate.clean_rows(documents, benchmark, block).collect()}
+    clean = {r.doc_id for r in decontaminate.clean_rows(documents, benchmark, bits).collect()}
     assert clean == {d for d, v in plain_windows([(r.doc_id, r.text) for r in documents.collect()], items).items() if not v[1]}
     assert decontaminate.decontaminate(documents, benchmark.limit(0)).filter("contaminated").count() == 0
     assert decontaminate.decontaminate(empty_like(documents), benchmark).count() == 0
 
 
+def test_clean_rows_keeps_columns_and_repeated_rows(spark):
+    passage = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, passage, "a", 1), (1, "clean", "b", 2), (1, "clean", "b", 2), (None, None, "c", 3), (2, f"so {passage} so", "d", 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _text_md5 string, digest int")
+    benchmark = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    kept = decontaminate.clean_rows(df, benchmark)
+    assert kept.columns == df.columns and sorted(map(str, kept.collect())) == sorted(map(str, df.filter("digest in (2, 3)").collect()))
+    assert decontaminate.clean_rows(df, benchmark.limit(0)).count() == 5 and decontaminate.clean_rows(df.limit(0), benchmark).count() == 0
+
+
+def test_filter_lets_all_known_pass(spark):
+    rng = np.random.default_rng(3)
+    prints = rng.integers(-(2**63), 2**63 - 1, 5000)
+    windows = spark.createDataFrame([(int(p),) for p in prints], "print long")
+    others = rng.integers(0, 2**63, 100_000).astype(np.uint64)
+    for limit, most in ((decontaminate.FILTER_BITS, 0.01), (1 << 15, 0.3), (8, 0.3)):
+        known = decontaminate._filter(windows, limit)
+        assert len(known.passing(prints.view(np.uint64))) == 5000
+        assert len(known.passing(others)) < most * len(others)
+
+
 # -- pipeline ------------------------------------------------------------------------------------------------
 
 

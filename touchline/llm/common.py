@@ -17,7 +17,7 @@ from touchline import session
 from touchline.session import written
 
 __all__ = [
-    "CHUNK_BYTES", "byte_chunks", "components", "id_arrays", "one_per_id", "ragged", "shared_folder", "table",
+    "CHUNK_BYTES", "byte_chunks", "components", "id_arrays", "new_name", "one_per_id", "ragged", "shared_folder", "table",
     "written",
 ]
 
@@ -62,6 +62,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_name(df: DataFrame, name: str) -> str:
+    """``name``, or with more underscores where a column has it already."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def one_per_id(df: DataFrame, key: str, *values: str) -> DataFrame:
     """``key`` and ``values``, one row per key.
 

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 from conftest import empty_like, with_oddities
 
@@ -100,17 +101,19 @@ def plain_lines(pairs, least=5):
 LINES = ["n_lines", "n_dropped", "kept_sha256"]
 
 
-@pytest.mark.parametrize("round_bytes", [line_dedup.ROUND_BYTES, 1])
-def test_lines(spark, documents, round_bytes, monkeypatch):
+@pytest.mark.parametrize("limits", [(line_dedup.BROADCAST_BYTES, line_dedup.TASK_LINES), (0, line_dedup.TASK_LINES), (0, 3)])
+def test_lines(spark, documents, limits, monkeypatch):
     monkeypatch.setattr(line_dedup, "SHARD_MEMBERS", 2)
     odd = with_oddities(spark, documents)
-    got = by_id(line_dedup.dedup_lines(odd, round_bytes=round_bytes), *LINES)
+    got = by_id(line_dedup.dedup_lines(odd, 5, *limits), *LINES)
     assert got == plain_lines(one_text_per_id(odd))
     assert sum(v[1] for v in got.values()) > 10
 
 
-def test_lines_keep_rows_and_columns(spark, documents):
-    kept = line_dedup.dedup_rows(documents)
+@pytest.mark.parametrize("limits", [(), (0, 3)])
+def test_lines_keep_rows_and_columns(spark, documents, limits):
+    documents = documents.withColumn("_dropped", F.lit("x")).withColumn("line", F.lit(1)).withColumn("id", F.lit(2))
+    kept = line_dedup.dedup_rows(documents, 5, *limits)
     assert kept.schema == documents.schema
     got = {r.doc_id: sha((r.text or "").encode()) for r in kept.collect()}
     assert got == {k: v[2] for k, v in plain_lines(one_text_per_id(documents)).items()}

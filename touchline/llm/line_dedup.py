@@ -6,9 +6,11 @@ displacement table sends each member to its own slot of compact arrays that hold
 the document count and the largest document id. Documents probe the arrays where they are; neither texts
 nor lines are shuffled.
 
-The arrays are sent to the executors in rounds of at most ``ROUND_BYTES``: the summed size is known
-before, as the number of members. One round is the rule; more members mean more passes over the
-documents, each with its own part of the shards, and the same result.
+The summed size of the arrays is known before, as the number of members. Up to ``BROADCAST_BYTES`` they are sent to
+the executors, and documents probe them where they are. A larger index does not pass through the driver: lines go to it
+as hashes and numbers, without texts, to tasks that hold one shard at a time; a shard of very common lines has several
+tasks, each with a copy of its arrays. The numbers of the lines that go then meet the documents, which are read once
+more. The result is the same.
 """
 
 from __future__ import annotations
@@ -22,14 +24,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import id_arrays, one_per_id, shared_folder, written
+from touchline.llm.common import id_arrays, new_name, one_per_id, shared_folder, written
 
 MIN_LENGTH = 40
 MIN_DOCUMENTS = 5
 # Members of one shard at most, on average; a displacement table is built per shard by one task.
 SHARD_MEMBERS = 1 << 15
 MEMBER_BYTES = 24
-ROUND_BYTES = 64 << 20
+BROADCAST_BYTES = 64 << 20
+# Lines that one task probes against a shard, on average.
+TASK_LINES = 1 << 20
 _STRIP = b" \t\n\x0b\x0c\r"
 
 
@@ -165,44 +169,93 @@ def build_index(members: DataFrame, n_shards: int) -> DataFrame:
 
 # -- documents -----------------------------------------------------------------------------------------------
 
-def _probe_texts(batches: Iterator[pa.RecordBatch], index: LineIndex) -> Iterator[pa.RecordBatch]:
+Batches = Iterator[pa.RecordBatch]
+
+
+def _probe_texts(batches: Batches, index: LineIndex, mark: str) -> Batches:
+    """Batches with the numbers of the lines that go in column ``mark``."""
     for batch in batches:
         ids = id_arrays(batch["doc_id"])
         texts = batch["text"].cast(pa.binary()).fill_null(b"")
-        marked = batch["_dropped"].to_pylist()
+        marked: list[list[int] | None] = [None] * len(ids)
         for i, text in enumerate(texts):
             at, h1, h2 = _line_hashes(text.as_py())
-            if len(at):
+            if len(at) and len(index.last):
                 slot = index.probe(h1, h2)
-                lose = at[(slot >= 0) & (index.last[np.maximum(slot, 0)] != ids[i])] if len(index.last) else at[:0]
+                lose = at[(slot >= 0) & (index.last[np.maximum(slot, 0)] != ids[i])]
                 if len(lose):
-                    marked[i] = (marked[i] or []) + lose.tolist()
-        column = pa.array(marked, pa.list_(pa.int32()))
-        yield batch.set_column(batch.schema.get_field_index("_dropped"), "_dropped", column)
+                    marked[i] = lose.tolist()
+        yield batch.append_column(mark, pa.array(marked, pa.list_(pa.int32())))
 
 
-def mark_lines(docs: DataFrame, finish: Callable, schema, min_documents: int = MIN_DOCUMENTS,
-               round_bytes: int = ROUND_BYTES) -> DataFrame:
-    """``finish`` of the rows of ``docs`` with ``_dropped``: the numbers of the lines that go (null: none).
+def _line_rows(batches: Batches) -> Batches:
+    """Hashes of the lines with a long key: id, text_md5, line, h1, h2."""
+    for batch in batches:
+        ids = id_arrays(batch["doc_id"])
+        for i, text in enumerate(batch["text"].cast(pa.binary()).fill_null(b"")):
+            raw = text.as_py()
+            at, h1, h2 = _line_hashes(raw)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(at), ids[i])), pa.array([hashlib.md5(raw).digest()] * len(at)),
+                    pa.array(at.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
+                ], names=["id", "text_md5", "line", "h1", "h2"])
+
 
-    The last round and ``finish`` are one step.
-    """
-    folder = shared_folder(docs.sparkSession)
+def _probe_lines(batches: Batches, n_shards: int) -> Batches:
+    """Lines that go; the arrays of a shard come before its lines."""
+    shard, index = None, None
+    for batch in batches:
+        shards = batch["shard"].to_numpy()
+        for lo in np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1]])).tolist() if len(shards) else []:
+            part = batch.slice(lo, int(np.searchsorted(shards[lo:] != shards[lo], True)))
+            arrays = part["shift"].is_valid().to_numpy(zero_copy_only=False)
+            if shard != shards[lo]:
+                shard, index = shards[lo], None
+            for row in part.filter(pa.array(arrays)).select(["shard", "shift", "prints", "counts", "lasts"]).to_pylist():
+                index = LineIndex(n_shards, [tuple(row.values())])
+            lines = part.filter(pa.array(~arrays))
+            if index is None or not lines.num_rows:
+                continue
+            slot = index.probe(lines["h1"].to_numpy().view(np.uint64), lines["h2"].to_numpy().view(np.uint64))
+            lose = (slot >= 0) & (index.last[np.maximum(slot, 0)] != lines["id"].to_numpy())
+            yield lines.filter(pa.array(lose)).select(["id", "text_md5", "line"])
+
+
+def _lines_that_go(docs: DataFrame, members: DataFrame, shards: DataFrame, n_shards: int, task_lines: int) -> DataFrame:
+    """id, text_md5 and the numbers of the lines that go, by tasks that hold one shard at a time."""
+    lines = docs.select("doc_id", "text").mapInArrow(_line_rows, "id long, text_md5 binary, line int, h1 long, h2 long")
+    shard = F.shiftrightunsigned("h1", 1) % F.lit(n_shards).cast("long")
+    # A member's lines are as many as its documents at least; shards with very common lines get several tasks.
+    copies = members.groupBy(shard.alias("shard")).agg(F.ceil(F.sum("n") / task_lines).cast("int").alias("copies"))
+    arrays = shards.join(copies, "shard").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    lines = lines.withColumn("shard", shard).join(copies, "shard").withColumn(
+        "copy", F.pmod(F.xxhash64("id", "text_md5", "line"), F.col("copies")).cast("int")).drop("copies")
+    both = arrays.unionByName(lines, allowMissingColumns=True)
+    dealt = both.repartition("shard", "copy").sortWithinPartitions("shard", "copy", F.col("shift").isNull())
+    gone = dealt.select("shard", "shift", "prints", "counts", "lasts", "id", "text_md5", "line", "h1", "h2").mapInArrow(
+        lambda it: _probe_lines(it, n_shards), "id long, text_md5 binary, line int")
+    return gone.groupBy("id", "text_md5").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+
+
+def mark_lines(docs: DataFrame, finish: Callable[[Batches, str], Batches], schema, min_documents: int = MIN_DOCUMENTS,
+               broadcast_bytes: int = BROADCAST_BYTES, task_lines: int = TASK_LINES) -> DataFrame:
+    """``finish`` of the rows of ``docs`` with one more column, the numbers of the lines that go (null: none)."""
     spark = docs.sparkSession
+    folder, mark = shared_folder(spark), new_name(docs, "_dropped")
     members = written(repeated_keys(docs, min_documents), folder, "members")
     total = members.count()
     n_shards = total // SHARD_MEMBERS + 1
     shards = written(build_index(members, n_shards), folder, "shards")
-    marked = docs.withColumn("_dropped", F.lit(None).cast("array<int>"))
-    per_round = max(1, round_bytes // (SHARD_MEMBERS * MEMBER_BYTES))
-    for first in range(0, n_shards, per_round):
-        part = shards.filter(F.col("shard").between(first, first + per_round - 1))
-        index = spark.sparkContext.broadcast(LineIndex(n_shards, [tuple(r) for r in part.toLocalIterator()]))
-        if first:
-            marked = written(marked, folder, f"marked-{first}")
-        if first + per_round < n_shards:
-            marked = marked.mapInArrow(lambda it, index=index: _probe_texts(it, index.value), marked.schema)
-    return marked.mapInArrow(lambda it: finish(_probe_texts(it, index.value)), schema)
+    if total * MEMBER_BYTES <= broadcast_bytes:
+        index = spark.sparkContext.broadcast(LineIndex(n_shards, [tuple(r) for r in shards.toLocalIterator()]))
+        return docs.mapInArrow(lambda it: finish(_probe_texts(it, index.value, mark), mark), schema)
+    own = [new_name(docs, c) for c in ("_id", "_text_md5", mark)]
+    gone = _lines_that_go(docs, members, shards, n_shards, task_lines).toDF(*own)
+    key = F.coalesce("doc_id", F.lit(-(2**63))).cast("long")
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    marked = docs.join(gone, (key == F.col(own[0])) & (digest == F.col(own[1])), "left").select(*docs.columns, mark)
+    return marked.mapInArrow(lambda it: finish(it, mark), schema)
 
 
 def kept_text(text: bytes, dropped: list[int] | None) -> bytes:
@@ -212,10 +265,10 @@ def kept_text(text: bytes, dropped: list[int] | None) -> bytes:
     return b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in gone)
 
 
-def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _clean(batches: Batches, mark: str) -> Batches:
     for batch in batches:
         texts = [t.as_py() for t in batch["text"].cast(pa.binary()).fill_null(b"")]
-        dropped = batch["_dropped"].to_pylist()
+        dropped = batch[mark].to_pylist()
         kept = [kept_text(t, d) for t, d in zip(texts, dropped)]
         yield pa.RecordBatch.from_arrays([
             batch["doc_id"].cast(pa.int64()),
@@ -226,7 +279,8 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["doc_id", "text", "n_lines", "n_dropped", "kept_sha256"])
 
 
-def dedup_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, round_bytes: int = ROUND_BYTES) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, broadcast_bytes: int = BROADCAST_BYTES,
+                task_lines: int = TASK_LINES) -> DataFrame:
     """Documents without their repeated lines: doc_id, text, n_lines, n_dropped, kept_sha256.
 
     A line's key is the line without white space at its ends, in lower case (A-Z). A key of at least 40 code
@@ -237,22 +291,24 @@ def dedup_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, round_bytes
     """
     docs = one_per_id(docs, "doc_id", "text")
     schema = "doc_id long, text string, n_lines long, n_dropped long, kept_sha256 string"
-    return mark_lines(docs, _clean, schema, min_documents, round_bytes)
+    return mark_lines(docs, _clean, schema, min_documents, broadcast_bytes, task_lines)
 
 
-def _clean_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _clean_rows(batches: Batches, mark: str) -> Batches:
     for batch in batches:
         texts = batch["text"].to_pylist()
-        for i, dropped in enumerate(batch["_dropped"].to_pylist()):
+        for i, dropped in enumerate(batch[mark].to_pylist()):
             if dropped:
                 texts[i] = kept_text(texts[i].encode(), dropped).decode()
         at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type)).drop_columns(["_dropped"])
+        yield batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type)).drop_columns([mark])
 
 
-def dedup_rows(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, round_bytes: int = ROUND_BYTES) -> DataFrame:
+def dedup_rows(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, broadcast_bytes: int = BROADCAST_BYTES,
+               task_lines: int = TASK_LINES) -> DataFrame:
     """All rows and columns of ``docs`` (doc_id, text and more), the texts without their repeated lines.
 
-    As ``dedup_lines``, but a null text stays null and rows of one doc_id stay apart and count one by one.
+    As ``dedup_lines``, but a null text stays null and rows of one doc_id stay apart and count one by one. Columns of
+    any name come along.
     """
-    return mark_lines(docs, _clean_rows, docs.schema, min_documents, round_bytes)
+    return mark_lines(docs, _clean_rows, docs.schema, min_documents, broadcast_bytes, task_lines)

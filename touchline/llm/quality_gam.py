@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
-from touchline.llm.common import byte_chunks, one_per_id
+from touchline.llm.common import byte_chunks, new_name, one_per_id
 from touchline.llm.decontaminate import word_hashes
 
 MAX_TRAIN = 20_000
@@ -266,19 +267,22 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Add
     return fit(np.array([r[2] for r in found]).reshape(-1, len(NAMES)), np.array([r[1] for r in found], float))
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Additive) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model: Additive, name: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         scores = [model.score(features(data, offsets)) for _, _, data, offsets in byte_chunks(batch["text"])]
         column = pa.array(np.concatenate(scores) if scores else [], pa.float64())
-        yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "_score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
 
 def score_rows(docs: DataFrame, model: Additive) -> DataFrame:
-    """All columns of ``docs`` and ``_score`` (0 to 1) of its text; null texts count as empty."""
-    from pyspark.sql.types import DoubleType, StructType
+    """All columns of ``docs`` and, as the last one, the score (0 to 1) of its text; null texts count as empty.
 
-    schema = StructType([*docs.schema.fields]).add("_score", DoubleType())
-    return docs.mapInArrow(lambda it: _score(it, model), schema)
+    The column is ``_score``, with more underscores where ``docs`` has one of that name. Repeated rows are scored
+    each; an empty table gives an empty result.
+    """
+    name = new_name(docs, "_score")
+    schema = StructType([*docs.schema.fields]).add(name, DoubleType())
+    return docs.mapInArrow(lambda it: _score(it, model, name), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:

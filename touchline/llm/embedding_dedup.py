@@ -5,9 +5,9 @@ Normalised vectors are projected on random Gaussian directions, shifted and cut
 agree in a cell with probability 0.874, so a pair on the limit shares a bucket in at least one table with
 probability 1 - (1 - 0.874^14)^40 = 0.9986; closer pairs do so more surely, unrelated ones hardly ever.
 
-Equal vectors are one row with a count, so copies do not meet. Rows of a bucket are compared exactly (double
-precision), and a pair is counted in the first table that it shares, which both rows tell from
-their buckets. What leaves a task is a number of links per vector and its component among the rows, not the pairs.
+Equal vectors are one row with a count, so copies do not meet. A bucket with the same members as one of an earlier
+table has no new pair and is left out. Rows of the other buckets are compared exactly (double precision), and a pair
+is counted in the first bucket that it shares, which both rows tell from their buckets. What leaves a task is a number of links per vector and its component among the rows, not the pairs.
 A bucket of more than ``BLOCK`` rows is cut into blocks whose pairs of blocks go to different tasks.
 """
 
@@ -51,7 +51,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def bucket_ids(unit: np.ndarray) -> np.ndarray:
-    """A 64-bit bucket id per row and table."""
+    """A 64-bit bucket id per row and table; the last six bits are the number of the table."""
     rng = np.random.default_rng(_SEED)
     # One direction after the other, so that the directions of a shorter vector begin like those of a longer one.
     n = TABLES * PROJECTIONS
@@ -62,7 +62,7 @@ def bucket_ids(unit: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         ids = (cells * mult).reshape(len(unit), TABLES, PROJECTIONS).sum(axis=2)
         ids = (ids ^ (ids >> 29)) * np.int64(-0x40A7B892E31B1A47)
-        return ids ^ (ids >> 32)
+        return (ids ^ (ids >> 32)) & np.int64(-64) | np.arange(TABLES)
 
 
 def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,25 +104,31 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _links_of(table: pa.Table) -> pa.RecordBatch:
     """What the whole cells (bucket of a table, pair of blocks) of a sorted table are to count."""
-    number, bucket, row, col, rep, weight, block = (
-        table[c].to_numpy() for c in ("number", "bucket", "row", "col", "rep", "n", "block")
+    bucket, row, col, rep, weight, block = (
+        table[c].to_numpy() for c in ("bucket", "row", "col", "rep", "n", "block")
     )
     n = len(rep)
     x, _ = _matrix(table["embedding"].combine_chunks())
     x = _unit(x) if n else x
-    buckets = table["buckets"].combine_chunks().flatten().to_numpy().reshape(n, TABLES)
+    # The buckets of each row by table, and where it has one.
+    lists = table["buckets"].combine_chunks()
+    held, of_row = lists.flatten().to_numpy(), np.repeat(np.arange(n), lists.value_lengths().to_numpy())
+    buckets = np.zeros((n, TABLES), np.int64)
+    has = np.zeros((n, TABLES), bool)
+    buckets[of_row, held & 63], has[of_row, held & 63] = held, True
+    number = bucket & 63
     new = np.ones(n, bool)
-    new[1:] = np.any([c[1:] != c[:-1] for c in (number, bucket, row, col)], axis=0)
+    new[1:] = np.any([c[1:] != c[:-1] for c in (bucket, row, col)], axis=0)
     start = np.flatnonzero(new)
     size = np.diff(np.append(start, n))
     gained = np.zeros(n, np.int64)
     linked: list[tuple[np.ndarray, np.ndarray]] = []
 
     def take(p: np.ndarray, q: np.ndarray) -> None:
-        # A pair is counted in the first table that it shares.
+        # A pair is counted in the first bucket that it shares.
         for lo in range(0, len(p), _PAIRS_AT_ONCE):
             a, b = p[lo : lo + _PAIRS_AT_ONCE], q[lo : lo + _PAIRS_AT_ONCE]
-            earlier = (buckets[a] == buckets[b]) & (np.arange(TABLES) < number[a][:, None])
+            earlier = (buckets[a] == buckets[b]) & has[a] & has[b] & (np.arange(TABLES) < number[a][:, None])
             a, b = a[~earlier.any(axis=1)], b[~earlier.any(axis=1)]
             np.add.at(gained, a, weight[b])
             np.add.at(gained, b, weight[a])
@@ -158,7 +164,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        keys = [table[c].to_numpy() for c in ("number", "bucket", "row", "col")]
+        keys = [table[c].to_numpy() for c in ("bucket", "row", "col")]
         other = np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0)) if len(table) else []
         cut = int(other[-1]) + 1 if len(other) else 0
         if cut:
@@ -171,22 +177,27 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def embedding_links(distinct: DataFrame, folder: str, block: int = BLOCK) -> DataFrame:
     """Rows (a, b, gained) over distinct vectors (rep, embedding, n): a = b brings a's links, a <> b says that both are connected.
 
-    Only buckets with at least two vectors go on; vectors meet their buckets after that.
+    Only buckets with at least two vectors go on, and of buckets with the same members one: sets are told by their
+    size, their least member and two sums of hashes. Vectors meet their buckets after that.
     """
     hashed = written(
         distinct.select("rep", "embedding").mapInArrow(_hash, "rep long, buckets array<long>"), folder, "buckets"
     )
-    placed = hashed.select("rep", F.posexplode("buckets").alias("number", "bucket"))
-    full = placed.groupBy("number", "bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    placed = hashed.select("rep", F.explode("buckets").alias("bucket"))
+    member = F.xxhash64("rep")
+    sets = placed.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.min("rep").alias("least"), F.bit_xor(member).alias("hash"),
+        F.sum(F.shiftrightunsigned(member, 20)).alias("sum")).filter("size > 1")
+    first = sets.groupBy("size", "least", "hash", "sum").agg(F.min_by("bucket", F.col("bucket").bitwiseAND(63)).alias("bucket"))
     cut = F.ceil(F.col("size") / block).cast("int")
-    meets = placed.join(full, ["number", "bucket"]).withColumn("cuts", cut)
-    meets = meets.withColumn("block", F.pmod(F.xxhash64("rep", "number"), F.col("cuts")).cast("int"))
+    meets = written(placed.join(first.select("bucket", "size"), "bucket").withColumn("cuts", cut), folder, "meets")
+    lists = meets.groupBy("rep").agg(F.collect_list("bucket").alias("buckets"))
+    meets = meets.withColumn("block", F.pmod(F.xxhash64("rep", "bucket"), F.col("cuts")).cast("int"))
     cells = meets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).select(
-        "rep", "number", "bucket", "block",
-        F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"),
+        "rep", "bucket", "block", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"),
     )
-    rows = cells.join(distinct.join(hashed, "rep"), "rep")
-    cell = ["number", "bucket", "row", "col"]
+    rows = cells.join(distinct.join(lists, "rep"), "rep")
+    cell = ["bucket", "row", "col"]
     return rows.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(_cells, "a long, b long, gained long")
 
 

@@ -98,6 +98,58 @@ def plain_lines(pairs, least=5):
     return out
 
 
+ALPHABETS = {"Cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя ", "Chinese": "".join(map(chr, range(0x4E00, 0x4E00 + 300))),
+             "digits": "0123456789 ", "Latin": "abcdefghijklmnopqrstuvwxyz "}
+
+
+@pytest.mark.parametrize("alphabet", ALPHABETS)
+def test_no_bucket_holds_most_suffixes_of_an_alphabet(spark, monkeypatch, alphabet):
+    """Suffixes of texts in letters of several bytes, or of few letters, are dealt evenly, and the result is exact."""
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", 1)
+    rng = np.random.default_rng(5)
+    letters = ALPHABETS[alphabet]
+
+    def prose(n):
+        return "".join(letters[i] for i in rng.integers(0, len(letters), n))
+
+    shared = [prose(200) for _ in range(40)]
+    rows = [(i, prose(int(rng.integers(0, 300))) + shared[rng.integers(0, 40)] + prose(100)) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = by_id(suffix_dedup.dedup_suffixes(df), *SUFFIX)
+    assert got == plain_suffixes(rows) and sum(v[1] > 0 for v in got.values()) > 60
+    cuts = suffix_dedup.splitters(df, 16)
+    assert len(cuts) >= 12
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    place = rng.integers(0, len(data) - 40, 4000)
+    place = place[(data[place] & 0xC0) != 0x80]  # at the first byte of a letter
+    shares = np.bincount(suffix_dedup._bucket_of(suffix_dedup._lead(data, place), cuts), minlength=len(cuts) + 1) / len(place)
+    assert shares.max() < 0.25
+
+
+def test_buckets_follow_the_order_of_leading_strings():
+    rng = np.random.default_rng(7)
+    data = rng.integers(250, 256, 3000).astype(np.uint8)
+    lead = suffix_dedup._lead(data, np.arange(2900))
+    texts = [data[i : i + 32].tobytes() for i in range(2900)]
+    assert sorted(range(2900), key=lambda i: texts[i]) == sorted(range(2900), key=lambda i: lead[i].tolist())
+    cuts = sorted([tuple(lead[5, :1].tolist()), tuple(lead[5, :3].tolist()), tuple(lead[70].tolist()), tuple(lead[900, :2].tolist())])
+    buckets = suffix_dedup._bucket_of(lead, cuts)
+    assert buckets.tolist() == [sum(c <= tuple(row[: len(c)]) for c in cuts) for row in lead.tolist()]
+
+
+def test_runs_of_a_gram_over_many_batches():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        gram = np.sort(rng.integers(0, 12, rng.integers(0, 40)))
+        kind = (rng.random(len(gram)) < 0.2).astype(np.int8)
+        table = pa.table({"gram": gram, "doc": np.arange(len(gram)), "at": np.arange(len(gram)), "kind": kind})
+        batches = [b for i in range(0, len(gram), 3) for b in table.slice(i, 3).to_batches()]
+        got = sorted(x for b in suffix_dedup._again(iter(batches)) for x in b["doc"].to_pylist())
+        assert got == [i for i, g in enumerate(gram) if kind[i] or (gram == g).sum() > 1]
+
+
 LINES = ["n_lines", "n_dropped", "kept_sha256"]
 
 

@@ -6,11 +6,11 @@ strings choose the same place, so they are found by comparing what surrounds the
 about every 35 bytes.
 
 1. Anchors are counted by gram. One whose gram is found once cannot be part of a repeated string. Before the shuffle
-   each task reduces anchors that agree in all 100-byte strings they stand for (64-bit hash of gram and of
+   each task reduces anchors that agree in all 100-byte strings they stand for (two 64-bit hashes of gram and of
    surroundings) to the first one; the others are repeated for certain. A hot passage thus leaves
    each task once.
-2. Repeated anchors get the bytes around them and are range-partitioned by the leading characters of the suffix, with
-   splitters from a sample. Anchors with equal leading characters are in one bucket.
+2. Repeated anchors get the bytes around them and are range-partitioned by the leading 32 bytes of the suffix, with
+   splitters from a sample. Anchors with equal leading bytes are in one bucket.
 3. A bucket sorts its suffixes, and the reversed prefixes, by a multikey quicksort on 8-byte keys that goes on only
    among ties, and takes the lengths of common prefixes of neighbours. Suffixes i and j share r bytes if no
    neighbour between them shares fewer, so a running count of the places below r numbers the classes of suffixes
@@ -19,7 +19,8 @@ about every 35 bytes.
    cut by a batch border is carried over and compared with the next batch.
 4. Repeated strings of a document are merged to runs of bytes, which are removed.
 
-Memory of a task is a chunk of texts, or a bounded number of anchors, or the anchors of one leading string.
+Memory of a task is a chunk of texts, the hashes of the anchors of its texts, a bounded number of anchors, or the
+anchors of one leading string of 32 bytes that have different surroundings.
 """
 
 from __future__ import annotations
@@ -43,15 +44,9 @@ CHUNK_ANCHORS = 1 << 16
 _TABLE = np.random.default_rng(1).integers(1, 2**63, 256, dtype=np.uint64)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 
-# Order-preserving 5-bit codes of bytes; a long holds the first twelve.
-_CODE = np.zeros(256, np.int64)
-_CODE[32] = 1
-_CODE[33:65] = 2
-_CODE[65:97] = 3
-_CODE[97:123] = np.arange(4, 30)
-_CODE[123:195] = 30
-_CODE[195:] = 31
-_LEAD = 12
+# The leading string of a suffix, by which buckets are cut: the 32 bytes of its gram, as four numbers that sort like them.
+_LEAD_WORDS = GRAM // 8
+_SIGN = np.int64(-(2**63))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -60,16 +55,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _prefix_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Polynomial prefix sums and powers, for hashes of any range of bytes."""
-    step = np.uint64(0x9E3779B97F4A7C15)
-    powers = np.cumprod(np.full(len(data) + 1, step, np.uint64))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * powers[:-1], out=sums[1:])
-    return sums, powers
-
-
-_INVERSE = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+# Two hashes of surroundings: odd steps, their inverses and a number per byte.
+_STEPS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_INVERSES = tuple(pow(step, -1, 1 << 64) for step in _STEPS)
+_TABLES = (_TABLE, np.random.default_rng(2).integers(1, 2**63, 256, dtype=np.uint64))
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray):
@@ -121,46 +110,69 @@ def _unpack(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at >> 16, (at >> 8) & 255, at & 255
 
 
-def _surroundings(data, place, before, after) -> np.ndarray:
+def _surroundings(data, place, before, after, which: int) -> np.ndarray:
     """A hash of all strings that an anchor stands for, and of where it lies in them."""
     with np.errstate(over="ignore"):
-        sums, _ = _prefix_hash(data)
+        powers = np.cumprod(np.full(len(data) + 1, _STEPS[which], np.uint64))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_TABLES[which][data] * powers[:-1], out=sums[1:])
         lo, hi = place - before, place - after + SPAN
         # Dividing by the power of the start makes equal strings equal: the step is odd and has an inverse.
-        inverse = np.cumprod(np.full(len(data) + 1, _INVERSE, np.uint64))
+        inverse = np.cumprod(np.full(len(data) + 1, _INVERSES[which], np.uint64))
         value = (sums[hi] - sums[lo]) * inverse[lo]
         return _mix(value ^ _mix((before * 256 + after).astype(np.uint64) + np.uint64(77)))
 
 
+class _Seen:
+    """The first document and place of the anchors of a task so far, by the hash of their surroundings.
+
+    Sorted runs, each at least twice as long as the next: an anchor is merged a few times only, and looked up in a
+    few runs. A second hash tells apart what the first one does not.
+    """
+
+    def __init__(self):
+        self.runs: list[list[np.ndarray]] = []  # hash, second hash, document, place
+
+    def earlier(self, key: np.ndarray, check: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of anchors with distinct keys: which are known, and which of these are before what is known (it takes their place)."""
+        met, less = np.zeros(len(key), bool), np.zeros(len(key), bool)
+        for keys, checks, docs, places in self.runs:
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            here = np.flatnonzero((keys[at] == key) & (checks[at] == check))
+            to = at[here]
+            first = (doc[here] < docs[to]) | ((doc[here] == docs[to]) & (place[here] < places[to]))
+            met[here], less[here] = True, first
+            docs[to[first]], places[to[first]] = doc[here[first]], place[here[first]]
+        return met, less
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.runs.append(list(columns))
+        while len(self.runs) > 1 and 2 * len(self.runs[-1][0]) > len(self.runs[-2][0]):
+            both = [np.concatenate(c) for c in zip(self.runs.pop(-2), self.runs.pop())]
+            order = np.argsort(both[0], kind="stable")
+            self.runs.append([c[order] for c in both])
+
+
 def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(gram, doc, at, kind): the first of equal anchors of this task with kind 0, later ones with kind 1."""
-    # Sorted hashes of the anchors so far, and the first document and place of each.
-    seen, seen_doc, seen_place = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    seen = _Seen()
     for batch in batches:
         ids = id_arrays(batch["doc_id"])
         for lo, hi, data, offsets in byte_chunks(batch["text"]):
             text, place, before, after, gram = anchors(data, offsets)
-            around = _surroundings(data, place, before, after) ^ gram
+            around = _surroundings(data, place, before, after, 0) ^ gram
+            check = _surroundings(data, place, before, after, 1)
             doc, inner = ids[lo:hi][text], place - offsets[text]
             # The first of equal ones in the chunk, in order of documents, then against the earlier chunks.
             order = np.lexsort((inner, doc))
-            keys, first = np.unique(around[order], return_index=True)
+            keys, first, group = np.unique(around[order], return_index=True, return_inverse=True)
             first = order[first]
-            known = np.searchsorted(seen, keys)
-            at = np.minimum(known, max(len(seen) - 1, 0))
-            met = seen[at] == keys if len(seen) else np.zeros(len(keys), bool)
-            new = ~met
-            if met.any():
-                d, p = seen_doc[at[met]], seen_place[at[met]]
-                less = (doc[first[met]] < d) | ((doc[first[met]] == d) & (inner[first[met]] < p))
-                new[np.flatnonzero(met)[less]] = True
-                seen_doc[at[met][less]], seen_place[at[met][less]] = doc[first[met][less]], inner[first[met][less]]
-            fresh = first[~met]
-            seen = np.insert(seen, known[~met], keys[~met])
-            seen_doc = np.insert(seen_doc, known[~met], doc[fresh])
-            seen_place = np.insert(seen_place, known[~met], inner[fresh])
-            later = np.ones(len(doc), bool)
-            later[first[new]] = False
+            met, less = seen.earlier(keys, check[first], doc[first], inner[first])
+            seen.add(keys[~met], check[first[~met]], doc[first[~met]], inner[first[~met]])
+            # Equal in the first hash alone: not known to be repeated, and left to the comparison of bytes.
+            later = np.zeros(len(doc), bool)
+            later[order] = check[order] == check[first][group]
+            later[first[~met | less]] = False
             at = _pack(inner, before, after)
             with np.errstate(over="ignore"):
                 spread = _mix(doc.view(np.uint64) * np.uint64(31) + at.view(np.uint64))
@@ -178,25 +190,26 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
 
 
 def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by gram those that share it with another row, or are of kind 1."""
-    held = None
+    """Of rows sorted by gram those that share it with another row, or are of kind 1.
+
+    Between batches one row is held: the last one, which may share its gram with the next, and whether it is out already.
+    """
+    columns = ("gram", "doc", "at", "kind")
+    held, out_already = None, False
     for batch in batches:
-        table = {c: batch[c].to_numpy() for c in ("gram", "doc", "at", "kind")}
+        table = {c: batch[c].to_numpy() for c in columns}
+        if not len(table["gram"]):
+            continue
         if held is not None:
-            table = {c: np.concatenate([held[c], table[c]]) for c in table}
-        cut = int(np.searchsorted(table["gram"], table["gram"][-1])) if len(table["gram"]) else 0
-        yield _shared({c: v[:cut] for c, v in table.items()})
-        held = {c: v[cut:] for c, v in table.items()}
-    if held is not None:
-        yield _shared(held)
-
-
-def _shared(table: dict[str, np.ndarray]) -> pa.RecordBatch:
-    gram = table["gram"]
-    same = gram[1:] == gram[:-1]
-    keep = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(gram) else np.zeros(0, bool)
-    keep = keep[: len(gram)] | (table["kind"] == _KIND_REPEATED)
-    return pa.RecordBatch.from_arrays([pa.array(table[c][keep]) for c in ("doc", "at", "kind")], names=["doc", "at", "kind"])
+            table = {c: np.concatenate([held[c], table[c]]) for c in columns}
+        same = table["gram"][1:] == table["gram"][:-1]
+        keep = np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (table["kind"] == _KIND_REPEATED)
+        last = bool(keep[-1])
+        if held is not None and out_already:
+            keep[0] = False
+            last = last and len(keep) > 1
+        yield pa.RecordBatch.from_arrays([pa.array(table[c][keep]) for c in columns[1:]], names=columns[1:])
+        held, out_already = {c: v[-1:] for c, v in table.items()}, last or (out_already and len(keep) == 1)
 
 
 # Texts go through two shuffles; compressed they are about a third smaller than in Spark's shuffle files.
@@ -224,31 +237,76 @@ def _unpack_texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _lead(data: np.ndarray, place: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(place), np.int64)
-    for i in range(_LEAD):
-        out = (out << 5) | _CODE[data[place + i]]
-    return out
+    """The leading strings as rows of numbers, in whose order the strings are."""
+    words = np.ndarray(len(data) - 7, ">u8", np.ascontiguousarray(data), strides=(1,))
+    return np.stack([words[place + 8 * i].astype(np.uint64).view(np.int64) ^ _SIGN for i in range(_LEAD_WORDS)], axis=1)
 
 
 def _sample_leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, _, data, offsets in byte_chunks(batch["text"]):
             _, place, *_ = anchors(data, offsets)
-            yield pa.RecordBatch.from_arrays([pa.array(_lead(data, place))], names=["lead"])
+            if len(place):
+                lead = _lead(data, place)
+                yield pa.RecordBatch.from_arrays([pa.array(lead[:, i].copy()) for i in range(_LEAD_WORDS)], names=_LEADS)
+
+
+_LEADS = [f"w{i}" for i in range(_LEAD_WORDS)]
 
 
-def splitters(docs: DataFrame, n: int) -> list[int]:
-    """At most n - 1 leading strings that cut the sampled anchors into even ranges."""
+def splitters(docs: DataFrame, n: int) -> list[tuple[int, ...]]:
+    """Leading strings that cut the sampled anchors into even ranges, some n at most.
+
+    Quantiles of the first eight bytes come first. Eight bytes that several quantiles fall on are hot, as in texts of
+    few letters or of several bytes a letter: their anchors are cut by the quantiles of the next eight bytes, and so on.
+    """
     sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SAMPLE)) == 0)
-    leads = sample.mapInArrow(_sample_leads, "lead long")
-    cuts = [i / n for i in range(1, n)]
     # Distinct leading strings: copies are reduced before they reach a bucket.
-    found = leads.distinct().agg(F.percentile_approx("lead", cuts, F.lit(20 * n)).alias("q")).first()["q"] if cuts else None
-    return sorted(set(found or []))
+    leads = sample.mapInArrow(_sample_leads, ", ".join(f"{w} long" for w in _LEADS)).distinct()
+    if n < 2:
+        return []
+    leads = written(leads, shared_folder(docs.sparkSession), "leads")
+    cuts: set[tuple[int, ...]] = set()
+    hot: dict[tuple[int, ...], int] = {(): n}  # leading bytes that more than one range begins with, and how many
+    for level, word in enumerate(_LEADS):
+        names = _LEADS[:level]
+        if names:
+            # As many rows as there are ranges, at most.
+            wanted = [[*map(int, head), parts] for head, parts in hot.items()]
+            parts = docs.sparkSession.createDataFrame(wanted, ", ".join(f"{w} long" for w in [*names, "_parts"]))
+            held = leads.join(F.broadcast(parts), names)
+        else:
+            held = leads.withColumn("_parts", F.lit(n))
+        quantiles = F.percentile_approx(word, [i / n for i in range(1, n)], F.lit(20 * n))
+        found = held.groupBy(*names, "_parts").agg(quantiles.alias("q")).collect()
+        hot = {}
+        for row in found:
+            head = tuple(row[w] for w in names)
+            # Every n/parts-th quantile, so that a hot string gets as many ranges as its share asks for.
+            values = [row["q"][i * (n - 1) // row["_parts"]] for i in range(1, row["_parts"])] if row["q"] else []
+            for v in set(values):
+                cuts.add((*head, v))
+                if values.count(v) > 1:
+                    hot[(*head, v)] = values.count(v) + 1
+        if not hot:
+            break
+    return sorted(cuts)
+
+
+def _bucket_of(lead: np.ndarray, cuts: list[tuple[int, ...]]) -> np.ndarray:
+    """How many cuts are at or before each leading string; a cut of fewer bytes is before all that begin with it."""
+    least = np.iinfo(np.int64).min
+    borders = np.array([[*c, *[least] * (_LEAD_WORDS - len(c))] for c in cuts], np.int64).reshape(-1, _LEAD_WORDS)
+    both = np.concatenate([borders, lead])
+    # Cuts go before equal strings: their number comes first among equal rows.
+    order = np.lexsort((np.arange(len(both)) >= len(borders), *both.T[::-1]))
+    passed = np.cumsum(order < len(borders))
+    out = np.empty(len(both), np.int64)
+    out[order] = passed
+    return out[len(borders) :]
 
 
-def _suffix_rows(batches: Iterator[pa.RecordBatch], cuts: list[int]) -> Iterator[pa.RecordBatch]:
-    borders = np.array(cuts, np.int64)
+def _suffix_rows(batches: Iterator[pa.RecordBatch], cuts: list[tuple[int, ...]]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, lists = id_arrays(batch["doc_id"]), batch["places"]
         for lo, hi, data, offsets in byte_chunks(pa.array(_unpack_texts(batch), pa.binary())):
@@ -261,14 +319,13 @@ def _suffix_rows(batches: Iterator[pa.RecordBatch], cuts: list[int]) -> Iterator
             for a in range(0, len(at), CHUNK_ANCHORS):
                 b = min(len(at), a + CHUNK_ANCHORS)
                 body = data[ragged(start[a:b], length[a:b])]
-                lead = _lead(data, at[a:b])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.searchsorted(borders, lead, "right"), pa.int32()), pa.array(lead),
+                    pa.array(_bucket_of(_lead(data, at[a:b]), cuts), pa.int32()),
                     pa.array(np.repeat(ids[lo:hi], counts)[a:b]), pa.array(part.flatten().to_numpy()[a:b]),
                     pa.Array.from_buffers(pa.binary(), b - a, [
                         None, pa.py_buffer((ends[a : b + 1] - ends[a]).astype(np.int32)), pa.py_buffer(body),
                     ]),
-                ], names=["bucket", "lead", "doc", "at", "around"])
+                ], names=["bucket", "doc", "at", "around"])
 
 
 # -- step 3: the sorted buckets ------------------------------------------------------------------------------
@@ -346,6 +403,13 @@ def repeated_strings(doc: np.ndarray, at: np.ndarray, around: pa.Array):
     return doc[row_a], place[row_a] - (to_o - 1), place[row_a] - from_o + SPAN
 
 
+def _leads_of(table: pa.Table) -> np.ndarray:
+    around, (_, before, _) = table["around"].combine_chunks(), _unpack(table["at"].to_numpy())
+    around = around.chunk(0) if isinstance(around, pa.ChunkedArray) else around
+    offsets = np.frombuffer(around.buffers()[1], np.int32)[around.offset : around.offset + len(around)].astype(np.int64)
+    return _lead(np.frombuffer(around.buffers()[2], np.uint8), offsets + before)
+
+
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by leading string; whole runs of it are compared, in chunks of many anchors."""
     def out(table: pa.Table):
@@ -355,18 +419,21 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["doc", "start", "end"])
 
     held: list[pa.RecordBatch] = []
-    size = 0
+    size, wait = 0, CHUNK_ANCHORS
     for batch in batches:
         held.append(batch)
         size += len(batch)
-        if size < CHUNK_ANCHORS:
+        if size < wait:
             continue
-        table = pa.Table.from_batches(held)
-        lead = table["lead"].to_numpy()
-        cut = int(np.searchsorted(lead, lead[-1]))
+        table = pa.Table.from_batches(held).combine_chunks()
+        lead = _leads_of(table)
+        other = np.flatnonzero((lead != lead[-1]).any(axis=1))
+        cut = int(other[-1]) + 1 if len(other) else 0
         if cut:
             yield out(table.slice(0, cut))
-            held, size = table.slice(cut).to_batches(), size - cut
+        held, size = table.slice(cut).to_batches(), size - cut
+        # A long run of one leading string is looked at again when it has doubled, not with every batch.
+        wait = max(CHUNK_ANCHORS, 2 * size)
     if size:
         yield out(pa.Table.from_batches(held))
 
@@ -411,9 +478,11 @@ def repeated_runs(docs: DataFrame, folder: str, n_buckets: int) -> DataFrame:
     cuts = splitters(docs, n_buckets)
     texts = _keyed(docs).join(places, "doc").select(F.col("doc").alias("doc_id"), "size", "packed", "places")
     rows = texts.mapInArrow(
-        lambda it: _suffix_rows(it, cuts), "bucket int, lead long, doc long, at long, around binary"
+        lambda it: _suffix_rows(it, cuts), "bucket int, doc long, at long, around binary"
     )
-    buckets = rows.repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("lead")
+    # The leading string stands in the surroundings, at the distance from the earliest string to the anchor.
+    lead = F.substring("around", F.shiftright("at", 8).bitwiseAND(255).cast("int") + 1, F.lit(GRAM))
+    buckets = rows.repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions(lead)
     found = buckets.mapInArrow(_bucket, "doc long, start long, end long")
     whole = again.filter("kind = 1").select(
         "doc",

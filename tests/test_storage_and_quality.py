@@ -8,7 +8,7 @@ from touchline.operators import quality
 from touchline.plans.checks import DATA_TESTS
 from touchline.plans.warehouse import Warehouse
 from touchline.schemas import UNDERSTAT_STATS, with_metadata
-from touchline.session import shared_folder
+from touchline.session import run_folders, shared_folder, written
 from touchline.sources import raw_table
 from touchline.sources.batches import BatchTable
 from touchline.sources.raw_table import qualified_name, replace_season, replace_seasons
@@ -260,6 +260,22 @@ def test_seed_rows_may_begin_with_any_character(spark, tmp_path):
     assert sorted(map(tuple, team_aliases(spark, str(path)).collect())) == [("#1", "a", "b", "c"), ("x", "#a", None, "c")]
 
 
+def test_a_run_removes_its_folders(spark):
+    taken = []
+    with run_folders(spark):
+        for name in "ab":
+            taken.append(shared_folder(spark))
+            written(spark.range(3), taken[-1], name)
+        with pytest.raises(ZeroDivisionError), run_folders(spark):
+            taken.append(shared_folder(spark))
+            written(spark.range(3), taken[-1], "c")
+            1 / 0
+        assert [os.path.isdir(f.removeprefix("file:")) for f in taken] == [True, True, False]
+    outside = shared_folder(spark)
+    written(spark.range(3), outside, "d")
+    assert not any(os.path.exists(f.removeprefix("file:")) for f in taken) and os.path.isdir(outside.removeprefix("file:"))
+
+
 def test_a_warehouse_removes_what_it_wrote(spark):
     with Warehouse(samples.raw_tables(spark), team_aliases(spark), player_overrides(spark)) as w:
         assert w["stg_fbref__player_season_stats"].count() == 6

@@ -13,9 +13,9 @@ from pyspark.sql.types import StructField, StructType
 
 from touchline.plans import dimensions, facts, players, staging, teams
 from touchline.schemas import RAW_TABLES
-from touchline.session import shared_folder, written
+from touchline.session import remove_folder, shared_folder, written
 from touchline.sources import pages as page_readers
-from touchline.sources.batches import KIND, VALID, BatchTable, remove_folder
+from touchline.sources.batches import KIND, VALID, BatchTable
 from touchline.sources.raw_table import (
     SEASON, read_raw_table, rejected_name, replace_season, source_url_list, stamp,
 )

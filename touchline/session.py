@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,8 @@ _SETTINGS = {
 
 
 _OWN_FOLDERS: dict[str, str] = {}
+# Folders taken since each open ``run_folders`` began.
+_RUNS: list[list[str]] = []
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -56,7 +60,33 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = _OWN_FOLDERS.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="touchline-")
         _OWN_FOLDERS[context.applicationId] = root
-    return f"{root.rstrip('/')}/touchline-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/touchline-{uuid.uuid4().hex}"
+    for run in _RUNS:
+        run.append(folder)
+    return folder
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder through the file system that it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+@contextmanager
+def run_folders(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end all shared folders that were taken inside; relations that read them are to be written by then.
+
+        with run_folders(spark):
+            operator(docs).write.parquet(target)
+    """
+    run: list[str] = []
+    _RUNS.append(run)
+    try:
+        yield
+    finally:
+        _RUNS.remove(run)
+        for folder in run:
+            remove_folder(spark, folder)
 
 
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.session import remove_folder
+
 BATCH, KIND = "_batch", "_kind"
 VALID = "valid"
 
@@ -33,12 +35,6 @@ def text_literal(value: str) -> str:
     return f"'{quoted}'"
 
 
-def remove_folder(spark: SparkSession, folder: str) -> None:
-    """Delete a folder through the file system that it is in."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 @dataclass(frozen=True)
 class BatchTable:
     """``name``: the qualified name that readers use; ``part``: the text column whose values are replaced."""

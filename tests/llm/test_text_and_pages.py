@@ -381,3 +381,26 @@ def test_pipeline(spark):
         assert out.count() == 0
         if name != "pieces":
             assert out.columns == docs.columns
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no benchmark tables here")
+def test_odd_rows_through_the_stages(spark):
+    """Null ids and texts, repeated ids and rows, and other columns go through every stage."""
+    import corpus_pipeline
+
+    sf_dir = SF_DIR.replace("sf0.01", "sf0.001")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(40)
+    odd = spark.createDataFrame(
+        [(None, "no id", "en", "s", 5), (7, None, None, None, None), (7, "another text of id seven", "en", "s", 24), (8, "", "en", "s", 0),
+         (8, "", "en", "s", 0), (10**12, None, "en", None, None)], docs.schema)
+    rows = docs.union(odd).withColumns({"_dropped": F.lit(1), "_score": F.lit("x"), "id": F.lit(2), "key": F.lit("k"), "_text_md5": F.lit(0)})
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, rows, sf_dir)
+        got = out.collect()
+        assert got and len(got) <= rows.count()
+        if name != "pieces":
+            assert out.columns == list(corpus_pipeline.COLUMNS)
+        if name == "lines":
+            assert len(got) == rows.count() and sum(r.text is None for r in got) == 2
+        if name in ("near_copies", "pieces"):
+            assert len({r.doc_id for r in got}) == len(got)

@@ -252,7 +252,10 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids, n_tokens, decoded_sha256: both directions in one pass, with one worker for both."""
+    """doc_id, ids, n_tokens, decoded_sha256: both directions in one pass, with one worker for both.
+
+    Nulls, repeated doc_ids, empty tables and other columns as in ``encode_documents``.
+    """
     docs = one_per_id(docs, "doc_id", "text")
     return docs.mapInArrow(
         lambda it: _decode(_encode(it, path), path, False),

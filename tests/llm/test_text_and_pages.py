@@ -64,6 +64,31 @@ def test_classifier(spark, documents):
     assert quality_gam.classify(empty_like(documents), labels).count() == 0
 
 
+def plain_score(model, x):
+    """Table values of one row, looked up one by one and added."""
+    total = model.base
+    for value, edges, table in zip(x, model.edges, model.tables):
+        total += table[sum(1 for e in edges if e <= value)]
+    for (i, j), table in zip(model.pairs, model.pair_tables):
+        a, b = (sum(1 for e in model.pair_edges[k] if e <= x[k]) for k in (i, j))
+        total += table[a][b]
+    return 1 / (1 + np.exp(-total))
+
+
+def test_scores_beside_table_values_added_per_row(spark, documents):
+    """Every document by itself, with its own features, gets the score that it has in a batch."""
+    labels = documents.select("doc_id", (F.char_length("text") % 2).alias("quality")).dropna()
+    model = quality_gam.train(documents, labels)
+    assert sum(len(t) for t in model.tables) > 50 and model.pairs
+    rows = quality_gam.score_rows(documents.withColumn("_score", F.lit("x")), model)
+    assert rows.columns == [*documents.columns, "_score", "_score_"]
+    for r in rows.collect():
+        raw = np.frombuffer((r.text or "").encode(), np.uint8)
+        (x,) = quality_gam.features(raw, np.array([0, len(raw)]))
+        assert r._score_ == pytest.approx(plain_score(model, x))
+    assert len({r._score_ for r in rows.collect()}) > 20
+
+
 def test_labels_of_held_out_rows_are_never_read(spark, documents):
     labels = documents.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0

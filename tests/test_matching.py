@@ -17,8 +17,7 @@ from touchline.sources.seeds import player_overrides, team_aliases
 
 
 def bound(left="l", right="r"):
-    left, right = F.col(left), F.col(right)
-    return jaro_winkler_bound(left, right, letter_mask(left), letter_mask(right))
+    return jaro_winkler_bound(F.col(left), F.col(right), letter_mask(left), letter_mask(right))
 
 
 def test_the_bound_is_never_below_the_similarity(spark):
@@ -45,11 +44,10 @@ def test_the_bound_skips_pairs_that_cannot_be_kept(spark):
         "league string, season string, other_team string, other_name string, other_position string, other_id string, last_name string")
     both = {}
     for bounded in (False, True):
-        pairs = players._similar(hub, other, players.UNDERSTAT, 1000, players.as_is, bounded)
+        pairs = players._similar(players._lettered(hub, "hub"), players._lettered(other, "other"), players.UNDERSTAT, 1000, players.as_is, bounded)
         rows = pairs.select("hub_name", "other_name", "composite_score").collect()
         both[bounded] = len(rows), sorted(r for r in rows if r.composite_score >= players.KEEP_SCORE)
     assert both[False][1] == both[True][1] and len(both[True][1]) >= 40
-    print(both[False][0], both[True][0], len(both[True][1]))
     assert both[False][0] == 80 * 80 and both[True][0] < 0.6 * both[False][0]
 
 

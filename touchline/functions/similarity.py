@@ -132,15 +132,13 @@ _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _MARKS = " -'.,/()&0"
 
 
-def letter_mask(c: Column) -> Column:
-    """What a text is made of, in 62 bits: per letter whether it occurs and whether it does so twice, and per mark
-    whether it occurs. To be worked out once per name."""
-    there = [t for x in _LETTERS for t in (F.contains(c, F.lit(x)), F.substring_index(c, x, 2) != c)]
-    there += [F.contains(c, F.lit(x)) for x in _MARKS]
-    mask = F.lit(0).cast("long")
-    for i, found in enumerate(there):
-        mask = mask.bitwiseOR(F.when(found, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
-    return mask
+def letter_mask(column: str) -> Column:
+    """What a text column is made of, in 62 bits: per letter whether it occurs and whether it does so twice, and per mark
+    whether it occurs. To be worked out once per name, and written: the expression is long."""
+    quoted = ["'\\''" if x == "'" else f"'{x}'" for x in _LETTERS + _MARKS]
+    once = [f"contains({column}, {x})" for x in quoted]
+    twice = [f"substring_index({column}, {x}, 2) != {column}" for x in quoted[: len(_LETTERS)]]
+    return F.expr(" | ".join(f"if({found}, {1 << i}L, 0L)" for i, found in enumerate(once + twice)))
 
 
 def jaro_winkler_bound(left: Column, right: Column, left_mask: Column, right_mask: Column) -> Column:

@@ -164,16 +164,17 @@ def _may_be_kept(source: _Source) -> Column:
     return composite_score(bound, F.lit(1.0), position) >= KEEP_SCORE - 1e-6
 
 
+def _lettered(names: DataFrame, side: str) -> DataFrame:
+    return names.withColumn(f"{side}_letters", letter_mask(f"{side}_name"))
+
+
 def _similar(
     wanted: DataFrame, offered: DataFrame, source: _Source, pairs_per_cell: int, keep: Keep, bounded: bool = False
 ) -> DataFrame:
     """Pairs of names that share block and linked team, scored by the similarity UDF.
 
-    With ``bounded`` a pair whose score cannot be kept does not get to the UDF.
+    With ``bounded`` a pair whose score cannot be kept does not get to the UDF; both sides have their letters then.
     """
-    if bounded:
-        wanted = wanted.withColumn("hub_letters", letter_mask(F.col("hub_name")))
-        offered = offered.withColumn("other_letters", letter_mask(F.col("other_name")))
     pairs = spread_join(
         wanted, offered, _BLOCK, pairs_per_cell,
         keep=lambda hot: keep(hot, f"{source.prefix}_hot_blocks"),
@@ -216,12 +217,10 @@ def best_matches(
 
     ``keep(df, name)`` may write a relation that is read more than once.
     """
-    offered = keep(_offered(other), f"{source.prefix}_names")
+    offered = keep(_lettered(_offered(other), "other"), f"{source.prefix}_names")
     wanted = _wanted(hub, _links(xref, source))
-    judged = keep(
-        wanted.join(_identical(wanted, offered, source), _PROFILE, "left"),
-        f"{source.prefix}_profiles",
-    )
+    judged = wanted.join(_identical(wanted, offered, source), _PROFILE, "left")
+    judged = keep(_lettered(judged, "hub"), f"{source.prefix}_profiles")
     settled = (
         judged.filter(F.col("other_id").isNotNull())
         .select(*_PROFILE, "other_id")
@@ -274,7 +273,9 @@ def assigned_matches(
         place = F.row_number().over(Window.partitionBy(side).orderBy(id_column)) - 1
         return rows.select(group, id_column, *(["season"] if side == "l" else [])).withColumn(f"{side}_at", place)
 
-    pairs = _similar(_wanted(hub, _links(xref, source)), _offered(other), source, pairs_per_cell, keep, bounded=True)
+    wanted = keep(_lettered(_wanted(hub, _links(xref, source)), "hub"), f"{source.prefix}_profiles")
+    offered = keep(_lettered(_offered(other), "other"), f"{source.prefix}_names")
+    pairs = _similar(wanted, offered, source, pairs_per_cell, keep, bounded=True)
     kept = pairs.filter(F.col("composite_score") >= KEEP_SCORE).select(
         group_l, group_r, F.col("composite_score").alias("score"), "name_score", "team_score", "position_score")
     size_l = hub.select(group_l).groupBy("l").agg(F.count(F.lit(1)).alias("l_size"))

@@ -278,6 +278,34 @@ def test_edited_copies_are_one_group(spark, texts, block):
     assert jaccard_dedup.least_of_groups(df.limit(0), block).count() == 0
 
 
+def test_near_copies_candidates_by_simhash(spark, tmp_path):
+    """The stage's SimHash links rows of one fingerprint and of up to five other bits; past that those of a common signature."""
+    rng = np.random.default_rng(11)
+    prints = [int(x) for x in rng.integers(0, 2**64, 30, dtype=np.uint64)]
+    rows = [(i, p) for i, p in enumerate(prints)]
+    for i, p in enumerate(prints):
+        bits = [int(b) for b in rng.permutation(64)[: i % 6]]
+        rows.append((100 + i, p ^ sum(1 << b for b in bits)))
+    rows.append((200, prints[0] ^ 0xFFF))  # twelve bits of one segment, the others are the same
+    rows.append((201, prints[1] ^ 0x1FFF))  # thirteen
+    df = spark.createDataFrame([(d, p - 2**64 if p >= 2**63 else p) for d, p in rows], "rep long, fp long").repartition(3)
+    got = {r.rep: r.key for r in jaccard_dedup.simhash_pairs(df, str(tmp_path)).collect()}
+    assert got == {100 + i: i for i in range(30)} | {200: 0}
+
+
+def test_simhash_joins_a_group_without_minhash_keys(spark):
+    """Fingerprints of the shingles come with the keys, and what SimHash links is compared like the rest."""
+    words = [f"w{w}" for w in range(400)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(reversed(words)), "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rows = {r.id: r for r in df.mapInArrow(
+        jaccard_dedup._signatures, "id long, content binary, bands array<long>, fp long").collect()}
+    for i, t in enumerate(texts):
+        assert rows[i].fp % 2**64 == simhash_dedup.majority(jaccard_dedup.shingles((t or "").encode()))
+    assert ((rows[0].fp ^ rows[1].fp) % 2**64).bit_count() <= jaccard_dedup.SIMHASH_BITS
+    assert {r.id for r in jaccard_dedup.least_of_groups(df).collect()} == {0, 2, 3}
+
+
 def test_near_copies_stage_takes_edited_copies(spark):
     """Two words of 150 are others: a similarity of 0.87 in five words, yet mostly more than four bits of a fingerprint."""
     import corpus_pipeline

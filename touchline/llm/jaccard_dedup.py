@@ -1,11 +1,15 @@
 """Near-dedup by five-word shingles: documents whose sets of shingles have a Jaccard similarity of 0.8 or more are linked.
 
-``BANDS`` keys of a document each join ``ROWS`` MinHash values. A pair on the limit of 0.8 shares a key with
-probability 1 - (1 - 0.8^4)^20 = 0.99997, closer pairs more surely, unrelated ones hardly ever. Documents that
-share a key are compared exactly, on the sets of 64-bit shingle hashes.
+Candidates come from two methods, and all of them are compared exactly, on the sets of 64-bit shingle hashes:
 
-Equal sets are one row, so copies do not meet. Rows are first compared with the least row that they meet in any
-key; only keys that then still hold several components are compared in full, pair by pair of different components.
+* SimHash, by the operator of ``simhash_dedup``: fingerprints of the shingles that share one of its 64 signatures and
+  differ in at most ``SIMHASH_BITS`` bits. It takes every pair of up to five bits; pairs on the limit of 0.8 differ in
+  eight to eleven as a rule, and many of them share no signature.
+* MinHash for these: ``BANDS`` keys of a document each join ``ROWS`` values. A pair on the limit shares a key with
+  probability 1 - (1 - 0.8^4)^20 = 0.99997, closer pairs more surely, unrelated ones hardly ever.
+
+Equal sets are one row, so copies do not meet. Rows are first compared with the least row that SimHash links them to and
+with the least that they meet in any key; only keys that then still hold several components are compared in full, pair by pair of different components.
 A key of more than ``BLOCK`` rows is cut into blocks whose pairs of blocks go to different tasks. What leaves a
 task are links that span the components, not the pairs.
 """
@@ -22,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import components, shared_folder, written
+from touchline.llm.simhash_dedup import fingerprint_links, majority
 
 SHINGLE = 5
 ROWS = 4
 BANDS = 20
 BLOCK = 256
+SIMHASH_BITS = 12
 _AT_ONCE = 2048
 _RANDOM = np.random.default_rng(7)
 _SEEDS = _RANDOM.integers(0, 2**64, ROWS * BANDS, dtype=np.uint64)
@@ -67,7 +73,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([
             batch["id"], pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
             pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
-        ], names=["id", "content", "bands"])
+            pa.array(np.fromiter(map(majority, sets), np.uint64, len(sets)).view(np.int64)),
+        ], names=["id", "content", "bands", "fp"])
 
 
 def near(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -134,6 +141,20 @@ def _part(cuts: str) -> "Column":  # noqa: F821
     return F.pmod(F.xxhash64("rep", "key"), F.col(cuts)).cast("int")
 
 
+def simhash_pairs(distinct: DataFrame, folder: str) -> DataFrame:
+    """Each row (rep, fp) that SimHash links to a lesser one, with the least of these as ``key``.
+
+    Rows of one fingerprint are linked to the least of them, which stands for the fingerprint in all other links.
+    """
+    heads = written(distinct.groupBy("fp").agg(F.min("rep").alias("head")), folder, "heads")
+    links = fingerprint_links(heads.select("fp"), SIMHASH_BITS).distinct()
+    one, two = (heads.select(F.col("fp").alias(c), F.col("head").alias(f"{c}_rep")) for c in ("a", "b"))
+    linked = links.join(one, "a").join(two, "b").select(
+        F.least("a_rep", "b_rep").alias("key"), F.greatest("a_rep", "b_rep").alias("rep"))
+    alike = distinct.join(heads, "fp").filter("rep <> head").select(F.col("head").alias("key"), "rep")
+    return written(linked.union(alike).groupBy("rep").agg(F.min("key").alias("key")).select("key", "rep"), folder, "simhash")
+
+
 def least_of_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """``id`` of the documents (id, text) that are the least of their group, ids being distinct and not null.
 
@@ -141,9 +162,10 @@ def least_of_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     folder = shared_folder(docs.sparkSession)
     own = written(docs.select("id", "text").mapInArrow(
-        _signatures, "id long, content binary, bands array<long>"), folder, "signatures")
+        _signatures, "id long, content binary, bands array<long>, fp long"), folder, "signatures")
     distinct = written(
-        own.groupBy("content").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")).drop("content"),
+        own.groupBy("content").agg(
+            F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("fp").alias("fp")).drop("content"),
         folder, "distinct",
     )
     texts = docs.select(F.col("id").alias("rep"), F.col("text").cast("binary").alias("text"))
@@ -151,8 +173,11 @@ def least_of_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     full = keyed.groupBy("key").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     meets = written(keyed.join(full.select("key", "head"), "key"), folder, "meets")
 
-    # Each row with the least one that it meets in any key.
-    star = meets.filter("rep <> head").groupBy("rep").agg(F.min("head").alias("key"))
+    # Each row with the least one that SimHash links it to, and with the least that it meets in any key. A text without
+    # words has no keys and is like no other.
+    star = meets.filter("rep <> head").groupBy("rep").agg(F.min("head").alias("key")).select("key", "rep")
+    worded = distinct.filter(F.size("bands") > 0)
+    star = star.union(simhash_pairs(worded.select("rep", "fp"), folder)).distinct()
     cuts = star.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cuts"))
     members = star.join(cuts, "key").select("key", "rep", _part("cuts").alias("row"))
     heads = cuts.select("key", F.col("key").alias("rep"), F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("row"))

@@ -14,6 +14,7 @@ computed, and no link between components is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import repeat
 
 import numpy as np
@@ -31,6 +32,18 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 _BITS = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes: a bit is set if it is in over half of them; zero of none."""
+    n = len(hashes)
+    if not n:
+        return 0
+    lanes = hashes.view(np.uint8).reshape(n, 8)
+    # A table spreads the bits of a byte over the bytes of a word; up to 255 words add up without a carry.
+    cuts = np.arange(0, n, 255)
+    counts = np.add.reduceat(_BITS[lanes], cuts, axis=0).view(np.uint8).reshape(len(cuts), 64).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
+
+
 def fingerprint(text: bytes) -> int:
     """The fingerprint of one text: a bit is set if it is in over half of the shingle hashes."""
     words = text.lower().split()
@@ -43,12 +56,7 @@ def fingerprint(text: bytes) -> int:
     n = max(1, len(words) - SHINGLE + 1)
     ends = ends[SHINGLE - 1 :] if len(words) >= SHINGLE else ends[-1:]
     parts = map(joined.__getitem__, map(slice, starts[:n].tolist(), ends.tolist()))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(42)), np.uint64, n)
-    lanes = hashes.view(np.uint8).reshape(n, 8)
-    # A table spreads the bits of a byte over the bytes of a word; up to 255 words add up without a carry.
-    cuts = np.arange(0, n, 255)
-    counts = np.add.reduceat(_BITS[lanes], cuts, axis=0).view(np.uint8).reshape(len(cuts), 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(42)), np.uint64, n))
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,26 +104,26 @@ def forest(prints: np.ndarray, max_bits: int = MAX_BITS) -> list[tuple[int, int]
     return out
 
 
-def _linked(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _linked(keys: np.ndarray, prints: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Links of all whole groups of equal, sorted keys."""
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     size = np.diff(np.append(first, len(keys)))
     two = first[size == 2]
-    two = two[_popcount(prints[two] ^ prints[two + 1]) <= MAX_BITS]
+    two = two[_popcount(prints[two] ^ prints[two + 1]) <= max_bits]
     a, b = [two], [two + 1]
     for lo, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
-        pairs = np.array(forest(prints[lo : lo + n]), np.int64).reshape(-1, 2) + lo
+        pairs = np.array(forest(prints[lo : lo + n], max_bits), np.int64).reshape(-1, 2) + lo
         a.append(pairs[:, 0])
         b.append(pairs[:, 1])
     return prints[np.concatenate(a)], prints[np.concatenate(b)]
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch], max_bits: int = MAX_BITS) -> Iterator[pa.RecordBatch]:
     """Links of rows sorted by key; the last, perhaps open group of a batch waits for the next one."""
     keys, prints = np.zeros(0, np.int64), np.zeros(0, np.uint64)
 
     def out(k, p):
-        x, y = _linked(k, p) if len(k) else (p, p)
+        x, y = _linked(k, p, max_bits) if len(k) else (p, p)
         return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["a", "b"])
 
     for batch in batches:
@@ -127,10 +135,15 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(keys, prints)
 
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp``: at least a spanning forest of all links."""
+def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Links (a, b) between distinct fingerprints ``fp``: at least a spanning forest of all links.
+
+    All pairs of up to five differing bits share a signature. With a greater ``max_bits`` the links are those of the
+    pairs that share one, for a caller that has another way to the rest.
+    """
     keyed = distinct.select("fp", F.explode(variants()).alias("key"))
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_verify, "a long, b long")
+    verify = partial(_verify, max_bits=max_bits)
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(verify, "a long, b long")
 
 
 def dedup_simhash(docs: DataFrame) -> DataFrame:

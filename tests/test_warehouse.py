@@ -310,3 +310,17 @@ def _exchanges_above(plan, column):
             depth = here
             count += "Exchange" in x and "Broadcast" not in x
     return count
+
+
+def test_written_files_and_scans_are_bounded(spark, tmp_path):
+    """What a task reads does not grow with the table: files hold a number of rows, and scans are dealt in small pieces."""
+    from touchline import session
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        out = session.written(spark.range(1050).coalesce(1), str(tmp_path), "ids", 100)
+        assert len(list((tmp_path / "ids").glob("*.parquet"))) == 11 and out.distinct().count() == 1050
+        session.small_scans(spark)
+        assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == 16 * 1024 * 1024
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -312,6 +312,28 @@ def _exchanges_above(plan, column):
     return count
 
 
+def test_only_read_columns_of_staging_are_written(spark):
+    """Cross-references and facts do not write the wide staging relations; asked for by name, these are whole."""
+    w = build(spark)
+    kept = []
+    w.keep = lambda df, name: kept.append((name, df.columns)) or Warehouse.keep(w, df, name)
+    assert w["int_player_xref"].count() and w["dim_player"].count()
+    columns = {name: c for name, c in kept if name.startswith("stg_")}
+    assert len(columns) == 3 and all(len(c) <= 12 for c in columns.values())
+    facts = {n: w[n] for n in ("fct_player_season_valuations", "fct_player_season_stats")}
+    columns = {name: c for name, c in kept if name.startswith("stg_")}
+    assert len(columns) == 5
+    assert not any("player_season_team_id" in c or "_source_url" in c for c in columns.values())
+    whole = build(spark)
+    assert len(whole["stg_fbref__player_season_stats"].columns) > 30
+    assert "player_valuation_id" in whole["stg_transfermarkt__player_valuations"].columns
+    whole["stg_understat__player_season_stats"]
+    for name, fact in facts.items():
+        assert fact.exceptAll(whole[name]).isEmpty() and whole[name].exceptAll(fact).isEmpty()
+    assert [df.columns for df in whole.staged()] == [whole[n].columns for n in (
+        "stg_fbref__player_season_stats", "stg_understat__player_season_stats", "stg_transfermarkt__player_valuations")]
+
+
 def test_written_files_and_scans_are_bounded(spark, tmp_path):
     """What a task reads does not grow with the table: files hold a number of rows, and scans are dealt in small pieces."""
     from touchline import session

@@ -232,3 +232,47 @@ def test_unbalanced_markup_is_read_in_linear_time(part):
         markup.parse("<b>" * n + part * n + "</x>" * n)
         times.append(time.process_time() - start)
     assert times[1] < 16 * max(times[0], 0.02)
+
+
+class TestPlainRows:
+    HEAD = '<table id="stats_standard"><tbody>'
+    PLAIN = (
+        '<tr class="a b"><th scope="row" data-stat="ranker">1</th><td data-stat="player" csk="x>y"><a name="n"></a>'
+        '<a href="/en/players/3a/x">Zo&euml; &amp; <b> A </b></a></td><td data-stat="team"></td><td data-stat="goals">&nbsp;3 </td>'
+        '<td data-stat="nationality"><a><span><span>eg</span> EGY</span></a><br></td></tr>'
+    )
+
+    def rows(self, body):
+        return list(pages._read_stats_page(self.HEAD + body + "</tbody></table>"))
+
+    def by_nodes(self, body, monkeypatch):
+        with monkeypatch.context() as m:
+            m.setattr(markup, "_plain_row", lambda html, begin: (None, begin))
+            return self.rows(body)
+
+    def test_cells_are_read_without_building_nodes(self, monkeypatch):
+        built = []
+        init = markup.Node.__init__
+        with monkeypatch.context() as m:
+            m.setattr(markup.Node, "__init__", lambda self, *a: (built.append(a[0]), init(self, *a))[1])
+            got = self.rows(self.PLAIN * 50)
+        assert len(got) == 50 and len(built) < 10
+        assert got == self.by_nodes(self.PLAIN * 50, monkeypatch)
+        row = dict(zip(pages._STATS_ROW, got[0]))
+        assert (row["player"], row["player_href"], row["goals"], row["nationality_td"]) == (
+            "Zoë &A", "/en/players/3a/x", "3", "egEGY")
+
+    def test_markup_that_is_not_plain_gives_the_same_rows(self, monkeypatch):
+        breaks = [
+            "<td>", "</td>", "<tr>", "</tr>", "<a>", "</a>", "</b>", "<li>", "<table><tr><td>q", "</table>", "</tbody>", "<!-- c -->",
+            "<script>", "<", '"', "'", "<td data-stat='goals'>", "<TD>", "</span>", "<p>", "<td/>", "\0",
+        ]
+        for broken in breaks:
+            for at in range(0, len(self.PLAIN), 9):
+                body = self.PLAIN + self.PLAIN[:at] + broken + self.PLAIN[at:] + self.PLAIN
+                assert self.rows(body) == self.by_nodes(body, monkeypatch), (broken, at)
+
+    def test_nodes_of_a_plain_row_are_there_when_asked_for(self):
+        table = markup.parse(self.HEAD + self.PLAIN)[0].find("table")
+        assert [c.tag for c in table.find("tr").children] == ["th", "td", "td", "td", "td"]
+        assert [n.attrs.get("href") for n in table.find_all("a")] == [None, "/en/players/3a/x", None]

@@ -11,7 +11,7 @@ import re
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,19 +76,25 @@ def _rows_of_pages(pages: DataFrame, read_page, names: list[str]) -> DataFrame:
     keys = [f.name for f in keep]
     schema = T.StructType(keep + _strings(names).fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def piece(batch: pa.RecordBatch, places: list[int], found: list[tuple]) -> pa.RecordBatch:
+        of_page = [batch.column(k).take(pa.array(places)) for k in keys]
+        return pa.RecordBatch.from_arrays([*of_page, *[pa.array(c, pa.string()) for c in zip(*found)]], names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            places: list[int] = []
             found: list[tuple] = []
-            for *page, body in batch.itertuples(index=False):
-                found.extend((*page, *row) for row in read_page(body or ""))
+            for place, body in enumerate(batch.column("body")):
+                found.extend(read_page(body.as_py() or ""))
+                places.extend([place] * (len(found) - len(places)))
                 # Rows leave in pieces, so that a batch of large pages is never held whole.
                 if len(found) >= _ROWS_PER_PIECE:
-                    yield pd.DataFrame(found, columns=schema.names)
-                    found = []
+                    yield piece(batch, places, found)
+                    places, found = [], []
             if found:
-                yield pd.DataFrame(found, columns=schema.names)
+                yield piece(batch, places, found)
 
-    return pages.select(*keys, "body").mapInPandas(run, schema)
+    return pages.select(*keys, "body").mapInArrow(run, schema)
 
 
 def _link(cell: markup.Node | None) -> str | None:
@@ -127,13 +133,47 @@ def _stats_table(html: str) -> markup.Node | None:
 _STATS_ROW = ["page_problem", "row_class", "ranker", "player_href", "team_href", "nationality_td", *_CELLS]
 
 
+def _places(starts: tuple[str, ...]) -> tuple[int | None, ...]:
+    """Where a row has the rank, the nationality of a data cell, and each of ``_CELLS``."""
+    first: dict[str, int] = {}
+    ranker = nationality = None
+    for place, start in enumerate(starts):
+        stat = markup.attributes(start[2:]).get("data-stat", "")
+        first.setdefault(stat, place)
+        if stat == "ranker" and start.startswith("th") and ranker is None:
+            ranker = place
+        if stat == "nationality" and start.startswith("td") and nationality is None:
+            nationality = place
+    return ranker, nationality, *[first.get(c) for c in _CELLS]
+
+
+def _read_plain_row(row: markup.PlainRow, layouts: dict[tuple[str, ...], tuple[int | None, ...]]) -> tuple:
+    """What ``_read_stats_page`` takes from a row, straight from the markup of its cells.
+
+    ``layouts`` remembers the places of cells: the rows of a table have the same start tags, or few kinds of them.
+    """
+    starts, contents = tuple(row.starts), row.contents
+    places = layouts.get(starts)
+    if places is None:
+        places = layouts[starts] = _places(starts)
+    texts: list[str | None] = [markup.plain_text(content) if content else "" for content in contents]
+    texts.append(None)
+    player, team = [markup.plain_link(contents[p]) if p is not None else None for p in places[2:4]]
+    ranker, *values = [texts[-1 if p is None else p] for p in places]
+    return None, " ".join(row.classes), ranker, player, team, *values
+
+
 def _read_stats_page(html: str):
     table = _stats_table(html)
     body = table.find("tbody") if table is not None else None
     if body is None:
         yield _no_rows(table, _STATS_ROW)
         return
-    for row in body.find_all("tr"):
+    layouts: dict[tuple[str, ...], tuple[int | None, ...]] = {}
+    for row in body.all_rows():
+        if isinstance(row, markup.PlainRow):
+            yield _read_plain_row(row, layouts)
+            continue
         cells: dict[str, markup.Node] = {}
         ranker = nationality = None
         for cell in row.find_all("td", "th"):

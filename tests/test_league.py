@@ -1,5 +1,6 @@
 """The derived raw tables, on rows of their own with keys that repeat, are null or have no partner."""
 
+from touchline.session import written
 from workload.league import inputs
 
 
@@ -37,3 +38,12 @@ def test_join_of_lines_written_once(spark, tmp_path):
     for name, df in played.items():
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan, name
+
+
+def test_lines_are_not_written_beside_their_join(spark, tmp_path, monkeypatch):
+    from workload import league
+
+    folder, kept = _tables(spark, tmp_path), []
+    monkeypatch.setattr(league, "written", lambda df, folder, name, *more: kept.append(name) or written(df, folder, name, *more))
+    inputs(spark, folder, join_once=True)
+    assert sorted(kept) == ["clubs", "played"]

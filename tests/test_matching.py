@@ -133,3 +133,35 @@ def test_uniqueness_is_exact_whatever_the_hash(spark, monkeypatch, hashed):
         [(1, "a", 0.0), (2, "a", -0.0), (3, None, None), (4, None, float("nan")), (5, "b", float("nan")), (6, "6", 6.0)], "n int, s string, x double")
     tests = [quality.DataTest("m", c, "unique", {}) for c in ("n", "s", "x")]
     assert {r.column: r.failures for r in quality.run_data_tests(tests, {"m": df}).collect()} == {"n": 0, "s": 1, "x": 2}
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+@pytest.mark.parametrize("hashed", ["well", "all alike"])
+def test_hashes_met_twice_may_be_written(spark, tmp_path, monkeypatch, hashed, threshold):
+    """The planner then knows that they are few: on clean data no value of a key is shuffled."""
+    if hashed == "all alike":
+        monkeypatch.setattr(quality, "_hash", lambda c, kind: F.lit(7).cast("long"))
+    df = spark.createDataFrame(
+        [(1, "a", 0.0), (2, "a", -0.0), (3, None, None), (4, None, float("nan")), (5, "b", float("nan")), (6, "6", 6.0)], "n int, s string, x double")
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = df.columns
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}")
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        tests = [quality.DataTest("m", c, "unique", {}) for c in ("n", "s", "x")]
+        found = quality.run_data_tests(tests, {"m": df}, keep)
+        assert {r.column: r.failures for r in found.collect()} == {"n": 0, "s": 1, "x": 2}
+        assert kept == {"m__met_twice": ["i", "h"]}
+        if hashed != "well":
+            return
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in text) == (threshold != "-1")
+        # Rows with a hash that was met twice move once: groups begin with the hash.
+        assert sum("hashpartitioning(h" in x and "v#" in x for x in text.split("== Initial Plan ==")[-1].splitlines()) == (3 if threshold != "-1" else 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

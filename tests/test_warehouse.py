@@ -8,7 +8,7 @@ from samples import fbref_row, understat_row, valuation_row
 from touchline.functions.similarity import jaro_winkler_arrays
 from touchline.operators.latest import first_per_group
 from touchline.operators.skew import spread_join
-from touchline.plans import checks, players
+from touchline.plans import checks, players, staging
 from touchline.plans.warehouse import Warehouse, save_marts
 from touchline.sources.batches import BatchTable
 from touchline.sources.seeds import player_overrides, read_seed, team_aliases
@@ -385,3 +385,89 @@ def test_the_key_of_the_fact_is_worked_out_below_the_enrichment(spark, w):
     lines = text.splitlines()
     key = next(i for i, x in enumerate(lines) if "md5(" in x)
     assert key > next(i for i, x in enumerate(lines) if "Join LeftOuter" in x)
+
+
+def test_a_warehouse_leaves_little_on_disk(spark, tmp_path):
+    """Shuffle files go with their query, steps of the matching with its result, and relations are written with zstd."""
+    spark.conf.unset("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    w = Warehouse(samples.raw_tables(spark), team_aliases(spark), player_overrides(spark), folder=str(tmp_path))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    steps = []
+    w.keep = lambda df, name: steps.append(name) or Warehouse.keep(w, df, name)
+    xref = w["int_player_xref"]
+    assert {"matching/main_fbref_rows", "matching/understat_names"} <= set(steps)
+    there = {p.name for p in tmp_path.iterdir()}
+    assert "int_player_xref" in there and not there & {"matching", "main_fbref_rows", "understat_names", "understat_profiles"}
+    files = list(tmp_path.rglob("*.parquet"))
+    assert files and all(".zstd." in f.name for f in files)
+    # A relation that is executed twice shuffles again, with the same rows.
+    counted = xref.groupBy("match_status").count()
+    assert sorted(map(str, counted.collect())) == sorted(map(str, counted.collect())) != []
+
+
+def test_keys_of_staging_are_not_written(spark, w):
+    """A surrogate key does not compress. Readers of some columns get it worked out from the columns that it is made of."""
+    kept = {}
+    narrow = Warehouse(samples.raw_tables(spark), team_aliases(spark), player_overrides(spark), reads=["data_tests"])
+    narrow.keep = lambda df, name: kept.update({name: df.columns}) or Warehouse.keep(narrow, df, name)
+    for _ in range(2):
+        staged = narrow.staged()
+        assert len(kept) == 3 and not {"player_season_team_id", "player_valuation_id"} & {c for cs in kept.values() for c in cs}
+    for df, name in zip(staged, staging.KEYS):
+        assert staging.KEYS[name][0] in df.columns
+        assert df.exceptAll(w[name].select(*df.columns)).isEmpty() and w[name].select(*df.columns).exceptAll(df).isEmpty()
+    # One more reader: its columns are added to those that were there.
+    more = narrow.staged("dimensions", "fct_player_season_stats", "fct_player_season_valuations")
+    for df, old in zip(more, staged):
+        assert set(old.columns) <= set(df.columns)
+    assert "player_season_team_id" in more[0].columns and "date_of_birth" in more[2].columns
+
+
+def test_valuations_move_by_player(spark):
+    """Rows of a player lie together, so what a task picks per player and season later is one row and not one per club."""
+    tm = [valuation_row(*TM, player_id=f"m{i % 3}", team_id=f"t{i % 4}", team_name=f"club {i % 4}", market_value_eur=i) for i in range(40)]
+    raw = samples.raw_tables(spark, [], [], tm)["raw_transfermarkt__player_valuations"].repartition(5)
+    staged = staging.stage_transfermarkt(raw)
+    found = staged.withColumn("task", F.spark_partition_id())
+    assert found.count() == 12
+    assert found.groupBy("transfermarkt_player_id").agg(F.countDistinct("task").alias("n")).filter("n > 1").isEmpty()
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = staged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    moves = [x for x in text.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(moves) == 1 and "team_id" not in moves[0]
+
+
+def test_keys_of_constants_are_added_after_the_shuffles(spark):
+    """A season's and a league's key would move with each row of a fact, and a club's key as text."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = build(spark)
+        for fact in (w["fct_player_season_stats"], w["fct_player_season_valuations"]):
+            lines = fact._jdf.queryExecution().optimizedPlan().toString().splitlines()
+            depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+            packed = next(i for i, x in enumerate(lines) if "unhex(" in x)
+            below = [x for i, x in enumerate(lines) if i > packed and all(d > depth[packed] for d in depth[packed + 1:i + 1])]
+            assert sum("LeftSemi" in x for x in below) == 2
+            assert not any("season_key#" in x or "competition_key#" in x for x in below)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_profile_with_several_links_is_settled_once(spark):
+    hub = spark.createDataFrame(
+        [("f1", "2023-2024", "L", "t", "MF", "john smith", 9, "MF")],
+        "fbref_player_id string, season string, league string, fbref_team_id string, position string, hub_name string, minutes int, position_mark string")
+    other = spark.createDataFrame(
+        [(f"u{i}", "2023-2024", "L", "john smith", team, "Midfielder", 9) for i, team in enumerate(["b", "a", "a", "c"])],
+        "other_id string, season string, league string, other_name string, other_team string, other_position string, minutes int")
+    xref = spark.createDataFrame([("t", "a"), ("t", "b")], "fbref_team_id string, understat_team_name string")
+    found = players.best_matches(hub, other, xref, players.UNDERSTAT)
+    assert rows(found, "hub_name", "other_id", "composite_score") == [("john smith", "u0", 0.9999999999999999)]
+    text = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # Nothing is made distinct above the join with the settled names.
+    assert not any("Aggregate" in x for x in text[:next(i for i, x in enumerate(text) if "Join" in x)])
